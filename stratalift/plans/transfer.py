@@ -1,0 +1,343 @@
+"""Moving a table one layer on, or along its whole lineage.
+
+A hop runs one aggregation over the source (row counts, quality, checksum,
+failed casts) and one write. Only removing duplicates adds a staging table,
+as both would otherwise repeat its shuffle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import UTC, date, datetime
+from typing import Any
+
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
+
+from stratalift.functions.columns import col
+from stratalift.operators.filters import filter_condition
+from stratalift.operators.integrity import (
+    additive_digest,
+    additive_sums,
+    dataset_checksum,
+    row_checksum,
+    row_digest,
+)
+from stratalift.operators.merge import merge_rows, merge_sources
+from stratalift.operators.metrics import (
+    REPORT_SCHEMA,
+    Measure,
+    cast_failed,
+    group_agg,
+    quality_measures,
+    row_count,
+)
+from stratalift.operators.projections import audit_columns
+from stratalift.operators.rows import dedupe
+from stratalift.plans.layers import FileLayer, Layer
+from stratalift.plans.spec import LABELS, LINEAGE, MERGED_FROM, TRANSFORMED_FROM, TableSpec
+from stratalift.plans.transform import Changes, changes, transform, updates
+from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
+from stratalift.staging import stage_rows
+
+RUN_REPORT_SCHEMA = """
+    family string, table_name string, source string, target string, run_by string,
+    status int, started timestamp, ended timestamp, duration_seconds double,
+    columns_added array<string>, columns_purged array<string>, columns_updated array<string>,
+    columns_renamed map<string,string>, columns_total array<string>,
+    rows_gross bigint, rows_net bigint, rows_duplicates bigint, rows_filtered bigint,
+    rows_written bigint, cast_nulls map<string,bigint>,
+    checksum string, checksum_mode string, hash string,
+    catalog_failure string, failure string
+"""
+
+
+@dataclass(frozen=True)
+class MergeStep:
+    """Another source for the merging hop: joined on keys, or appended without them."""
+
+    other: DataFrame
+    on: tuple[str, ...] = ()
+    how: str = "inner"
+    salts: int | None = None
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        if not self.on:
+            return merge_rows(df, self.other)
+        return merge_sources(df, self.other, self.on, self.how, self.salts)
+
+
+@dataclass(frozen=True)
+class RunOptions:
+    run_date: date | str
+    run_ts: datetime | str | None = None
+    caller: str = "Direct"
+    runner: str | None = None
+    pipeline: Mapping[str, str] | None = None
+    quality: bool = True
+    approx_distinct: bool = False
+    integrity: bool = False
+    checksum_mode: str = "additive"
+    merges: tuple[MergeStep, ...] = ()
+    catalog: str | None = None
+    audit_table: str | None = None
+
+
+@dataclass
+class TransferResult:
+    """``report`` has one row, ``quality`` one per check, ``table`` is what was written."""
+
+    report: DataFrame
+    quality: DataFrame
+    table: DataFrame | None = None
+
+
+@dataclass
+class _Profile:
+    gross: int = 0
+    unique: int = 0
+    net: int = 0
+    checksum: str | None = None
+    quality: list[tuple] = field(default_factory=list)
+    cast_nulls: dict[str, int] = field(default_factory=dict)
+
+
+class LineageError(RuntimeError):
+    """Some tables of a lineage run failed; ``reports`` holds every hop's report."""
+
+    def __init__(self, message: str, reports: DataFrame):
+        super().__init__(message)
+        self.reports = reports
+
+
+def audit_text(spec: TableSpec, source: str, options: RunOptions) -> str:
+    """Who moved the rows: source label, caller, and the runner or the pipeline run."""
+    label = LABELS[source]
+    if source == "DS":
+        label = f"{spec.family} {label}"
+    run = options.pipeline
+    if run:
+        return (
+            f"{label} - {run['caller']} Pipeline - {run['name']} ({run['run_id']})"
+            f" - {run['trigger_type']} ({run['triggered_on']})"
+        )
+    return " - ".join(part for part in (label, options.caller, options.runner) if part)
+
+
+def transfer(
+    spark: SparkSession,
+    spec: TableSpec,
+    source: str,
+    target: str | None,
+    layers: Mapping[str, Layer],
+    options: RunOptions,
+) -> TransferResult:
+    """Move ``spec``'s table from ``source`` to ``target`` (default: the next layer).
+
+    The transform runs on the way out of BL, merging and grouping out of SL. A
+    failure is reported to the audit table, if there is one, and raised; only
+    a failed catalog registration is merely noted.
+    """
+    target = target or LINEAGE.get(source)
+    if source not in LINEAGE or target not in LABELS or source == target:
+        raise ValueError(f"no transfer from {source!r} to {target!r}")
+    if source not in layers or target not in layers:
+        raise ValueError(f"no table given for layer {source!r} or {target!r}")
+    started = datetime.now(UTC)
+    facts: dict[str, Any] = {
+        "family": spec.family,
+        "table_name": spec.table,
+        "source": source,
+        "target": target,
+        "run_by": audit_text(spec, source, options),
+        "started": started,
+        "hash": "SHA-256" if options.integrity else None,
+        "checksum_mode": options.checksum_mode if options.integrity else None,
+    }
+    try:
+        quality, table = _hop(spark, spec, source, target, layers, options, facts)
+    except Exception as error:
+        facts.update(status=404, failure=f"{type(error).__name__}: {error}")
+        _finish(spark, facts, options)
+        raise
+    facts.update(status=200)
+    return TransferResult(_finish(spark, facts, options), quality, table)
+
+
+def _hop(
+    spark: SparkSession,
+    spec: TableSpec,
+    source: str,
+    target: str,
+    layers: Mapping[str, Layer],
+    options: RunOptions,
+    facts: dict[str, Any],
+) -> tuple[DataFrame, DataFrame | None]:
+    spec.check_types()
+    read = layers[source].read(spark, options.run_date)
+    rows = read
+    removes = options.quality and spec.dedupe
+    if removes:
+        rows = stage_rows(dedupe(read, spec.dedupe_keys, spec.tie_break), "unique")
+    transforms = source == TRANSFORMED_FROM
+    profile = _profile(read, rows, spec, transforms, options)
+    if options.integrity:
+        rows = row_checksum(rows)
+    touched = Changes()
+    if transforms:
+        touched = changes(rows.columns, spec)
+        rows = transform(rows, spec)
+    elif source == MERGED_FROM:
+        for step in options.merges:
+            rows = step.apply(rows)
+        if spec.group_aggs:
+            rows = group_agg(rows, spec.group_by, spec.group_aggs)
+    rows = audit_columns(rows, facts["run_by"], options.run_ts)
+    facts.update(
+        columns_added=touched.added,
+        columns_purged=touched.purged,
+        columns_updated=touched.updated,
+        columns_renamed=touched.renamed,
+        columns_total=rows.columns,
+        rows_gross=profile.gross,
+        rows_net=profile.net,
+        rows_duplicates=profile.gross - profile.unique,
+        rows_filtered=profile.unique - profile.net,
+        cast_nulls=profile.cast_nulls,
+        checksum=profile.checksum,
+    )
+    place = layers[target]
+    if isinstance(place, FileLayer):
+        # Counted in the writing tasks themselves, each of which counts once.
+        written = Observation(f"{spec.family}/{spec.table}/{target}")
+        place.write(rows.observe(written, F.count(F.lit(1)).alias("rows")), options.run_date)
+        facts.update(rows_written=written.get["rows"])
+    else:
+        place.write(rows, options.run_date)
+    if options.catalog:
+        facts.update(catalog_failure=_catalog(spark, spec, target, place, rows, options))
+    table = place.read(spark, options.run_date) if isinstance(place, FileLayer) else None
+    return spark.createDataFrame(profile.quality, REPORT_SCHEMA), table
+
+
+def _profile(
+    read: DataFrame, rows: DataFrame, spec: TableSpec, transforms: bool, options: RunOptions
+) -> _Profile:
+    """Everything the hop wants to know about its source, in one aggregation."""
+    measures: list[Measure] = []
+    if options.quality:
+        checks = spec.quality_checks(rows.columns)
+        measures = quality_measures(
+            rows, checks, spec.expressions, approx=options.approx_distinct
+        )
+    kept = filter_condition(rows, spec.filter) if transforms and spec.filter else F.lit(True)
+    casts = {}
+    if transforms:
+        new = updates(rows.columns, spec)
+        casts = {
+            c.name: cast_failed(new.get(c.name, col(c.name)), c.type, kept)
+            for c in spec.columns
+            if c.name in rows.columns and c.type != "string"
+        }
+    additive = options.integrity and options.checksum_mode == "additive"
+    digest = "__digest"
+    profiled = rows.select("*", row_digest(rows).alias(digest)) if additive else rows
+    one: Row = (
+        profiled.agg(
+            F.count(F.lit(1)).alias("unique"),
+            F.count_if(kept).alias("net"),
+            *[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)],
+            *[value.alias(f"cast{i}") for i, value in enumerate(casts.values())],
+            *(additive_sums(F.col(digest)) if additive else ()),
+        )
+        .select("*", *([additive_digest()] if additive else [F.lit(None).alias("checksum")]))
+        .first()
+    )
+    gross = one["unique"] if rows is read else row_count(read).first()[0]
+    checksum = one["checksum"]
+    if options.integrity and not additive:
+        checksum = dataset_checksum(rows, options.checksum_mode).first()["checksum"]
+    return _Profile(
+        gross=gross,
+        unique=one["unique"],
+        net=one["net"],
+        checksum=checksum,
+        quality=_quality_rows(measures, one, gross),
+        cast_nulls={name: one[f"cast{i}"] for i, name in enumerate(casts)},
+    )
+
+
+def _quality_rows(measures: Sequence[Measure], one: Row, gross: int) -> list[tuple]:
+    if not gross:
+        return []
+    rows = []
+    for i, measure in enumerate(measures):
+        count = one[f"m{i}"]
+        if measure.check == "Duplicate":
+            # against all rows read, also those removed as duplicates before
+            count += gross - one["unique"]
+        rows.append((measure.column, measure.check, count, count / gross * 100))
+    return rows
+
+
+def _catalog(
+    spark: SparkSession,
+    spec: TableSpec,
+    target: str,
+    place: Layer,
+    rows: DataFrame,
+    options: RunOptions,
+) -> str | None:
+    name = catalog_name(options.catalog, spec.family, spec.table, target)
+    try:
+        if isinstance(place, FileLayer):
+            register_catalog(spark, name, place.path, place.fmt)
+        else:
+            write_catalog(rows, name)
+    except Exception as error:  # the layer itself is written by now
+        return f"{type(error).__name__}: {error}"
+    return None
+
+
+def _finish(spark: SparkSession, facts: dict[str, Any], options: RunOptions) -> DataFrame:
+    ended = datetime.now(UTC)
+    facts.update(ended=ended, duration_seconds=(ended - facts["started"]).total_seconds())
+    schema = spark.createDataFrame([], RUN_REPORT_SCHEMA).schema
+    report = spark.createDataFrame([tuple(facts.get(f.name) for f in schema)], schema)
+    if options.audit_table:
+        append_audit(report, options.audit_table)
+    return report
+
+
+def run_lineage(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    layers: Mapping[str, Mapping[str, Layer]],
+    options: RunOptions,
+    lineage: Mapping[str, str] | None = None,
+    skip: Sequence[str] = ("DZ",),
+) -> DataFrame:
+    """Transfer every table hop by hop; ``layers`` holds each table's own layers.
+
+    The destination is left out unless ``skip`` says otherwise. A table stops
+    at its first failure, the others go on; at the end a failure raises.
+    Returns the run reports, one row per hop.
+    """
+    reports: list[DataFrame] = []
+    failures: list[str] = []
+    for spec in specs:
+        for source, target in (lineage or LINEAGE).items():
+            if target in skip or source not in layers[spec.table]:
+                continue
+            try:
+                done = transfer(spark, spec, source, target, layers[spec.table], options)
+            except Exception as error:
+                failures.append(f"{spec.family}/{spec.table} {source} to {target}: {error}")
+                break
+            reports.append(done.report)
+    schema = spark.createDataFrame([], RUN_REPORT_SCHEMA)
+    result = merge_rows(schema, *reports)
+    if failures:
+        raise LineageError("; ".join(failures), result)
+    return result
