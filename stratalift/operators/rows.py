@@ -13,6 +13,7 @@ from stratalift.staging import stage_rows
 
 # A page that ends within this many rows is cut by a top-k sort; a deeper one is numbered.
 TOP_K_ROWS = 1_000_000
+SPREAD = "__partition"
 
 
 def dedupe(
@@ -32,7 +33,9 @@ def dedupe(
     rest = [c for c in df.columns if c not in by]
     if not rest:
         return df.dropDuplicates()
-    order = [*order_columns(tie_break or {}), *[_sortable(df, c) for c in rest]]
+    tie_break = tie_break or {}
+    others = [_sortable(df, c) for c in rest if c not in tie_break]
+    order = [*order_columns(tie_break), *others]
     first = Window.partitionBy(*[narrow(df, k) for k in by]).orderBy(*order)
     rank = "__rank"
     ranked = df.select("*", F.row_number().over(first).alias(rank))
@@ -60,9 +63,8 @@ def sort_multi(df: DataFrame, order: Mapping[str, str]) -> DataFrame:
     keys = order_columns(order)
     if not keys:
         return df
-    spread = "__partition"
-    numbered = df.select("*", F.spark_partition_id().alias(spread))
-    return numbered.orderBy(*keys, F.col(spread)).drop(spread)
+    numbered = df.select("*", F.spark_partition_id().alias(SPREAD))
+    return numbered.orderBy(*keys, F.col(SPREAD)).drop(SPREAD)
 
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:
@@ -76,27 +78,30 @@ def page_rows(
 
     Near the start this is a top-k. A deep page would make that top-k hold all
     rows before it in one task; there the rows are range-partitioned into a
-    staging table once, only the sizes of the partitions are summed, and every
-    partition numbers its own rows.
+    staging table once, only the sizes of the partitions are summed, and the
+    partitions that the page meets number their own rows.
     """
-    if offset + limit <= top_k:
-        return df.orderBy(*order_columns(order)).offset(offset).limit(limit)
     keys = order_columns(order)
-    part, at, before = "__part", "__at", "__before"
-    staged = stage_rows(
-        df.repartitionByRange(*keys).select("*", F.spark_partition_id().alias(part))
-    )
-    sizes = staged.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
-    # one row per range partition, so a single window over them is small
+    if not keys:
+        raise ValueError("pages need an order")
+    end = offset + limit
+    if end <= top_k:
+        return df.orderBy(*keys).offset(offset).limit(limit)
+    part, before, size, at = "__part", "__before", "__size", "__at"
+    spread = df.select("*", F.spark_partition_id().alias(SPREAD))
+    ranged = spread.repartitionByRange(*keys, F.col(SPREAD))
+    staged = stage_rows(ranged.select("*", F.spark_partition_id().alias(part)), "pages")
+    sizes = staged.groupBy(part).agg(F.count(F.lit(1)).alias(size))
+    # one row per range partition, so one window over all of them is small
     earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        part, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias(before), "__size"
-    ).where((F.col(before) < offset + limit) & (F.col(before) + F.col("__size") > offset))
-    numbered = staged.join(F.broadcast(starts), part).withColumn(
-        at, F.col(before) + F.row_number().over(Window.partitionBy(part).orderBy(*keys)) - 1
+    starts = sizes.withColumn(before, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+    met = starts.where((F.col(before) < end) & (F.col(before) + F.col(size) > offset))
+    inside = Window.partitionBy(part).orderBy(*keys, SPREAD)
+    numbered = staged.join(F.broadcast(met), part).withColumn(
+        at, F.col(before) + F.row_number().over(inside) - 1
     )
-    wanted = numbered.where((F.col(at) >= offset) & (F.col(at) < offset + limit))
-    return wanted.select(*[col(c) for c in df.columns])
+    page = numbered.where((F.col(at) >= offset) & (F.col(at) < end))
+    return page.select(*[col(c) for c in df.columns])
 
 
 def _sortable(df: DataFrame, name: str) -> Column:

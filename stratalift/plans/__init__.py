@@ -3,7 +3,7 @@
 from stratalift.plans.layers import CustomLayer, FileLayer
 from stratalift.plans.reports import display_layers, layer_checksum_diff, layer_row_counts
 from stratalift.plans.spec import LABELS, LAYERS, LINEAGE, ColumnSpec, TableSpec
-from stratalift.plans.transfer import (
+from stratalift.plans.transfers import (
     LineageError,
     MergeStep,
     RunOptions,
@@ -12,7 +12,7 @@ from stratalift.plans.transfer import (
     run_lineage,
     transfer,
 )
-from stratalift.plans.transform import Changes, changes, transform
+from stratalift.plans.transforms import Changes, changes, transform
 
 __all__ = [
     "LABELS",

@@ -42,7 +42,7 @@ class TableSpec:
 
     ``metrics`` come before ``dimensions`` wherever columns are walked, except
     in the landing order. The remaining fields are the steps of the transform,
-    each empty by default; see :func:`stratalift.plans.transform.transform`.
+    each empty by default; see :func:`stratalift.plans.transforms.transform`.
     """
 
     family: str

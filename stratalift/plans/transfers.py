@@ -37,7 +37,7 @@ from stratalift.operators.projections import audit_columns
 from stratalift.operators.rows import dedupe
 from stratalift.plans.layers import FileLayer, Layer
 from stratalift.plans.spec import LABELS, LINEAGE, MERGED_FROM, TRANSFORMED_FROM, TableSpec
-from stratalift.plans.transform import Changes, changes, transform, updates
+from stratalift.plans.transforms import Changes, changes, transform, updates
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
 from stratalift.staging import stage_rows
 
