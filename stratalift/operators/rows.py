@@ -60,6 +60,10 @@ def sort_multi(df: DataFrame, order: Mapping[str, str]) -> DataFrame:
     holds a large share of the rows over many tasks instead of one. The number
     does not depend on the order of rows within the task.
     """
+    gone = [c for c in order if c not in df.columns]
+    if gone:
+        # Spark would still find a column that was dropped just before
+        raise ValueError(f"sort columns {', '.join(gone)} do not exist")
     keys = order_columns(order)
     if not keys:
         return df

@@ -51,13 +51,13 @@ def missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "filter_number_in_text",
     """select o_orderkey, o_custkey from orders
-       where o_custkey > 500 and o_custkey <= 1200.5""",
+       where o_custkey > 50 and o_custkey <= 120.5""",
 )
 def number_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey")
     )
-    kept = filter_tree(landed, {"AND": {">": {"o_custkey": [500]}, "<=": {"o_custkey": [1200.5]}}})
+    kept = filter_tree(landed, {"AND": {">": {"o_custkey": [50]}, "<=": {"o_custkey": [120.5]}}})
     return kept.select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
 
 

@@ -77,8 +77,8 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "page_rows_deep",
-    "select * from events order by ts, event_id limit 1000 offset 4000",
+    "select * from events order by ts, event_id limit 300 offset 400",
 )
 def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return page_rows(events, {"ts": "ASC", "event_id": "ASC"}, 1000, 4000, top_k=1000)
+    return page_rows(events, {"ts": "ASC", "event_id": "ASC"}, 300, 400, top_k=100)
