@@ -10,10 +10,11 @@ from stratalift.functions.columns import (
     reserved_columns,
     row_text,
 )
-from stratalift.functions.types import spark_type
+from stratalift.functions.types import fitting_cast, spark_type
 
 __all__ = [
     "blank_match",
+    "fitting_cast",
     "is_reserved",
     "local_time_text",
     "narrow",

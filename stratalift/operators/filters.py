@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalift.functions.columns import col
+from stratalift.functions.types import fitting_cast
 
 Tree = Mapping[str, Mapping[str, Mapping[str, Iterable[Any]]]]
 
@@ -114,7 +115,8 @@ def _compare(df: DataFrame, comparator: str, name: str, value: Any) -> Column:
     is_number = isinstance(value, (int, float, decimal.Decimal)) and not isinstance(value, bool)
     if isinstance(kind, T.StringType):
         if is_number:
-            column = column.try_cast("double" if isinstance(value, float) else NUMBER_IN_TEXT)
+            number = T.DoubleType() if isinstance(value, float) else NUMBER_IN_TEXT
+            column = fitting_cast(column, kind, number)
         elif not isinstance(value, str):
             column = column.try_cast(_type_of(value))
     elif isinstance(value, str):

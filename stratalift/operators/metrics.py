@@ -7,9 +7,10 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from stratalift.functions.columns import blank_match, col, narrow, regex_match
-from stratalift.functions.types import spark_type
+from stratalift.functions.types import fitting_cast, spark_type
 from stratalift.operators.filters import Tree, filter_condition
 from stratalift.operators.rows import dedupe
 
@@ -109,15 +110,20 @@ REPORT_SCHEMA = "column string, check string, cnt bigint, pct_of_gross double"
 def cast_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Per column the number of values that its declared type cannot hold: ``column, failed``."""
     present = {c: t for c, t in types.items() if c in df.columns}
-    counts = df.agg(*[cast_failed(col(c), t).alias(c) for c, t in present.items()])
+    counts = df.agg(
+        *[cast_failed(col(c), df.schema[c].dataType, t).alias(c) for c, t in present.items()]
+    )
     entries = [
         F.struct(F.lit(c).alias("column"), col(c).cast("bigint").alias("failed")) for c in present
     ]
     return counts.select(F.inline(F.array(*entries)))
 
 
-def cast_failed(value: Column, type_name: str, among: Column | None = None) -> Column:
-    lost = value.isNotNull() & value.try_cast(spark_type(type_name)).isNull()
+def cast_failed(
+    value: Column, source: DataType, type_name: str, among: Column | None = None
+) -> Column:
+    """Aggregate: values (of the rows ``among``) that the named type cannot hold."""
+    lost = value.isNotNull() & fitting_cast(value, source, spark_type(type_name)).isNull()
     return F.count_if(lost if among is None else lost & among)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalift.functions.columns import col, regular_columns, reserved_columns
-from stratalift.functions.types import spark_type
+from stratalift.functions.types import fitting_cast, spark_type
 
 COMPACT_DATE = r"^\d{8}$"
 # Start and length of year, month and day in a yyyyMMdd text.
@@ -25,7 +25,12 @@ def with_expressions(df: DataFrame, expressions: Mapping[str, Column]) -> DataFr
 def cast_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast each named, existing column; a value that does not fit becomes NULL."""
     return with_expressions(
-        df, {c: col(c).try_cast(spark_type(t)) for c, t in types.items() if c in df.columns}
+        df,
+        {
+            c: fitting_cast(col(c), df.schema[c].dataType, spark_type(t))
+            for c, t in types.items()
+            if c in df.columns
+        },
     )
 
 

@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stratalift.functions.columns import col
 from stratalift.operators.filters import filter_condition
@@ -236,7 +237,12 @@ def _profile(
     if transforms:
         new = updates(rows.columns, spec)
         casts = {
-            c.name: cast_failed(new.get(c.name, col(c.name)), c.type, kept)
+            c.name: cast_failed(
+                new.get(c.name, col(c.name)),
+                StringType() if c.name in new else rows.schema[c.name].dataType,
+                c.type,
+                kept,
+            )
             for c in spec.columns
             if c.name in rows.columns and c.type != "string"
         }

@@ -1,6 +1,9 @@
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stratalift.functions import fitting_cast
 from stratalift.operators import (
     audit_columns,
     audit_last,
@@ -84,3 +87,39 @@ def test_audit_columns_replace_older_stamps(spark):
 def test_audit_last(spark):
     df = spark.createDataFrame([(1, 2, 3)], "Row_x int, a int, b int")
     assert audit_last(df).columns == ["a", "b", "Row_x"]
+
+
+TEXTS = [
+    "1", " 1 ", "\t-1\n", "+7", "1.", ".5", "-.5e-3", "1E3", "1e400", "12.5", "1d", "1f", "1L",
+    "0x1p3", "NaN", "nan", "inf", "-Infinity", "+infinity", "iNf", "5-LOW", "2025-01-01", "", " ",
+    "--1", "1 2", "999999999999999999999", "128", "32768", "2147483648", "١٢", " 1",
+    "t", "TRUE", "yes ", "y", "no", "N", "f", "False", "0", "on", "\x7f1\x00", "1\x1f", "e", "x",
+]
+
+
+@pytest.mark.parametrize(
+    "kind",
+    ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(10,2)", "decimal(38,9)",
+     "boolean", "date", "timestamp"],
+)
+def test_fitting_cast_equals_try_cast(spark, either_ansi, kind):
+    df = spark.createDataFrame([(t,) for t in TEXTS] + [(None,)], "v string")
+    target = T.DataType.fromDDL(kind)
+    pair = df.select(
+        "v",
+        fitting_cast(F.col("v"), T.StringType(), target).cast("string").alias("a"),
+        F.col("v").try_cast(target).cast("string").alias("b"),
+    )
+    assert [(r.v, r.a) for r in pair.collect()] == [(r.v, r.b) for r in pair.collect()]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint"])
+def test_fitting_cast_of_numbers_equals_try_cast(spark, either_ansi, kind):
+    edges = [s * (1 << b) + d for b in (7, 15, 31) for s in (1, -1) for d in (-1, 0, 1)]
+    df = spark.createDataFrame([(v,) for v in [*edges, 0, 2**63 - 1, -(2**63), None]], "v long")
+    target = T.DataType.fromDDL(kind)
+    pair = df.select(
+        fitting_cast(F.col("v"), T.LongType(), target).alias("a"),
+        F.col("v").try_cast(target).alias("b"),
+    )
+    assert all(r.a == r.b for r in pair.collect())
