@@ -61,7 +61,8 @@ def dataset_checksum(
         mode = "compat" if fits else "tree"
     if mode == "additive":
         digests = df.select(row_digest(df, strict).alias("h"))
-        result = digests.agg(*additive_sums(F.col("h"))).select(additive_digest())
+        sums = [value.alias(name) for name, value in additive_sums(F.col("h")).items()]
+        result = digests.agg(*sums).select(additive_digest().alias("checksum"))
     elif mode == "tree":
         result = _tree(df, strict)
     elif mode == "compat":
@@ -75,7 +76,7 @@ def _sum_names() -> list[str]:
     return [f"sum{at}" for at in range(QUARTERS * PARTS)]
 
 
-def additive_sums(digest: Column) -> list[Column]:
+def additive_sums(digest: Column) -> dict[str, Column]:
     """Aggregates of the additive form, to be taken along in a larger aggregation."""
     width = DIGEST_DIGITS // QUARTERS
     numbers = [F.xxhash64(F.substring(digest, 1 + at * width, width)) for at in range(QUARTERS)]
@@ -84,15 +85,15 @@ def additive_sums(digest: Column) -> list[Column]:
         for number in numbers
         for at in range(PARTS)
     ]
-    sums = [F.sum(part).alias(name) for part, name in zip(parts, _sum_names(), strict=True)]
-    return [F.count(digest).alias("digests"), *sums]
+    sums = {name: F.sum(part) for part, name in zip(parts, _sum_names(), strict=True)}
+    return {"digests": F.count(digest), **sums}
 
 
 def additive_digest() -> Column:
     """The checksum from the columns ``additive_sums`` left."""
     parts = [F.col(n).cast("string") for n in ("digests", *_sum_names())]
     digest = F.sha2(F.concat_ws(",", *parts), 256)
-    return F.when(F.col("digests") > 0, digest).alias("checksum")
+    return F.when(F.col("digests") > 0, digest)
 
 
 def _tree(df: DataFrame, strict: bool) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any, NamedTuple
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,59 +18,106 @@ from stratalift.operators.rows import dedupe
 Checks = Mapping[str, Sequence[str]]
 
 USER_CHECK = "UserDefined:"
+DISTINCT = "distinct"
 AGGREGATES = {"SUM": F.sum, "AVG": F.avg, "MIN": F.min, "MAX": F.max, "COUNT": F.count}
 
 
-class Measure(NamedTuple):
-    """One count of a profile: the aggregate is a bigint over the profiled rows."""
+@dataclass
+class QualityPlan:
+    """Aggregates to take, and how the counts of the checks come out of them.
 
-    column: str
-    check: str
-    aggregate: Column
+    Exact distinct counts are kept apart from the plain ones: in one aggregation
+    every distinct value would carry the sums of all others through the shuffle.
+    """
+
+    plain: dict[str, Column] = field(default_factory=dict)
+    distinct: dict[str, Column] = field(default_factory=dict)
+    # column, check, count as an expression over the row of ``profile``
+    entries: list[tuple[str, str, Column]] = field(default_factory=list)
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def quality_measures(
+def quality_plan(
     df: DataFrame,
     checks: Checks,
     regexes: Mapping[str, str] | None = None,
-    gross: Column | None = None,
     approx: bool = False,
-) -> list[Measure]:
-    """The aggregates behind the checks of every listed, existing column."""
-    rows = F.count(F.lit(1)) if gross is None else gross
-    measures = []
-    for name, wanted in checks.items():
-        if name not in df.columns:
-            continue
+) -> QualityPlan:
+    """The checks of every listed, existing column."""
+    plan = QualityPlan()
+    for at, name in enumerate(c for c in checks if c in df.columns):
         value = col(name)
-        for check in wanted:
+        nulls, unique = f"nulls{at}", f"unique{at}"
+        plan.plain[nulls] = F.count_if(value.isNull())
+        for check in checks[name]:
             if check == "Null":
-                measures.append(Measure(name, check, F.count_if(value.isNull())))
+                plan.entries.append((name, check, F.col(nulls)))
             elif check == "Blank":
-                measures.append(Measure(name, check, F.count_if(blank_match(value))))
+                plan.plain[f"blank{at}"] = F.count_if(blank_match(value))
+                plan.entries.append((name, check, F.col(f"blank{at}")))
             elif check == "Unique":
-                unique = _distinct(df, name, approx)
-                measures.append(Measure(name, check, unique))
-                measures.append(Measure(name, "Duplicate", rows - unique))
+                if approx:
+                    plan.plain[unique] = F.approx_count_distinct(narrow(df, name))
+                    values = F.col(unique)
+                else:
+                    plan.distinct[unique] = F.count_distinct(narrow(df, name))
+                    values = F.col(f"{DISTINCT}.{unique}")
+                # NULL counts as one value
+                values = values + F.when(F.col(nulls) > 0, 1).otherwise(0)
+                plan.entries.append((name, check, values))
+                plan.entries.append((name, "Duplicate", F.col("gross") - values))
             elif check.startswith(USER_CHECK):
-                pattern = (regexes or {}).get(check.removeprefix(USER_CHECK))
-                if pattern is None:
+                expression = check.removeprefix(USER_CHECK)
+                if expression not in (regexes or {}):
                     raise ValueError(f"quality check {check!r} names no known expression")
-                measures.append(Measure(name, check, F.count_if(regex_match(value, pattern))))
+                count = f"matches{len(plan.entries)}"
+                plan.plain[count] = F.count_if(regex_match(value, regexes[expression]))
+                plan.entries.append((name, check, F.col(count)))
             else:
                 raise ValueError(f"unknown quality check {check!r}")
-    return measures
+    return plan
+
+
+def profile(
+    df: DataFrame,
+    plan: QualityPlan,
+    gross: DataFrame | None = None,
+    more: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """One row with the plan's aggregates, ``rows``, ``gross`` and ``more`` aggregates.
+
+    The plain aggregates are one scan without a shuffle of rows. Distinct counts
+    read their columns in a scan of their own, which Spark runs beside it.
+    """
+    plain = {"rows": F.count(F.lit(1)), **plan.plain, **(more or {})}
+    row = df.agg(*[value.alias(name) for name, value in plain.items()])
+    row = row.withColumn("gross", F.col("rows") if gross is None else gross.scalar())
+    if plan.distinct:
+        counts = df.agg(*[value.alias(name) for name, value in plan.distinct.items()])
+        row = row.withColumn(DISTINCT, counts.select(F.struct("*")).scalar())
+    return row
 
 
-def _distinct(df: DataFrame, name: str, approx: bool) -> Column:
-    """Distinct values, NULL being one of them."""
-    count = F.approx_count_distinct if approx else F.count_distinct
-    has_null = F.when(F.count_if(col(name).isNull()) > 0, 1).otherwise(0)
-    return count(narrow(df, name)) + has_null
+def quality_rows(row: DataFrame, plan: QualityPlan) -> DataFrame:
+    """The profile as one row per column and check."""
+    if not plan.entries:
+        return row.sparkSession.createDataFrame([], REPORT_SCHEMA)
+    return row.select(F.inline(F.array(*quality_entries(plan))))
+
+
+def quality_entries(plan: QualityPlan) -> list[Column]:
+    return [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(check).alias("check"),
+            count.cast("bigint").alias("cnt"),
+            (F.try_divide(count, F.col("gross")) * 100).alias("pct_of_gross"),
+        )
+        for name, check, count in plan.entries
+    ]
 
 
 def quality_report(
@@ -81,27 +129,11 @@ def quality_report(
 ) -> DataFrame:
     """One row per column and check: ``column, check, cnt, pct_of_gross``.
 
-    All checks come out of a single scan; exact distinct counts share one
-    shuffle of their locally distinct values. ``gross`` is a one-value frame
-    with the row count percentages refer to, when that is not the frame's own
-    (the count before duplicates were removed).
+    ``gross`` is a one-value frame with the row count percentages refer to, when
+    that is not the frame's own (the count before duplicates were removed).
     """
-    base = F.count(F.lit(1)) if gross is None else F.max(gross.scalar())
-    measures = quality_measures(df, checks, regexes, base, approx)
-    if not measures:
-        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    counts = [m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)]
-    profile = df.agg(base.cast("bigint").alias("gross"), *counts)
-    entries = [
-        F.struct(
-            F.lit(m.column).alias("column"),
-            F.lit(m.check).alias("check"),
-            F.col(f"m{i}").alias("cnt"),
-            (F.try_divide(F.col(f"m{i}"), F.col("gross")) * 100).alias("pct_of_gross"),
-        )
-        for i, m in enumerate(measures)
-    ]
-    return profile.select(F.inline(F.array(*entries)))
+    plan = quality_plan(df, checks, regexes, approx)
+    return quality_rows(profile(df, plan, gross), plan)
 
 
 REPORT_SCHEMA = "column string, check string, cnt bigint, pct_of_gross double"

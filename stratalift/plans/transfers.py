@@ -1,8 +1,8 @@
 """Moving a table one layer on, or along its whole lineage.
 
-A hop runs one aggregation over the source (row counts, quality, checksum,
-failed casts) and one write. Only removing duplicates adds a staging table,
-as both would otherwise repeat its shuffle.
+A hop profiles its source with one action (row counts, quality, checksum,
+failed casts) and writes its target with another. Only removing duplicates adds
+a staging table, as both would otherwise repeat its shuffle.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -28,10 +28,12 @@ from stratalift.operators.integrity import (
 from stratalift.operators.merge import merge_rows, merge_sources
 from stratalift.operators.metrics import (
     REPORT_SCHEMA,
-    Measure,
+    QualityPlan,
     cast_failed,
     group_agg,
-    quality_measures,
+    profile,
+    quality_entries,
+    quality_plan,
     row_count,
 )
 from stratalift.operators.projections import audit_columns
@@ -42,6 +44,9 @@ from stratalift.plans.transforms import Changes, changes, transform, updates
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
 from stratalift.staging import stage_rows
 
+KEPT = "__kept"
+DIGEST = "__digest"
+
 RUN_REPORT_SCHEMA = """
     family string, table_name string, source string, target string, run_by string,
     status int, started timestamp, ended timestamp, duration_seconds double,
@@ -182,7 +187,7 @@ def _hop(
     if removes:
         rows = stage_rows(dedupe(read, spec.dedupe_keys, spec.tie_break), "unique")
     transforms = source == TRANSFORMED_FROM
-    profile = _profile(read, rows, spec, transforms, options)
+    found = _profile(read, rows, spec, transforms, options)
     if options.integrity:
         rows = row_checksum(rows)
     touched = Changes()
@@ -201,12 +206,12 @@ def _hop(
         columns_updated=touched.updated,
         columns_renamed=touched.renamed,
         columns_total=rows.columns,
-        rows_gross=profile.gross,
-        rows_net=profile.net,
-        rows_duplicates=profile.gross - profile.unique,
-        rows_filtered=profile.unique - profile.net,
-        cast_nulls=profile.cast_nulls,
-        checksum=profile.checksum,
+        rows_gross=found.gross,
+        rows_net=found.net,
+        rows_duplicates=found.gross - found.unique,
+        rows_filtered=found.unique - found.net,
+        cast_nulls=found.cast_nulls,
+        checksum=found.checksum,
     )
     place = layers[target]
     if isinstance(place, FileLayer):
@@ -219,21 +224,22 @@ def _hop(
     if options.catalog:
         facts.update(catalog_failure=_catalog(spark, spec, target, place, rows, options))
     table = place.read(spark, options.run_date) if isinstance(place, FileLayer) else None
-    return spark.createDataFrame(profile.quality, REPORT_SCHEMA), table
+    return spark.createDataFrame(found.quality, REPORT_SCHEMA), table
 
 
 def _profile(
     read: DataFrame, rows: DataFrame, spec: TableSpec, transforms: bool, options: RunOptions
 ) -> _Profile:
-    """Everything the hop wants to know about its source, in one aggregation."""
-    measures: list[Measure] = []
+    """Everything the hop wants to know about its source."""
+    plan = QualityPlan()
     if options.quality:
         checks = spec.quality_checks(rows.columns)
-        measures = quality_measures(
-            rows, checks, spec.expressions, approx=options.approx_distinct
-        )
-    kept = filter_condition(rows, spec.filter) if transforms and spec.filter else F.lit(True)
-    casts = {}
+        plan = quality_plan(rows, checks, spec.expressions, options.approx_distinct)
+    # Columns of their own, so that a row evaluates each of them once.
+    extra: dict[str, Column] = {KEPT: F.lit(True)}
+    if transforms and spec.filter:
+        extra[KEPT] = filter_condition(rows, spec.filter)
+    casts: dict[str, Column] = {}
     if transforms:
         new = updates(rows.columns, spec)
         casts = {
@@ -241,52 +247,41 @@ def _profile(
                 new.get(c.name, col(c.name)),
                 StringType() if c.name in new else rows.schema[c.name].dataType,
                 c.type,
-                kept,
+                F.col(KEPT),
             )
             for c in spec.columns
             if c.name in rows.columns and c.type != "string"
         }
+    more = {"net": F.count_if(F.col(KEPT))}
+    more.update({f"cast{at}": failed for at, failed in enumerate(casts.values())})
     additive = options.integrity and options.checksum_mode == "additive"
-    digest = "__digest"
-    profiled = rows.select("*", row_digest(rows).alias(digest)) if additive else rows
+    if additive:
+        extra[DIGEST] = row_digest(rows)
+        more.update(additive_sums(F.col(DIGEST)))
+    prepared = rows.select("*", *[value.alias(name) for name, value in extra.items()])
+    gross = None if rows is read else row_count(read)
     one: Row = (
-        profiled.agg(
-            F.count(F.lit(1)).alias("unique"),
-            F.count_if(kept).alias("net"),
-            *[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)],
-            *[value.alias(f"cast{i}") for i, value in enumerate(casts.values())],
-            *(additive_sums(F.col(digest)) if additive else ()),
+        profile(prepared, plan, gross, more)
+        .select(
+            "*",
+            F.array(*quality_entries(plan)).alias("quality"),
+            (additive_digest() if additive else F.lit(None).cast("string")).alias("checksum"),
         )
-        .select("*", *([additive_digest()] if additive else [F.lit(None).alias("checksum")]))
         .first()
     )
-    gross = one["unique"] if rows is read else row_count(read).first()[0]
     checksum = one["checksum"]
     if options.integrity and not additive:
         checksum = dataset_checksum(rows, options.checksum_mode).first()["checksum"]
     return _Profile(
-        gross=gross,
-        unique=one["unique"],
+        gross=one["gross"],
+        unique=one["rows"],
         net=one["net"],
         checksum=checksum,
-        quality=_quality_rows(measures, one, gross),
-        cast_nulls={name: one[f"cast{i}"] for i, name in enumerate(casts)},
+        quality=[tuple(entry) for entry in one["quality"]] if one["gross"] else [],
+        cast_nulls={name: one[f"cast{at}"] for at, name in enumerate(casts)},
     )
 
 
-def _quality_rows(measures: Sequence[Measure], one: Row, gross: int) -> list[tuple]:
-    if not gross:
-        return []
-    rows = []
-    for i, measure in enumerate(measures):
-        count = one[f"m{i}"]
-        if measure.check == "Duplicate":
-            # against all rows read, also those removed as duplicates before
-            count += gross - one["unique"]
-        rows.append((measure.column, measure.check, count, count / gross * 100))
-    return rows
-
-
 def _catalog(
     spark: SparkSession,
     spec: TableSpec,

@@ -17,6 +17,7 @@ from stratalift.operators import (
 )
 from stratalift.queries.filters import BLANKED_SQL, events_with_gaps
 from stratalift.queries.registry import query, table
+from stratalift.staging import stage_rows
 
 CHECKS = ("Null", "Blank", "Unique", "UserDefined:alphanumeric")
 REGEXES = {"alphanumeric": "^[a-zA-Z0-9]+$"}
@@ -75,7 +76,8 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def profile_of_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    unique = dedupe(documents, ["text"], {"doc_id": "ASC"})
+    # staged, as counts and distinct counts each read it
+    unique = stage_rows(dedupe(documents, ["text"], {"doc_id": "ASC"}), "unique")
     checks = {c: CHECKS for c in ("text", "lang", "source")}
     return quality_report(unique, checks, REGEXES, gross=row_count(documents))
 

@@ -38,10 +38,14 @@ def test_quality_report(spark, either_ansi):
     ]
 
 
-def test_quality_report_reads_the_table_once(spark, sf_dir):
+def test_quality_report_shuffles_distinct_values_only(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    text = plan(quality_report(events, {"event_type": CHECKS, "user_id": ("Unique",)}, REGEXES))
-    assert text.count("FileScan") == 1
+    checks = {"event_type": CHECKS, "user_id": ("Unique",), "value": ("Null",)}
+    text = plan(quality_report(events, checks, REGEXES))
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    # the subquery is printed with its parent and once by itself
+    assert len({line.strip(" :+-") for line in shuffles}) == 1
+    assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in text
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in text
 
 
