@@ -81,19 +81,24 @@ def quality_plan(
     return plan
 
 
-def profile(
-    df: DataFrame,
-    plan: QualityPlan,
-    gross: DataFrame | None = None,
-    more: Mapping[str, Column] | None = None,
+def profile(df: DataFrame, plan: QualityPlan, gross: DataFrame | None = None) -> DataFrame:
+    """One row with the plan's aggregates, ``rows`` and ``gross``."""
+    row = df.agg(*[value.alias(name) for name, value in plain_aggregates(plan).items()])
+    return with_distinct(row, df, plan, gross)
+
+
+def plain_aggregates(plan: QualityPlan) -> dict[str, Column]:
+    """The part of a profile that is one scan, without a shuffle of rows."""
+    return {"rows": F.count(F.lit(1)), **plan.plain}
+
+
+def with_distinct(
+    row: DataFrame, df: DataFrame, plan: QualityPlan, gross: DataFrame | None = None
 ) -> DataFrame:
-    """One row with the plan's aggregates, ``rows``, ``gross`` and ``more`` aggregates.
+    """Complete a profile whose plain aggregates are known.
 
-    The plain aggregates are one scan without a shuffle of rows. Distinct counts
-    read their columns in a scan of their own, which Spark runs beside it.
+    Distinct counts read their columns of ``df`` in a scan of their own.
     """
-    plain = {"rows": F.count(F.lit(1)), **plan.plain, **(more or {})}
-    row = df.agg(*[value.alias(name) for name, value in plain.items()])
     row = row.withColumn("gross", F.col("rows") if gross is None else gross.scalar())
     if plan.distinct:
         counts = df.agg(*[value.alias(name) for name, value in plan.distinct.items()])

@@ -1,14 +1,16 @@
 """Moving a table one layer on, or along its whole lineage.
 
-A hop profiles its source with one action (row counts, quality, checksum,
-failed casts) and writes its target with another. Only removing duplicates adds
-a staging table, as both would otherwise repeat its shuffle.
+A hop reads its source once where it can: row counts, quality counts, failed casts
+and the additive checksum are observed while the target is written. A hop that
+sorts, merges or groups takes them in one aggregation before. Exact distinct
+counts always scan their own columns. Only removing duplicates adds a staging
+table, so that its shuffle runs once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from typing import Any
 
@@ -19,11 +21,11 @@ from pyspark.sql.types import StringType
 from stratalift.functions.columns import col
 from stratalift.operators.filters import filter_condition
 from stratalift.operators.integrity import (
+    ROW_CHECKSUM,
     additive_digest,
     additive_sums,
     dataset_checksum,
     row_checksum,
-    row_digest,
 )
 from stratalift.operators.merge import merge_rows, merge_sources
 from stratalift.operators.metrics import (
@@ -31,10 +33,12 @@ from stratalift.operators.metrics import (
     QualityPlan,
     cast_failed,
     group_agg,
+    plain_aggregates,
     profile,
     quality_entries,
     quality_plan,
     row_count,
+    with_distinct,
 )
 from stratalift.operators.projections import audit_columns
 from stratalift.operators.rows import dedupe
@@ -45,7 +49,6 @@ from stratalift.sinks.catalog import append_audit, catalog_name, register_catalo
 from stratalift.staging import stage_rows
 
 KEPT = "__kept"
-DIGEST = "__digest"
 
 RUN_REPORT_SCHEMA = """
     family string, table_name string, source string, target string, run_by string,
@@ -99,16 +102,6 @@ class TransferResult:
     table: DataFrame | None = None
 
 
-@dataclass
-class _Profile:
-    gross: int = 0
-    unique: int = 0
-    net: int = 0
-    checksum: str | None = None
-    quality: list[tuple] = field(default_factory=list)
-    cast_nulls: dict[str, int] = field(default_factory=dict)
-
-
 class LineageError(RuntimeError):
     """Some tables of a lineage run failed; ``reports`` holds every hop's report."""
 
@@ -182,19 +175,30 @@ def _hop(
 ) -> tuple[DataFrame, DataFrame | None]:
     spec.check_types()
     read = layers[source].read(spark, options.run_date)
-    rows = read
-    removes = options.quality and spec.dedupe
-    if removes:
+    place = layers[target]
+    rows, gross = read, None
+    if options.quality and spec.dedupe:
         rows = stage_rows(dedupe(read, spec.dedupe_keys, spec.tie_break), "unique")
+        gross = row_count(read)
     transforms = source == TRANSFORMED_FROM
-    found = _profile(read, rows, spec, transforms, options)
-    if options.integrity:
-        rows = row_checksum(rows)
+    merges = source == MERGED_FROM and bool(options.merges or spec.group_aggs)
+    probe = _Probe(rows, gross, spec, transforms, options)
+    # Without a shuffle between source and files the writing tasks take the
+    # profile along; each of them counts once, however often it is tried.
+    # Otherwise a task that is run again would count again, so it is taken first.
+    sorts = transforms and bool(spec.sort)
+    along = isinstance(place, FileLayer) and not merges and not sorts
+    rows, seen = probe.prepared, Observation(f"{spec.family}/{spec.table}/{source}")
+    if along:
+        rows = rows.observe(seen, *probe.aggregates())
+    else:
+        facts.update(probe.facts(probe.row()))
+    rows = rows.drop(KEPT)
     touched = Changes()
     if transforms:
         touched = changes(rows.columns, spec)
         rows = transform(rows, spec)
-    elif source == MERGED_FROM:
+    elif merges:
         for step in options.merges:
             rows = step.apply(rows)
         if spec.group_aggs:
@@ -206,80 +210,88 @@ def _hop(
         columns_updated=touched.updated,
         columns_renamed=touched.renamed,
         columns_total=rows.columns,
-        rows_gross=found.gross,
-        rows_net=found.net,
-        rows_duplicates=found.gross - found.unique,
-        rows_filtered=found.unique - found.net,
-        cast_nulls=found.cast_nulls,
-        checksum=found.checksum,
     )
-    place = layers[target]
     if isinstance(place, FileLayer):
-        # Counted in the writing tasks themselves, each of which counts once.
         written = Observation(f"{spec.family}/{spec.table}/{target}")
         place.write(rows.observe(written, F.count(F.lit(1)).alias("rows")), options.run_date)
         facts.update(rows_written=written.get["rows"])
     else:
         place.write(rows, options.run_date)
+    if along:
+        facts.update(probe.facts(probe.row(seen.get)))
     if options.catalog:
         facts.update(catalog_failure=_catalog(spark, spec, target, place, rows, options))
     table = place.read(spark, options.run_date) if isinstance(place, FileLayer) else None
-    return spark.createDataFrame(found.quality, REPORT_SCHEMA), table
-
-
-def _profile(
-    read: DataFrame, rows: DataFrame, spec: TableSpec, transforms: bool, options: RunOptions
-) -> _Profile:
-    """Everything the hop wants to know about its source."""
-    plan = QualityPlan()
-    if options.quality:
-        checks = spec.quality_checks(rows.columns)
-        plan = quality_plan(rows, checks, spec.expressions, options.approx_distinct)
-    # Columns of their own, so that a row evaluates each of them once.
-    extra: dict[str, Column] = {KEPT: F.lit(True)}
-    if transforms and spec.filter:
-        extra[KEPT] = filter_condition(rows, spec.filter)
-    casts: dict[str, Column] = {}
-    if transforms:
-        new = updates(rows.columns, spec)
-        casts = {
-            c.name: cast_failed(
-                new.get(c.name, col(c.name)),
-                StringType() if c.name in new else rows.schema[c.name].dataType,
-                c.type,
-                F.col(KEPT),
-            )
-            for c in spec.columns
-            if c.name in rows.columns and c.type != "string"
+    return spark.createDataFrame(facts.pop("quality"), REPORT_SCHEMA), table
+
+
+class _Probe:
+    """What a hop wants to know about its source rows, and how it gets to know it."""
+
+    def __init__(
+        self,
+        rows: DataFrame,
+        gross: DataFrame | None,
+        spec: TableSpec,
+        transforms: bool,
+        options: RunOptions,
+    ):
+        self.rows, self.gross, self.options = rows, gross, options
+        self.plan = QualityPlan()
+        if options.quality:
+            checks = spec.quality_checks(rows.columns)
+            self.plan = quality_plan(rows, checks, spec.expressions, options.approx_distinct)
+        filters = transforms and spec.filter
+        kept = filter_condition(rows, spec.filter) if filters else F.lit(True)
+        # Columns of their own, so that a row evaluates each of them once.
+        self.prepared = row_checksum(rows) if options.integrity else rows
+        self.prepared = self.prepared.withColumn(KEPT, kept)
+        self.plan.plain["net"] = F.count_if(F.col(KEPT))
+        self.casts: dict[str, str] = {}
+        if transforms:
+            self._count_casts(spec)
+        self.additive = options.integrity and options.checksum_mode == "additive"
+        if self.additive:
+            self.plan.plain.update(additive_sums(F.col(ROW_CHECKSUM)))
+
+    def _count_casts(self, spec: TableSpec) -> None:
+        new = updates(self.rows.columns, spec)
+        for at, c in enumerate(spec.columns):
+            if c.name in self.rows.columns and c.type != "string":
+                kind = StringType() if c.name in new else self.rows.schema[c.name].dataType
+                value = new.get(c.name, col(c.name))
+                self.casts[c.name] = f"cast{at}"
+                self.plan.plain[f"cast{at}"] = cast_failed(value, kind, c.type, F.col(KEPT))
+
+    def aggregates(self) -> list[Column]:
+        return [value.alias(name) for name, value in plain_aggregates(self.plan).items()]
+
+    def row(self, seen: Mapping[str, Any] | None = None) -> Row:
+        """The whole profile; ``seen`` are plain aggregates that a write took along."""
+        if seen:
+            schema = ", ".join(f"{name} bigint" for name in seen)
+            known = self.rows.sparkSession.createDataFrame([tuple(seen.values())], schema)
+            profiled = with_distinct(known, self.prepared, self.plan, self.gross)
+        else:
+            profiled = profile(self.prepared, self.plan, self.gross)
+        checksum = additive_digest() if self.additive else F.lit(None).cast("string")
+        entries = F.array(*quality_entries(self.plan))
+        return profiled.select("*", entries.alias("quality"), checksum.alias("checksum")).first()
+
+    def facts(self, row: Row) -> dict[str, Any]:
+        checksum = row["checksum"]
+        if self.options.integrity and not self.additive:
+            mode = self.options.checksum_mode
+            checksum = dataset_checksum(self.rows, mode).first()["checksum"]
+        return {
+            "rows_gross": row["gross"],
+            "rows_net": row["net"],
+            "rows_duplicates": row["gross"] - row["rows"],
+            "rows_filtered": row["rows"] - row["net"],
+            "cast_nulls": {name: row[at] for name, at in self.casts.items()},
+            "checksum": checksum,
+            "quality": [tuple(entry) for entry in row["quality"]] if row["gross"] else [],
         }
-    more = {"net": F.count_if(F.col(KEPT))}
-    more.update({f"cast{at}": failed for at, failed in enumerate(casts.values())})
-    additive = options.integrity and options.checksum_mode == "additive"
-    if additive:
-        extra[DIGEST] = row_digest(rows)
-        more.update(additive_sums(F.col(DIGEST)))
-    prepared = rows.select("*", *[value.alias(name) for name, value in extra.items()])
-    gross = None if rows is read else row_count(read)
-    one: Row = (
-        profile(prepared, plan, gross, more)
-        .select(
-            "*",
-            F.array(*quality_entries(plan)).alias("quality"),
-            (additive_digest() if additive else F.lit(None).cast("string")).alias("checksum"),
-        )
-        .first()
-    )
-    checksum = one["checksum"]
-    if options.integrity and not additive:
-        checksum = dataset_checksum(rows, options.checksum_mode).first()["checksum"]
-    return _Profile(
-        gross=one["gross"],
-        unique=one["rows"],
-        net=one["net"],
-        checksum=checksum,
-        quality=[tuple(entry) for entry in one["quality"]] if one["gross"] else [],
-        cast_nulls={name: one[f"cast{at}"] for at, name in enumerate(casts)},
-    )
 
 
 def _catalog(

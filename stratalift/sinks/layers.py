@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 RUN_DATE = "run_date"
 MAX_RECORDS_PER_FILE = 1_000_000
@@ -25,14 +24,16 @@ def dated_snapshot(
     fmt: str = "parquet",
     max_records: int = MAX_RECORDS_PER_FILE,
 ) -> None:
-    """Overwrite one day of a table kept by run date; other days stay as they are."""
-    day = F.lit(str(run_date)).cast("date")
-    (
-        _writer(df.withColumn(RUN_DATE, day), fmt, max_records)
-        .partitionBy(RUN_DATE)
-        .option("partitionOverwriteMode", "dynamic")
-        .save(path)
-    )
+    """Overwrite one day of a table kept by run date; other days stay as they are.
+
+    The day's folder is written as such, not as a dynamic partition: a day
+    without rows then replaces what was there before, and keeps its schema.
+    """
+    _writer(df.drop(RUN_DATE), fmt, max_records).save(dated_path(path, run_date))
+
+
+def dated_path(path: str, run_date: date | str) -> str:
+    return f"{path.rstrip('/')}/{RUN_DATE}={date.fromisoformat(str(run_date))}"
 
 
 def _writer(df: DataFrame, fmt: str, max_records: int):

@@ -38,6 +38,11 @@ def test_snapshots_by_day(spark, tmp_path):
     assert latest.columns == ["id"] and latest.count() == 2
     assert "PartitionFilters: [isnotnull(run_date" in plan(latest)
     assert read_dated(spark, path, "2025-04-01").count() == 0
+    # a day that is now empty is empty
+    dated_snapshot(spark.range(0), path, "2025-03-02")
+    assert read_dated(spark, path).count() == 0
+    with pytest.raises(ValueError):
+        dated_snapshot(spark.range(1), path, "yesterday")
     empty = tmp_path / "empty"
     empty.mkdir()
     with pytest.raises(ValueError, match="no run_date folder"):
