@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalift.functions.columns import col
 from stratalift.operators.metrics import row_count
+from stratalift.operators.projections import exclude_row_columns
 
 HOWS = ("inner", "left", "semi", "anti")
 # A key is hot above this share of the rows, so fewer than 1 / share keys can be.
@@ -33,12 +34,13 @@ def merge_sources(
     No side is hinted: Spark broadcasts one when its statistics, or the size
     its shuffle turned out to have, are below the session's threshold, and
     splits skewed partitions at run time. ``salts`` also spreads the keys that
-    hold over a thousandth of ``df``'s rows (or are NULL) over that many
-    sub-keys, at the price of one counting pass over the key columns.
+    hold over a thousandth of ``df``'s rows over that many sub-keys, at the price
+    of counting passes over the key columns. Audit columns of ``other`` are left out.
     """
     if how not in HOWS:
         raise ValueError(f"unknown join kind {how!r}, expected one of {', '.join(HOWS)}")
     on = list(on)
+    other = exclude_row_columns(other)
     if how in ("semi", "anti"):
         # the distinct keys are partitioned as the join needs them
         other = other.select(*[col(c) for c in on]).distinct()

@@ -1,5 +1,6 @@
 """Table specs and what is built from them: transforms, transfers, reports."""
 
+from stratalift.plans.landing import landing_layer
 from stratalift.plans.layers import CustomLayer, FileLayer
 from stratalift.plans.reports import display_layers, layer_checksum_diff, layer_row_counts
 from stratalift.plans.spec import LABELS, LAYERS, LINEAGE, ColumnSpec, TableSpec
@@ -30,6 +31,7 @@ __all__ = [
     "audit_text",
     "changes",
     "display_layers",
+    "landing_layer",
     "layer_checksum_diff",
     "layer_row_counts",
     "run_lineage",

@@ -8,6 +8,7 @@ from typing import Any
 
 from stratalift.functions.types import spark_type
 from stratalift.operators.filters import Tree
+from stratalift.sources.paged import PAGE_ROWS
 
 # The layers in order, where each one leads, and their labels.
 LAYERS = ("DS", "LZ", "RZ", "BL", "SL", "GL", "DZ")
@@ -61,6 +62,12 @@ class TableSpec:
     dedupe: bool = False
     dedupe_keys: tuple[str, ...] | None = None
     tie_break: Mapping[str, str] = field(default_factory=dict)
+    # what the source API is asked for; without a first day only the days not landed yet
+    start_date: str | None = None
+    end_date: str | None = None
+    fetch_offset: int = 0
+    fetch_limit: int = PAGE_ROWS
+    in_lists: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     expressions: Mapping[str, str] = field(default_factory=lambda: dict(EXPRESSIONS))
 
     def __post_init__(self) -> None:
@@ -104,8 +111,10 @@ class TableSpec:
         Below ``Schema`` it has ``Dimensions`` and ``Metrics`` (``Type``,
         ``Drop``, ``Rename``, ``Quality`` per column), ``Transformation``
         (``Filter``, ``New``, ``Update``, ``Group``, ``Sort``) and ``Quality``
-        (``Duplicates``: ``Remove``, ``Fields``). Sets are put in order, so
-        that a run does not depend on how they iterate.
+        (``Duplicates``: ``Remove``, ``Fields``). ``API`` may have
+        ``StartDate``, ``EndDate``, ``Fetch_Offset``, ``Fetch_Limit`` and a
+        ``Filter`` by ``DimensionInList``. Sets are put in order, so that a run
+        does not depend on how they iterate.
         """
         schema = config["Schema"]
         steps = schema.get("Transformation") or {}
@@ -114,6 +123,8 @@ class TableSpec:
         group = steps.get("Group") or {}
         duplicates = (schema.get("Quality") or {}).get("Duplicates") or {}
         fields = _listed(duplicates.get("Fields"))
+        api = config.get("API") or {}
+        in_lists = (api.get("Filter") or {}).get("DimensionInList") or {}
         return cls(
             family=family,
             table=table,
@@ -130,6 +141,11 @@ class TableSpec:
             sort=steps.get("Sort") or {},
             dedupe=bool(duplicates.get("Remove")) and bool(fields),
             dedupe_keys=None if "*" in fields else fields or None,
+            start_date=api.get("StartDate"),
+            end_date=api.get("EndDate"),
+            fetch_offset=api.get("Fetch_Offset", 0),
+            fetch_limit=api.get("Fetch_Limit", PAGE_ROWS),
+            in_lists={name: _listed(values) for name, values in in_lists.items()},
             expressions={**EXPRESSIONS, **(expressions or {})},
         )
 

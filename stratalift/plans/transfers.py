@@ -46,12 +46,12 @@ from stratalift.plans.layers import FileLayer, Layer
 from stratalift.plans.spec import LABELS, LINEAGE, MERGED_FROM, TRANSFORMED_FROM, TableSpec
 from stratalift.plans.transforms import Changes, changes, transform, updates
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
-from stratalift.staging import stage_rows
+from stratalift.staging import staged
 
 KEPT = "__kept"
 
 RUN_REPORT_SCHEMA = """
-    family string, table_name string, source string, target string, run_by string,
+    family string, table_name string, source string, target string, mode string, run_by string,
     status int, started timestamp, ended timestamp, duration_seconds double,
     columns_added array<string>, columns_purged array<string>, columns_updated array<string>,
     columns_renamed map<string,string>, columns_total array<string>,
@@ -81,6 +81,7 @@ class MergeStep:
 class RunOptions:
     run_date: date | str
     run_ts: datetime | str | None = None
+    mode: str = "Live"
     caller: str = "Direct"
     runner: str | None = None
     pipeline: Mapping[str, str] | None = None
@@ -149,6 +150,7 @@ def transfer(
         "table_name": spec.table,
         "source": source,
         "target": target,
+        "mode": options.mode,
         "run_by": audit_text(spec, source, options),
         "started": started,
         "hash": "SHA-256" if options.integrity else None,
@@ -175,11 +177,26 @@ def _hop(
 ) -> tuple[DataFrame, DataFrame | None]:
     spec.check_types()
     read = layers[source].read(spark, options.run_date)
-    place = layers[target]
-    rows, gross = read, None
-    if options.quality and spec.dedupe:
-        rows = stage_rows(dedupe(read, spec.dedupe_keys, spec.tie_break), "unique")
+    if not (options.quality and spec.dedupe):
+        return _move(spark, spec, source, target, layers, options, facts, read, None)
+    unique = dedupe(read, spec.dedupe_keys, spec.tie_break)
+    with staged(unique, "unique") as rows:
         gross = row_count(read)
+        return _move(spark, spec, source, target, layers, options, facts, rows, gross)
+
+
+def _move(
+    spark: SparkSession,
+    spec: TableSpec,
+    source: str,
+    target: str,
+    layers: Mapping[str, Layer],
+    options: RunOptions,
+    facts: dict[str, Any],
+    rows: DataFrame,
+    gross: DataFrame | None,
+) -> tuple[DataFrame, DataFrame | None]:
+    place = layers[target]
     transforms = source == TRANSFORMED_FROM
     merges = source == MERGED_FROM and bool(options.merges or spec.group_aggs)
     probe = _Probe(rows, gross, spec, transforms, options)

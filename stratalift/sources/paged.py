@@ -33,11 +33,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclasses.dataclass(frozen=True)
 class PageRequest:
-    """What the service is asked for: a page, and the lists its dimensions must be in."""
+    """What the service is asked for: a page of a report.
+
+    The report covers the days ``start_date`` to ``end_date``, both inclusive
+    and None where open, and the rows whose dimensions are in their lists.
+    """
 
     offset: int
     limit: int
     in_lists: Mapping[str, Sequence[str]]
+    start_date: str | None = None
+    end_date: str | None = None
 
 
 class PageReader(DataSourceReader):
@@ -49,9 +55,10 @@ class PageReader(DataSourceReader):
         self.pause = float(options.get("pause", PAUSE_SECONDS))
         self.require_rows = options.get("requireRows", "true") == "true"
         self.in_lists = json.loads(options.get("inLists", "{}"))
+        self.days = options.get("startDate"), options.get("endDate")
 
     def partitions(self) -> list[InputPartition]:
-        total = self.source.count_rows(PageRequest(0, 1, self.in_lists))
+        total = self.source.count_rows(PageRequest(0, 1, self.in_lists, *self.days))
         if total == 0 and self.require_rows:
             raise ValueError("no rows found")
         # an empty table still needs a partition, or Spark asks for the whole in one
@@ -60,8 +67,8 @@ class PageReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[Any]:
         time.sleep(self.pause)
-        page = self.source.fetch_page(PageRequest(partition.value, self.limit, self.in_lists))
-        for item in page:
+        request = PageRequest(partition.value, self.limit, self.in_lists, *self.days)
+        for item in self.source.fetch_page(request):
             if hasattr(item, "schema"):
                 yield item
             else:
@@ -93,8 +100,9 @@ def paged_source(
     """A data source class to register; its columns are text, dimensions then metrics.
 
     Read options: ``limit`` rows per page, first ``offset``, ``pause`` seconds
-    before each page, ``inLists`` as JSON, ``requireRows``, and ``pushdown``,
-    which needs ``spark.sql.python.filterPushdown.enabled``.
+    before each page, ``inLists`` as JSON, ``startDate``, ``endDate``,
+    ``requireRows``, and ``pushdown``, which needs the session setting
+    ``spark.sql.python.filterPushdown.enabled``.
     """
     return type(
         "PagedSource",
@@ -132,11 +140,14 @@ def read_pages(
     offset: int = 0,
     pause: float = PAUSE_SECONDS,
     in_lists: Mapping[str, Iterable[Any]] | None = None,
+    start_date: str | None = None,
+    end_date: str | None = None,
     require_rows: bool = True,
 ) -> DataFrame:
     """Register the source and read all its pages; fields must be in all their lists."""
     lists = {field: sorted(map(str, values)) for field, values in (in_lists or {}).items()}
     spark.dataSource.register(source)
+    days = {"startDate": start_date, "endDate": end_date}
     return (
         spark.read.format(source.name())
         .option("limit", limit)
@@ -144,5 +155,6 @@ def read_pages(
         .option("pause", pause)
         .option("inLists", json.dumps(lists))
         .option("requireRows", str(require_rows).lower())
+        .options(**{name: day for name, day in days.items() if day is not None})
         .load()
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,21 @@ def staging_path(spark: SparkSession, name: str = "rows") -> str:
 
 def stage_rows(df: DataFrame, name: str = "rows") -> DataFrame:
     """Write the rows as a table and read it back: cuts the lineage, survives lost executors."""
+    return _stage(df, staging_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str = "rows") -> Iterator[DataFrame]:
+    """The rows as such a table, which is deleted at the end of the block."""
     path = staging_path(df.sparkSession, name)
+    try:
+        yield _stage(df, path)
+    finally:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
