@@ -16,7 +16,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from stratalift.functions.columns import col
 from stratalift.operators.filters import filter_condition
@@ -333,7 +333,7 @@ def _catalog(
 def _finish(spark: SparkSession, facts: dict[str, Any], options: RunOptions) -> DataFrame:
     ended = datetime.now(UTC)
     facts.update(ended=ended, duration_seconds=(ended - facts["started"]).total_seconds())
-    schema = spark.createDataFrame([], RUN_REPORT_SCHEMA).schema
+    schema = DataType.fromDDL(RUN_REPORT_SCHEMA)
     report = spark.createDataFrame([tuple(facts.get(f.name) for f in schema)], schema)
     if options.audit_table:
         append_audit(report, options.audit_table)
@@ -366,8 +366,7 @@ def run_lineage(
                 failures.append(f"{spec.family}/{spec.table} {source} to {target}: {error}")
                 break
             reports.append(done.report)
-    schema = spark.createDataFrame([], RUN_REPORT_SCHEMA)
-    result = merge_rows(schema, *reports)
+    result = merge_rows(spark.createDataFrame([], RUN_REPORT_SCHEMA), *reports)
     if failures:
         raise LineageError("; ".join(failures), result)
     return result
