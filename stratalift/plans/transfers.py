@@ -10,6 +10,7 @@ table, so that its shuffle runs once.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from typing import Any
@@ -42,7 +43,7 @@ from stratalift.operators.metrics import (
 )
 from stratalift.operators.projections import audit_columns
 from stratalift.operators.rows import dedupe
-from stratalift.plans.layers import FileLayer, Layer
+from stratalift.plans.layers import CustomLayer, FileLayer, Layer
 from stratalift.plans.spec import LABELS, LINEAGE, MERGED_FROM, TRANSFORMED_FROM, TableSpec
 from stratalift.plans.transforms import Changes, changes, transform, updates
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
@@ -179,8 +180,12 @@ def _hop(
     read = layers[source].read(spark, options.run_date)
     if not (options.quality and spec.dedupe):
         return _move(spark, spec, source, target, layers, options, facts, read, None)
-    unique = dedupe(read, spec.dedupe_keys, spec.tie_break)
-    with staged(unique, "unique") as rows:
+    with ExitStack() as tables:
+        if isinstance(layers[source], CustomLayer):
+            # an API or a database is asked once only
+            read = tables.enter_context(staged(read, "source"))
+        unique = dedupe(read, spec.dedupe_keys, spec.tie_break)
+        rows = tables.enter_context(staged(unique, "unique"))
         gross = row_count(read)
         return _move(spark, spec, source, target, layers, options, facts, rows, gross)
 
@@ -235,7 +240,9 @@ def _move(
     else:
         place.write(rows, options.run_date)
     if along:
-        facts.update(probe.facts(probe.row(seen.get)))
+        # untransformed rows are as good read from the target as from the source
+        again = None if transforms else place.read(spark, options.run_date)
+        facts.update(probe.facts(probe.row(seen.get, again)))
     if options.catalog:
         facts.update(catalog_failure=_catalog(spark, spec, target, place, rows, options))
     table = place.read(spark, options.run_date) if isinstance(place, FileLayer) else None
@@ -283,11 +290,19 @@ class _Probe:
     def aggregates(self) -> list[Column]:
         return [value.alias(name) for name, value in plain_aggregates(self.plan).items()]
 
-    def row(self, seen: Mapping[str, Any] | None = None) -> Row:
-        """The whole profile; ``seen`` are plain aggregates that a write took along."""
+    def row(
+        self, seen: Mapping[str, Any] | None = None, again: DataFrame | None = None
+    ) -> Row:
+        """The whole profile.
+
+        ``seen`` are plain aggregates that a write took along; whatever needs
+        the rows once more then reads ``again``, if given, instead of the source.
+        """
         if seen:
             schema = ", ".join(f"{name} bigint" for name in seen)
             known = self.rows.sparkSession.createDataFrame([tuple(seen.values())], schema)
+            if again is not None:
+                self.rows = self.prepared = again
             profiled = with_distinct(known, self.prepared, self.plan, self.gross)
         else:
             profiled = profile(self.prepared, self.plan, self.gross)
