@@ -61,7 +61,7 @@ def dataset_checksum(
         mode = "compat" if fits else "tree"
     if mode == "additive":
         digests = df.select(row_digest(df, strict).alias("h"))
-        sums = [value.alias(name) for name, value in additive_sums(F.col("h")).items()]
+        sums = [value.alias(name) for name, value in additive_sums("h").items()]
         result = digests.agg(*sums).select(additive_digest().alias("checksum"))
     elif mode == "tree":
         result = _tree(df, strict)
@@ -76,16 +76,15 @@ def _sum_names() -> list[str]:
     return [f"sum{at}" for at in range(QUARTERS * PARTS)]
 
 
-def additive_sums(digest: Column) -> dict[str, Column]:
-    """Aggregates of the additive form, to be taken along in a larger aggregation."""
-    width = DIGEST_DIGITS // QUARTERS
-    numbers = [F.xxhash64(F.substring(digest, 1 + at * width, width)) for at in range(QUARTERS)]
+def additive_sums(digest: str) -> dict[str, Column]:
+    """Aggregates of the additive form over a digest column, fit for a larger aggregation."""
+    width, mask = DIGEST_DIGITS // QUARTERS, (1 << PART_BITS) - 1
     parts = [
-        F.shiftright(number, PART_BITS * at).bitwiseAND(F.lit((1 << PART_BITS) - 1))
-        for number in numbers
-        for at in range(PARTS)
+        f"shiftright(xxhash64(substring({digest}, {1 + quarter * width}, {width})), {shift}) & {mask}"
+        for quarter in range(QUARTERS)
+        for shift in range(0, PARTS * PART_BITS, PART_BITS)
     ]
-    sums = {name: F.sum(part) for part, name in zip(parts, _sum_names(), strict=True)}
+    sums = {name: F.expr(f"sum({part})") for part, name in zip(parts, _sum_names(), strict=True)}
     return {"digests": F.count(digest), **sums}
 
 

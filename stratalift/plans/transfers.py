@@ -276,7 +276,7 @@ class _Probe:
             self._count_casts(spec)
         self.additive = options.integrity and options.checksum_mode == "additive"
         if self.additive:
-            self.plan.plain.update(additive_sums(F.col(ROW_CHECKSUM)))
+            self.plan.plain.update(additive_sums(ROW_CHECKSUM))
 
     def _count_casts(self, spec: TableSpec) -> None:
         new = updates(self.rows.columns, spec)
