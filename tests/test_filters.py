@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -145,3 +146,68 @@ def test_types(spark, name, ddl):
 def test_types_without_values_raise(spark, name):
     with pytest.raises(ValueError):
         spark_type(name)
+
+
+def verdict(row, comparator, value):
+    """A condition in three-valued logic: True, False or None."""
+    if comparator in ("==", "!=") and value in (None, "Null"):
+        return (row is None) == (comparator == "==")
+    if comparator not in ("==", "!=") and value == "":
+        value = 0
+    if row is None or value is None:
+        return None
+    if isinstance(row, int) and isinstance(value, str):
+        if not value.lstrip("-").isdigit():
+            return None
+        value = int(value)
+    tests = {
+        "==": row == value,
+        "!=": row != value,
+        ">": row > value,
+        ">=": row >= value,
+        "<": row < value,
+        "<=": row <= value,
+    }
+    return tests[comparator]
+
+
+def fold(row, tree):
+    result, first = None, True
+    for word, comparisons in tree.items():
+        for comparator, columns in comparisons.items():
+            for name, wanted in columns.items():
+                for value in wanted:
+                    one = verdict(row[name], comparator, value)
+                    if first:
+                        result, first = one, False
+                    elif word == "OR":
+                        pair = (result, one)
+                        result = True if True in pair else None if None in pair else False
+                    else:
+                        pair = (result, one)
+                        result = False if False in pair else None if None in pair else True
+    return result
+
+
+def test_random_trees_equal_a_fold_by_hand(spark):
+    chance = random.Random(7)
+    rows = [
+        {"i": i, "n": chance.choice([None, -3, 0, 2, 5]), "s": chance.choice([None, "", "a", "b"])}
+        for i in range(40)
+    ]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "i int, n int, s string").cache()
+    numbers = [None, "Null", "", 0, 2, -3, "5", "x"]
+    for _ in range(40):
+        tree = {}
+        for word in chance.sample(["OR", "AND"], 2):
+            for comparator in chance.sample(["==", "!=", ">", ">=", "<", "<="], 2):
+                if comparator in ("==", "!="):
+                    values = {"n": [v for v in numbers if v != ""], "s": [None, "Null", "", "a", "b"]}
+                else:
+                    values = {"n": numbers, "i": [3, 17, "", 30]}
+                name = chance.choice(list(values))
+                picked = chance.sample(values[name], chance.randint(1, 3))
+                tree.setdefault(word, {}).setdefault(comparator, {})[name] = picked
+        expected = [r["i"] for r in rows if fold(r, tree) is True]
+        assert [r["i"] for r in filter_tree(df, tree).orderBy("i").collect()] == expected, tree
+    df.unpersist()

@@ -128,3 +128,22 @@ def test_staging_goes_to_the_shared_folder(spark):
     assert staging_path(spark) != staging_path(spark)
     staged = stage_rows(spark.range(5))
     assert "FileScan parquet" in plan(staged) and staged.count() == 5
+
+
+class Settings:
+    """A session as far as the staging folder is concerned."""
+
+    def __init__(self, **settings):
+        self.settings = {name.replace("_", "."): value for name, value in settings.items()}
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+
+def test_only_local_sessions_stage_on_the_machine():
+    assert staging_path(Settings(spark_master="local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_path(Settings(spark_master="yarn"))
+    shared = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:/shared/")
+    assert staging_path(shared).startswith("hdfs:/shared/stratalift/")
