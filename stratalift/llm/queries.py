@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalift.llm import sharding
+from stratalift.llm import packing, sharding, tokenfiles
 from stratalift.queries.registry import Query, table
+from stratalift.staging import staging_path
+
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(WORD_TOKENIZER)
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -29,3 +38,21 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = sharding.shard_rows(docs, F.col("same"), F.col("size"), 24)
     return placed.drop("same").withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    # a document has one piece at most that is not full
+    return packing.pack_rows(digests, "length", 4096, rows=docs.count())
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    tokenfiles.write_token_files(docs, path, "doc_id", "text", word_tokenizer(), 2)
+    back = tokenfiles.read_token_files(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
