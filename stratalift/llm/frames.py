@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -29,27 +28,41 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[column(c) for c in df.columns if c.lower() not in gone])
 
 
-def map_text(
-    df: DataFrame,
-    keys: Sequence[str],
-    text: str,
-    schema: str,
-    batch: Callable[[list[str | None]], dict[str, Any]],
+def text_column(text: Column, schema: str, batch: Callable[[list[str | None]], Any]) -> Column:
+    """A column that ``batch`` computes from whole texts, one Arrow batch at a time.
+
+    For a struct schema (``a long, b double``) ``batch`` returns a dict of
+    sequences, for a single type one sequence.
+    """
+    if " " in schema:
+
+        def frame(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame(batch([t if isinstance(t, str) else None for t in texts]))
+
+        return F.pandas_udf(frame, schema)(text.cast("string"))
+
+    def series(texts: pd.Series) -> pd.Series:
+        values = batch([t if isinstance(t, str) else None for t in texts])
+        return pd.Series(list(values), dtype=object if "<" in schema else None)
+
+    return F.pandas_udf(series, schema)(text.cast("string"))
+
+
+def fold(doc_id: Column, folds: int) -> Column:
+    """The fold of a row: the crc32 of its id as text, modulo ``folds``."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def sampled_labels(
+    labels: DataFrame, doc_id: str, label: str, bound: int, among: Column | None = None
 ) -> DataFrame:
-    """``keys`` of every row, beside the columns that ``batch`` computes from the whole texts.
+    """At most ``bound`` ids with their label: those with the lowest hashes of the id.
 
-    ``schema`` names those columns. One Arrow batch is in memory at a time.
+    Ids and labels that are NULL are left out; of several labels of an id the highest counts.
     """
-    kept = df.select(*[column(k) for k in keys], column(text).cast("string").alias("__text"))
-    added = T.StructType.fromDDL(schema)
-    fields = [kept.schema[k] for k in keys] + list(added)
-    names = [f.name for f in fields]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = [t if isinstance(t, str) else None for t in frame.pop("__text")]
-            for name, values in batch(texts).items():
-                frame[name] = values
-            yield frame[names]
-
-    return kept.mapInPandas(run, T.StructType(fields))
+    given = labels.select(column(doc_id).alias("doc_id"), column(label).alias("label"))
+    given = given.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    if among is not None:
+        given = given.where(among)
+    one = given.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalift.llm import packing, sharding, tokenfiles
+from stratalift.llm import packing, rules, sharding, tokenfiles
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
 
@@ -40,6 +40,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("same").withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = rules.quality_rules(docs, "doc_id", "text", labels, "quality")
+    names = ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept "
+             "rule").split()
+    return judged.select(*names)
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
