@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalift.llm import packing, rules, sharding, tokenfiles
+from stratalift.llm import packing, quality, rules, sharding, tokenfiles
+from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
 
@@ -58,6 +59,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_rows(digests, "length", 4096, rows=docs.count())
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    weights = quality.fit_quality(docs, "doc_id", "text", labels, "quality", ~held_out)
+    scored = quality.score_quality(docs.select("doc_id", "text"), "text", weights)
+    return scored.select("doc_id", held_out.alias("held_out"), "score").withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int")
+    )
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "tokens")
