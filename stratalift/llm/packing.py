@@ -30,15 +30,15 @@ def cut_documents(
     content = df.sparkSession.sparkContext.broadcast(tokenizer_content(tokenizer))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(content.value)
-        end = np.array([end_id], np.uint32)
+        encode = encoder(content.value).bytes
+        end = end_id.to_bytes(4, "little")
         for frame in frames:
             rows = []
             for doc, body in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = np.concatenate([encode(body if isinstance(body, str) else None), end])
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity].astype("<u4")
-                    rows.append((doc, piece, start, len(part), part.tobytes()))
+                ids = encode(body if isinstance(body, str) else None) + end
+                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
+                    part = ids[4 * start : 4 * (start + capacity)]
+                    rows.append((doc, piece, start, len(part) // 4, part))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
             yield out.astype({"doc_id": "Int64"})
 

@@ -49,18 +49,19 @@ def write_token_files(
     content = spark.sparkContext.broadcast(tokenizer_content(tokenizer))
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(content.value)
-        end = np.array([end_id], np.uint32)
+        encode = encoder(content.value).bytes
+        end = end_id.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         number = before = held = 0
         docs: list[int | None] = []
-        ids: list[np.ndarray] = []
+        counts: list[int] = []
+        ids: list[bytes] = []
 
         def close() -> dict:
-            words, escapes = simple8b.encode(np.concatenate(ids))
+            words, escapes = simple8b.encode(np.frombuffer(b"".join(ids), "<u4"))
             return {
                 "part": part, "block": number, "before": before, "n_ids": held,
-                "doc_ids": docs, "counts": [len(i) for i in ids],
+                "doc_ids": docs, "counts": counts,
                 "words": words.astype("<u8").tobytes(), "escapes": escapes.astype("<u8").tobytes(),
                 "offsets": simple8b.offsets(words, EVERY).astype("<u4").tobytes(),
             }
@@ -68,12 +69,15 @@ def write_token_files(
         for frame in frames:
             closed = []
             for doc, body in zip(frame["doc_id"], frame["text"], strict=True):
-                ids.append(np.concatenate([encode(body if isinstance(body, str) else None), end]))
+                own = encode(body if isinstance(body, str) else None)
+                ids += own, end
+                counts.append(len(own) // 4 + 1)
                 docs.append(None if pd.isna(doc) else int(doc))
-                held += len(ids[-1])
+                held += counts[-1]
                 if held >= block_ids:
                     closed.append(close())
-                    number, before, held, docs, ids = number + 1, before + held, 0, [], []
+                    number, before, held = number + 1, before + held, 0
+                    docs, counts, ids = [], [], []
             if closed:
                 yield pd.DataFrame(closed)
         if docs:
@@ -97,18 +101,24 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            doc_ids, starts, ids = [], [], []
             for r in frame.itertuples(index=False):
                 escapes = np.frombuffer(r.escapes, "<u8")
-                ids = simple8b.decode(np.frombuffer(r.words, "<u8"), escapes, r.n_ids)
+                found = simple8b.decode(np.frombuffer(r.words, "<u8"), escapes, r.n_ids)
+                held = found.astype("<u4").tobytes()
                 ends = np.cumsum(np.asarray(r.counts, np.int64))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(list(r.doc_ids), "Int64"),
-                        "start": r.base + r.before + ends - r.counts,
-                        "n_tokens": r.counts,
-                        "ids": [x.tobytes() for x in np.split(ids.astype("<u4"), ends[:-1])],
-                    }
-                )
+                first = ends - r.counts
+                doc_ids += r.doc_ids.tolist()
+                starts.append(r.base + r.before + first)
+                ids += [held[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+            yield pd.DataFrame(
+                {
+                    "doc_id": pd.array([None if pd.isna(d) else int(d) for d in doc_ids], "Int64"),
+                    "start": np.concatenate([np.empty(0, np.int64), *starts]),
+                    "n_tokens": [len(i) // 4 for i in ids],
+                    "ids": ids,
+                }
+            )
 
     based = files.join(F.broadcast(starts), "part").select(
         "base", "before", "n_ids", "doc_ids", "counts", "words", "escapes"

@@ -21,15 +21,16 @@ LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\t-\\r {LETTERS}{NUMBERS}]+"
 )
-NOT_PLAIN = re.compile(r"[^\t-\r -~¡-ÿ]")
-CACHED_WORDS = 500_000
+# Latin-1 without control letters and spaces that only some of the steps take for white space.
+PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
+CACHED_WORDS = 600_000
 
 
 class Encoder:
     """Ids of texts, as ``encode(text, add_special_tokens=False)`` gives them.
 
     Where the file codes each word on its own, the words of a Latin-1 text are
-    looked up among the words met before and only new ones are coded. The words
+    looked up among those met before and only new ones are coded. The words
     kept are bounded by ``CACHED_WORDS``. Any other text or file takes the
     library's own way.
     """
@@ -43,14 +44,25 @@ class Encoder:
         self.words = _Words(self.tokenizer.model)
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.bytes(text), "<u4")
+
+    def bytes(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
         if not text:
-            return np.empty(0, np.uint32)
-        if not self.by_word or NOT_PLAIN.search(text) or any(s in text for s in self.specials):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return b""
+        if not self.by_word or not _is_plain(text) or any(s in text for s in self.specials):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
         if len(self.words) >= CACHED_WORDS:
             self.words.clear()
-        coded = map(self.words.__getitem__, SPLIT.findall(text.lower()))
-        return np.frombuffer(b"".join(coded), "<u4")
+        return b"".join(map(self.words.__getitem__, SPLIT.findall(text.lower())))
+
+
+def _is_plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 
 class _Words(dict):
