@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalift.llm import packing, quality, rules, sharding, tokenfiles
+import stratalift
+from stratalift.llm import packing, quality, rules, sharding, tokenfiles, toxicity
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
@@ -23,8 +27,19 @@ def word_tokenizer() -> str:
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+def find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, unless told otherwise."""
+    root = str(Path(stratalift.__file__).resolve().parent.parent)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 @query
@@ -59,6 +74,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_rows(digests, "length", 4096, rows=docs.count())
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    weights, _ = toxicity.fit_toxicity(docs, "doc_id", "text", labels, "toxic", ~held_out)
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), "text", weights)
+    return scored.select("doc_id", held_out.alias("held_out"), "score").withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
