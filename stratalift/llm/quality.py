@@ -83,19 +83,21 @@ def fit_quality(
     known = df.select(column(doc_id).alias("__of"), column(text).cast("string").alias("__text"))
     joined = known.join(sample, F.col("__of") == F.col("__id"))
 
-    def batch(texts: list[str | None]) -> dict[str, list]:
+    def batch(texts: list[str | None]) -> dict[str, list[bytes]]:
         found = [features(t, bits) for t in texts]
-        return {"places": [p for p, _ in found], "values": [v for _, v in found]}
+        return {
+            "places": [p.astype("<i4").tobytes() for p, _ in found],
+            "values": [v.astype("<f4").tobytes() for _, v in found],
+        }
 
-    made = text_column(F.col("__text"), "places array<bigint>, values array<double>", batch)
+    made = text_column(F.col("__text"), "places binary, values binary", batch)
     vectors = joined.select("__id", "label", made.alias("v"))
     one = vectors.groupBy("__id").agg(F.min(F.struct("label", "v")).alias("s"))
-    rows = one.orderBy(F.xxhash64("__id"), "__id").select("s.label", "s.v.*").toPandas()
+    rows = one.orderBy(F.xxhash64("__id"), "__id").select("s.label", "s.v.*").collect()
     examples = [
-        (np.asarray(p, np.int64), np.asarray(v, float))
-        for p, v in zip(rows["places"], rows["values"], strict=True)
+        (np.frombuffer(r["places"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in rows
     ]
-    targets = rows["label"].to_numpy(float)
+    targets = np.array([float(r["label"]) for r in rows])
     return ftrl.train(examples, targets, 1 << bits, alpha=0.5, l1=0.05, l2=0.0)
 
 
