@@ -24,6 +24,7 @@ from stratalift.llm.labelmodel import LabelModel, fit_label_model
 
 BITS = 20
 CACHED_WORDS = 300_000
+L1_PER_DOCUMENT = 0.00125
 STARTS = range(5, 9)  # lengths of word starts
 WORD = re.compile(r"[^\W_]+")
 # Insults and contempt of common use, by language.
@@ -82,22 +83,27 @@ class Voters:
 
 
 def mine_words(
-    texts: Sequence[set[str]], toxic: Sequence[int], most: int = 400, least: int = 3
+    texts: Sequence[set[str]], toxic: Sequence[int], most: int = 400, least: int = 5
 ) -> list[str]:
     """Words and word starts that mark toxic documents, the surest first.
 
-    ``least`` toxic documents must hold one, and its odds there must be at least ten times
-    those in the others.
+    At least ``least`` toxic documents must hold one, seven tenths of all that hold it must be
+    toxic, and the log-likelihood ratio against chance must exceed 30, so that what a
+    few toxic documents happen to share is not taken for a mark.
     """
     hit, miss = Counter(), Counter()
     for words, label in zip(texts, toxic, strict=True):
         (hit if label else miss).update({p for w in words for p in word_parts(w)})
-    n_hit, n_miss = sum(map(bool, toxic)), sum(not t for t in toxic)
+    rate = sum(map(bool, toxic)) / max(1, len(toxic))
     found = []
     for part, n in hit.items():
-        odds = (n + 0.5) / (n_hit + 1) / ((miss[part] + 0.5) / (n_miss + 1))
-        if n >= least and odds >= 10:
-            found.append((-n * math.log(odds), part))
+        m = miss[part]
+        if n < least or n < 0.7 * (n + m):
+            continue
+        expected = (n + m) * rate
+        ratio = n * math.log(n / expected) + (m * math.log(m / (n + m - expected)) if m else 0)
+        if n > expected and 2 * ratio > 30:
+            found.append((-ratio, part))
     return [part for _, part in sorted(found)[:most]]
 
 
@@ -148,20 +154,24 @@ def fit_toxicity(
     """
     sample = sampled_labels(labels, doc_id, label, bound, among)
     sample = F.broadcast(sample.withColumnRenamed("doc_id", "__id"))  # bounded
-    known = df.select(column(doc_id).alias("__of"), column(text).cast("string").alias("__text"))
-    joined = known.join(sample, F.col("__of") == F.col("__id"))
+    given = df.select(column(doc_id).alias("__of"), column(text).cast("string").alias("__text"))
+    joined = given.join(sample, F.col("__of") == F.col("__id"))
 
-    def batch(texts: list[str | None]) -> dict[str, list[list[str]]]:
-        hidden = [sorted(hidden_words((t or "").lower())) for t in texts]
-        return {"words": [sorted(words_of(t)) for t in texts], "hidden": hidden}
+    def batch(texts: list[str | None]) -> dict[str, list[str]]:
+        hidden = [hidden_words((t or "").lower()) for t in texts]
+        return {
+            "words": ["\n".join(sorted(words_of(t))) for t in texts],
+            "hidden": ["\n".join(sorted(h)) for h in hidden],
+        }
 
-    made = text_column(F.col("__text"), "words array<string>, hidden array<string>", batch)
+    made = text_column(F.col("__text"), "words string, hidden string", batch)
     rows = joined.select("__id", "label", made.alias("w"))
     one = rows.groupBy("__id").agg(F.min(F.struct("label", "w")).alias("s"))
     ordered = one.orderBy(F.xxhash64("__id"), "__id").select("s.label", "s.w.*")
-    frame = ordered.toPandas()
-    texts, hidden = [set(w) for w in frame["words"]], [set(w) for w in frame["hidden"]]
-    given = frame["label"].to_numpy(int)
+    known = ordered.collect()
+    texts = [set(r["words"].split("\n")) - {""} for r in known]
+    hidden = [set(r["hidden"].split("\n")) for r in known]
+    given = np.array([int(r["label"]) for r in known], np.int64)
     voters = Voters(mine_words(texts, given))
     cast = [
         [*voters.vote(t, h), 1 if y else -1] for t, h, y in zip(texts, hidden, given, strict=True)
@@ -170,7 +180,9 @@ def fit_toxicity(
     model = fit_label_model(votes)
     examples = [features(t, bits) for t in texts]
     beliefs = model.posterior(votes)
-    weights = ftrl.train(examples, beliefs, 1 << bits, alpha=0.3, l1=1.0, l2=0.1, rounds=5)
+    # sums of gradients grow with the documents, and so does the bound they must exceed
+    l1 = L1_PER_DOCUMENT * len(examples)
+    weights = ftrl.train(examples, beliefs, 1 << bits, alpha=1.0, l1=l1, l2=0.0, rounds=5)
     return weights, model
 
 
