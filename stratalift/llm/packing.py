@@ -30,15 +30,18 @@ def cut_documents(
     content = df.sparkSession.sparkContext.broadcast(tokenizer_content(tokenizer))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(content.value).bytes
-        end = end_id.to_bytes(4, "little")
+        encode = encoder(content.value)
         for frame in frames:
             rows = []
-            for doc, body in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = encode(body if isinstance(body, str) else None) + end
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((doc, piece, start, len(part) // 4, part))
+            found, each = encode.many([t if isinstance(t, str) else None for t in frame["text"]])
+            held = np.insert(found, np.cumsum(each), end_id).astype("<u4").tobytes()
+            first = 0
+            for doc, n in zip(frame["doc_id"], (each + 1).tolist(), strict=True):
+                for piece, start in enumerate(range(0, n, capacity)):
+                    length = min(capacity, n - start)
+                    at = 4 * (first + start)
+                    rows.append((doc, piece, start, length, held[at : at + 4 * length]))
+                first += n
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
             yield out.astype({"doc_id": "Int64"})
 

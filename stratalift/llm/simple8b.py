@@ -27,10 +27,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     selector = np.where(values >> np.uint64(60), ESCAPE, 1).astype(np.int8)
     for s, (count, width) in enumerate(LAYOUTS[1:], 2):
-        wide = np.zeros(n + count, np.int32)
-        np.cumsum((values >> np.uint64(width)) != 0, out=wide[1 : n + 1])
-        wide[n + 1 :] = wide[n]
-        fits = wide[count : count + n] == wide[:n]
+        fits = _runs((values >> np.uint64(width)) == 0, count)
         if not fits.any():
             break  # neither would more values of fewer bits
         selector[fits] = s
@@ -52,6 +49,15 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, values[begin[chosen == ESCAPE]]
 
 
+def _runs(small: np.ndarray, count: int) -> np.ndarray:
+    """Where ``count`` places in a row are set; places beyond the end count as set."""
+    run, length = np.concatenate([small, np.ones(count - 1, bool)]), 1
+    while length < count:
+        more = min(length, count - length)
+        run, length = run[:-more] & run[more:], length + more
+    return run
+
+
 def decode(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     """The first ``n`` values of the words; ``escapes`` are those of these words."""
     words = np.asarray(words, np.uint64)

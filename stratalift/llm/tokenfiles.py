@@ -49,35 +49,40 @@ def write_token_files(
     content = spark.sparkContext.broadcast(tokenizer_content(tokenizer))
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(content.value).bytes
-        end = end_id.to_bytes(4, "little")
+        encode = encoder(content.value)
         part = TaskContext.get().partitionId()
-        number = before = held = 0
+        number = before = 0
         docs: list[int | None] = []
         counts: list[int] = []
-        ids: list[bytes] = []
+        ids = [np.empty(0, np.uint32)]
 
         def close() -> dict:
-            words, escapes = simple8b.encode(np.frombuffer(b"".join(ids), "<u4"))
-            return {
-                "part": part, "block": number, "before": before, "n_ids": held,
+            nonlocal number, before, docs, counts, ids
+            words, escapes = simple8b.encode(np.concatenate(ids))
+            block = {
+                "part": part, "block": number, "before": before, "n_ids": sum(counts),
                 "doc_ids": docs, "counts": counts,
                 "words": words.astype("<u8").tobytes(), "escapes": escapes.astype("<u8").tobytes(),
                 "offsets": simple8b.offsets(words, EVERY).astype("<u4").tobytes(),
             }
+            number, before = number + 1, before + block["n_ids"]
+            docs, counts, ids = [], [], [np.empty(0, np.uint32)]
+            return block
 
         for frame in frames:
-            closed = []
-            for doc, body in zip(frame["doc_id"], frame["text"], strict=True):
-                own = encode(body if isinstance(body, str) else None)
-                ids += own, end
-                counts.append(len(own) // 4 + 1)
+            texts = [t if isinstance(t, str) else None for t in frame["text"]]
+            found, each = encode.many(texts)
+            found = np.insert(found, np.cumsum(each), end_id)
+            closed, start, at, held = [], 0, 0, sum(counts)
+            for doc, n in zip(frame["doc_id"], (each + 1).tolist(), strict=True):
                 docs.append(None if pd.isna(doc) else int(doc))
-                held += counts[-1]
+                counts.append(n)
+                at, held = at + n, held + n
                 if held >= block_ids:
+                    ids.append(found[start:at])
                     closed.append(close())
-                    number, before, held = number + 1, before + held, 0
-                    docs, counts, ids = [], [], []
+                    start, held = at, 0
+            ids.append(found[start:])
             if closed:
                 yield pd.DataFrame(closed)
         if docs:

@@ -31,13 +31,19 @@ def test_encoder_on_documents(spark, sf_dir, library):
     for text in texts + ODD:
         wanted = library.encode(text, add_special_tokens=False).ids
         assert encoder(CONTENT)(text).tolist() == wanted
+    ids, counts = encoder(CONTENT).many([*texts, None, *ODD])
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in [*texts, None, *ODD]]
+    assert ids.tolist() == [i for w in wanted for i in w]
+    assert counts.tolist() == [len(w) for w in wanted]
+    assert encoder(CONTENT).many([])[0].tolist() == []
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.characters(max_codepoint=0x17F, exclude_categories=["Cs"])))
 def test_encoder_on_any_text(text):
     e = encoder(CONTENT)
-    assert e(text).tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    wanted = e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert e(text).tolist() == wanted == e.many([text])[0].tolist()
 
 
 @settings(max_examples=200, deadline=None)
