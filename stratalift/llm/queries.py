@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import packing, quality, rules, sharding, tokenfiles, toxicity
+from stratalift.llm import langid, packing, quality, rules, sharding, tokenfiles, toxicity
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
@@ -65,6 +65,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*names)
 
 
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    profiles = langid.fit_profiles(docs, "doc_id", "text", "lang", ~held_out)
+    named = langid.identify(docs.select("doc_id", "text"), "text", profiles)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
