@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import langid, packing, quality, rules, sharding, tokenfiles, toxicity
+from stratalift.llm import langid, packing, pages, quality, rules, sharding, tokenfiles, toxicity
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
@@ -65,6 +65,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*names)
 
 
+@query
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages")
+    model = pages.fit_pages(found, "page_id", "html")
+    texts = pages.extract_text(found.select("page_id", "url", "html"), "html", model)
+    return texts.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
