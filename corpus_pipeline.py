@@ -1,10 +1,68 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: documents in, packed sequences out.
+
+Each stage works on all that the one before kept; all but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratalift.llm import decontamination, near_duplicates, packing, rules, toxicity
+from stratalift.llm.queries import find_package, word_tokenizer
+from stratalift.queries.registry import table
+from stratalift.staging import stage_rows
 
-STAGES = []
 ORACLE_SQL = None
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what fails the base rules or a learned one."""
+    find_package(spark)
+    return rules.keep_good(docs, "doc_id", "text", table(spark, sf_dir, "labels"), "quality")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that score as toxic."""
+    find_package(spark)
+    labels = table(spark, sf_dir, "labels")
+    weights, _ = toxicity.fit_toxicity(docs, "doc_id", "text", labels, "toxic")
+    return toxicity.drop_toxic(docs, "text", weights)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near duplicates."""
+    find_package(spark)
+    return near_duplicates.keep_one(docs, "doc_id", "text")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a test item."""
+    find_package(spark)
+    items = table(spark, sf_dir, "benchmark")
+    return decontamination.drop_contaminated(docs, "text", items, "item_id", "text")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of 4096 tokens."""
+    find_package(spark)
+    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack_rows(digests, "length", 4096, rows=docs.count())
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("toxicity", toxic),
+    ("near duplicates", near_dedup),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage_rows(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

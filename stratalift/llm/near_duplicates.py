@@ -13,6 +13,7 @@ to one of them, and no link between different texts is lost to a cap.
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -24,15 +25,23 @@ from stratalift.llm.components import connected
 from stratalift.llm.frames import column, text_column
 from stratalift.staging import stage_rows
 
-# Sets of 85 % similarity miss all bands with a probability of 4 in ten million.
-BANDS, ROWS = 25, 5
-PLACES = BANDS * ROWS
+PLACES = 125
 # Standard deviations that the share of equal places may fall short before sets are not compared.
 SLACK = 5.0
 SMALL_BUCKET = 64
 
 
-def _sketches(texts: list[str | None]) -> dict[str, list]:
+def bands_and_rows(percent: int) -> tuple[int, int]:
+    """Bands of four or five places, such that sets of just enough similarity miss all bands
+    with a probability below one in a million."""
+    for rows in (5, 4, 3, 2):
+        bands = PLACES // rows
+        if (1 - (percent / 100) ** rows) ** bands < 1e-6:
+            return bands, rows
+    return PLACES, 1
+
+
+def _sketches(bands: int, rows: int, texts: list[str | None]) -> dict[str, list]:
     out: dict[str, list] = {"n_shingles": [], "digest": [], "keys": [], "places": []}
     for text in texts:
         found = superminhash.shingles(text)
@@ -40,7 +49,7 @@ def _sketches(texts: list[str | None]) -> dict[str, list]:
         some = len(found) > 0
         out["n_shingles"].append(len(found))
         out["digest"].append(superminhash.digest(found) if some else None)
-        out["keys"].append(superminhash.band_keys(sketch, BANDS, ROWS).tolist() if some else [])
+        out["keys"].append(superminhash.band_keys(sketch, bands, rows).tolist() if some else [])
         # sixteen bits a place are enough to estimate by
         out["places"].append((sketch & np.uint64(0xFFFF)).astype("<u2").tobytes())
     return out
@@ -174,7 +183,9 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, percent: int = 85) ->
     """
     rows = df.select(column(doc_id).alias("id"), column(text).cast("string").alias("text"))
     made = text_column(
-        F.col("text"), "n_shingles long, digest binary, keys array<bigint>, places binary", _sketches
+        F.col("text"),
+        "n_shingles long, digest binary, keys array<bigint>, places binary",
+        partial(_sketches, *bands_and_rows(percent)),
     )
     sketches = stage_rows(rows.select("id", made.alias("s")).select("id", "s.*"), "sketches")
     whole = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import langid, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity
+from stratalift.llm import decontamination, langid, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import staging_path
@@ -78,6 +78,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(docs, "doc_id", "text", items, "item_id", "text")
+
+
 @query
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
