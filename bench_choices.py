@@ -77,7 +77,6 @@ def main() -> None:
         "quality, one job per check": best(lambda: one_job_per_check(lines)),
         "checksum additive": best(lambda: dataset_checksum(lines(), "additive").collect()),
         "checksum tree": best(lambda: dataset_checksum(lines(), "tree").collect()),
-        "checksum compat": best(lambda: dataset_checksum(lines(), "compat").collect()),
         "failing casts, guarded": best(
             lambda: count(fitting_cast(flags, T.StringType(), T.IntegerType()))
         ),

@@ -35,8 +35,10 @@ COMPARE = {
     "<=": operator.le,
 }
 NULL_WORD = "Null"
-# Text columns meet integer literals as decimals of this type, so that long ids stay exact.
-NUMBER_IN_TEXT = T.DecimalType(38, 9)
+# Texts that read as a number, and those among them without an exponent.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+PLAIN_NUMBER = r"^\s*[+-]?[0-9]*\.?[0-9]*\s*$"
+LONG = 2**63
 
 
 def filter_tree(df: DataFrame, tree: Tree) -> DataFrame:
@@ -81,24 +83,71 @@ def _column_conditions(
     if (word, comparator) in (("OR", "=="), ("AND", "!=")):
         # A run of OR = or of AND <> on one column is a membership test: one In
         # predicate for the scan instead of a chain as deep as the list is long.
-        texts = [v for v in values if _is_member(df, name, v)]
-        values = [v for v in values if not _is_member(df, name, v)]
-        if len(texts) > 1:
-            found = col(name).isin(texts)
-            yield found if comparator == "==" else ~found
-        else:
-            values = texts + values
+        for test, members in _memberships(df, name, values):
+            values = [v for v in values if not any(v is m for m in members)]
+            yield test if comparator == "==" else ~test
     for value in values:
         yield _compare(df, comparator, name, value)
 
 
-def _is_member(df: DataFrame, name: str, value: Any) -> bool:
-    kind = df.schema[name].dataType
-    if value == NULL_WORD:
-        return False
+def _memberships(
+    df: DataFrame, name: str, values: list[Any]
+) -> Iterator[tuple[Column, list[Any]]]:
+    """Tests that the column is one of several values of a kind, and these values."""
+    kind, column = df.schema[name].dataType, col(name)
+    texts = [v for v in values if isinstance(v, str) and v != NULL_WORD]
+    whole = [v for v in values if type(v) is int and abs(v) < LONG]
+    numbers = [v for v in values if type(v) in (int, float)]
     if isinstance(kind, T.StringType):
-        return isinstance(value, str)
-    return isinstance(kind, T.IntegralType) and type(value) is int and abs(value) < 2**31
+        if len(texts) > 1:
+            yield column.isin(texts), texts
+        if len(whole) > 1:
+            yield _whole_number_in(column, whole), whole
+    elif isinstance(kind, T.IntegralType) and len(whole) > 1:
+        yield column.isin(whole), whole
+    elif isinstance(kind, T.DecimalType) and len(whole) > 1:
+        yield column.isin([decimal.Decimal(v) for v in whole]), whole
+    elif isinstance(kind, T.FractionalType) and len(numbers) > 1:
+        yield column.cast("double").isin([float(v) for v in numbers]), numbers
+
+
+def _whole_number_in(text: Column, values: list[int]) -> Column:
+    """Whether the text reads as one of the numbers; NULL for text that is no number."""
+    exponent = fitting_cast(text, T.StringType(), T.DoubleType()).isin([float(v) for v in values])
+    plain = _whole_part(text).try_cast("bigint").isin(values) & ~_has_fraction(text)
+    found = F.when(text.rlike(PLAIN_NUMBER), F.coalesce(plain, F.lit(False))).otherwise(exponent)
+    return F.when(text.rlike(NUMBER), found)
+
+
+def _whole_part(text: Column) -> Column:
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]*)", 1)
+    return F.when(digits.isin("", "+", "-"), "0").otherwise(digits)
+
+
+def _has_fraction(text: Column) -> Column:
+    return text.rlike(r"\.[0-9]*[1-9]")
+
+
+def _against_whole(text: Column, value: int) -> Column:
+    """-1, 0 or 1 as the number in the text is less than, equal to or more than the value.
+
+    Doubles that differ are in the order of the numbers they were read from. Where they do
+    not, the digits decide, of which no number is rounded away; a text with an
+    exponent then counts as equal.
+    """
+    number = F.when(text.rlike(NUMBER), text).try_cast("double")
+    whole = _whole_part(text).try_cast("decimal(38,0)")
+    exact = F.lit(decimal.Decimal(value))
+    beyond = F.when(text.rlike(r"^\s*-"), -1).otherwise(1)
+    digits = (
+        F.when(whole > exact, 1)
+        .when(whole < exact, -1)
+        .when(_has_fraction(text), beyond)
+        .otherwise(0)
+    )
+    tie = F.when(text.rlike(PLAIN_NUMBER), digits).otherwise(0)
+    near = F.lit(float(value))
+    return F.when(number > near, 1).when(number < near, -1).when(number.isNotNull(), tie)
 
 
 def _compare(df: DataFrame, comparator: str, name: str, value: Any) -> Column:
@@ -114,8 +163,10 @@ def _compare(df: DataFrame, comparator: str, name: str, value: Any) -> Column:
     literal = F.lit(value)
     is_number = isinstance(value, (int, float, decimal.Decimal)) and not isinstance(value, bool)
     if isinstance(kind, T.StringType):
+        if type(value) is int:
+            return COMPARE[comparator](_against_whole(column, value), F.lit(0))
         if is_number:
-            number = T.DoubleType() if isinstance(value, float) else NUMBER_IN_TEXT
+            number = T.DoubleType() if isinstance(value, float) else T.DecimalType(38, 18)
             column = fitting_cast(column, kind, number)
         elif not isinstance(value, str):
             column = column.try_cast(_type_of(value))

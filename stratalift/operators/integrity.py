@@ -8,8 +8,6 @@ dataset checksum. Three forms of it exist; only digests of one form compare:
 ``tree``      equal row digests are counted, the counted digests hashed per
               digest prefix and the prefixes folded 256 to one up to the root.
               Every group is bounded, however many copies a row has.
-``compat``    SHA-256 over all row digests in the order of the row texts. That is
-              one sequential digest, so it is limited to tables of checked size.
 """
 
 from __future__ import annotations
@@ -20,14 +18,14 @@ from pyspark.sql import functions as F
 from stratalift.functions.columns import col, row_text
 
 ROW_CHECKSUM = "Row_Checksum"
-COMPAT_MAX_BYTES = 128 * 1024 * 1024
 DIGEST_DIGITS = 64
-# The additive form makes a 64-bit number of every quarter of the digest, which
-# costs less than reading its hex digits, and sums it in four parts: sums of
-# 16-bit parts stay within a bigint for 2^47 rows.
+# The additive form reads 15 hex digits, a 60-bit number, from each quarter of the
+# digest and sums it in four parts: sums of 15-bit parts stay within a bigint for
+# 2^48 rows.
 QUARTERS = 4
+QUARTER_DIGITS = 15
 PARTS = 4
-PART_BITS = 16
+PART_BITS = 15
 # 16^6 leaves: some 6,000 distinct rows in each at 10^11 rows.
 TREE_DIGITS = 6
 TREE_STEP = 2
@@ -43,30 +41,14 @@ def row_checksum(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.select(*kept, row_digest(df, strict).alias(ROW_CHECKSUM))
 
 
-def dataset_checksum(
-    df: DataFrame,
-    mode: str = "additive",
-    strict: bool = False,
-    max_bytes: int = COMPAT_MAX_BYTES,
-) -> DataFrame:
-    """One row ``checksum, mode``; the checksum of an empty table is NULL.
-
-    ``compat`` on a table over ``max_bytes`` raises; ``auto`` takes ``compat``
-    up to that size and ``tree`` beyond it.
-    """
-    if mode in ("compat", "auto"):
-        fits = _compat_bytes(df, strict) <= max_bytes
-        if mode == "compat" and not fits:
-            raise ValueError("table is too large for one sequential digest, use tree or additive")
-        mode = "compat" if fits else "tree"
+def dataset_checksum(df: DataFrame, mode: str = "additive", strict: bool = False) -> DataFrame:
+    """One row ``checksum, mode``; the checksum of an empty table is NULL."""
     if mode == "additive":
         digests = df.select(row_digest(df, strict).alias("h"))
         sums = [value.alias(name) for name, value in additive_sums("h").items()]
         result = digests.agg(*sums).select(additive_digest().alias("checksum"))
     elif mode == "tree":
         result = _tree(df, strict)
-    elif mode == "compat":
-        result = _compat(df, strict)
     else:
         raise ValueError(f"unknown checksum mode {mode!r}")
     return result.select("checksum", F.lit(mode).alias("mode"))
@@ -79,9 +61,13 @@ def _sum_names() -> list[str]:
 def additive_sums(digest: str) -> dict[str, Column]:
     """Aggregates of the additive form over a digest column, fit for a larger aggregation."""
     width, mask = DIGEST_DIGITS // QUARTERS, (1 << PART_BITS) - 1
-    parts = [
-        f"shiftright(xxhash64(substring({digest}, {1 + quarter * width}, {width})), {shift}) & {mask}"
+    numbers = [
+        f"cast(conv(substring({digest}, {1 + quarter * width}, {QUARTER_DIGITS}), 16, 10) as bigint)"
         for quarter in range(QUARTERS)
+    ]
+    parts = [
+        f"shiftright({number}, {shift}) & {mask}"
+        for number in numbers
         for shift in range(0, PARTS * PART_BITS, PART_BITS)
     ]
     sums = {name: F.expr(f"sum({part})") for part, name in zip(parts, _sum_names(), strict=True)}
@@ -121,15 +107,3 @@ def _tree(df: DataFrame, strict: bool) -> DataFrame:
     return level.agg(
         F.when(F.count("digest") > 0, F.sha2(F.concat_ws(",", root), 256)).alias("checksum")
     )
-
-
-def _compat_bytes(df: DataFrame, strict: bool) -> int:
-    size = df.agg(F.sum(F.octet_length(row_text(df, strict)) + DIGEST_DIGITS))
-    return size.first()[0] or 0
-
-
-def _compat(df: DataFrame, strict: bool) -> DataFrame:
-    text = row_text(df, strict)
-    rows = F.array_sort(F.collect_list(F.struct(text.alias("t"), F.sha2(text, 256).alias("h"))))
-    joined = F.concat_ws("", F.transform(rows, lambda row: row["h"]))
-    return df.agg(F.when(F.count(F.lit(1)) > 0, F.sha2(joined, 256)).alias("checksum"))

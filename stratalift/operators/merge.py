@@ -42,8 +42,8 @@ def merge_sources(
     on = list(on)
     other = exclude_row_columns(other)
     if how in ("semi", "anti"):
-        # the distinct keys are partitioned as the join needs them
-        other = other.select(*[col(c) for c in on]).distinct()
+        # not made distinct: an aggregate below the join would keep Spark from splitting hot keys
+        other = other.select(*[col(c) for c in on])
     double = sorted(set(df.columns) & set(other.columns) - set(on))
     if double:
         raise ValueError(f"both sources have a column {', '.join(double)}")

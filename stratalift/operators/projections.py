@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalift.functions.columns import col, regular_columns, reserved_columns
 from stratalift.functions.types import fitting_cast, spark_type
@@ -69,11 +70,18 @@ def replaced(value: Column, mapping: Mapping[str, str]) -> Column:
 def divide(df: DataFrame, new: str, numerator: str, denominator: str) -> DataFrame:
     """Add ``numerator / denominator`` as float; a zero denominator gives NULL.
 
-    An existing column of that name is kept and nothing is added.
+    Text is read as double, and what does not read as one gives NULL. An
+    existing column of that name is kept and nothing is added.
     """
     if new in df.columns:
         return df
-    ratio = F.try_divide(col(numerator), col(denominator)).cast("float")
+    top, bottom = (
+        fitting_cast(col(c), T.StringType(), T.DoubleType())
+        if df.schema[c].dataType == T.StringType()
+        else col(c)
+        for c in (numerator, denominator)
+    )
+    ratio = F.try_divide(top, bottom).cast("float")
     return df.select("*", ratio.alias(new))
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalift.functions.columns import col, narrow, regular_columns
-from stratalift.staging import stage_rows
+from stratalift.staging import staged
 
 # A page that ends within this many rows is cut by a top-k sort; a deeper one is numbered.
 TOP_K_ROWS = 1_000_000
@@ -78,34 +78,62 @@ def preview(df: DataFrame, rows: int = 20) -> DataFrame:
 def page_rows(
     df: DataFrame, order: Mapping[str, str], limit: int, offset: int = 0, top_k: int = TOP_K_ROWS
 ) -> DataFrame:
-    """Rows ``offset .. offset + limit`` in the given order, which should be a total one.
+    """Rows ``offset .. offset + limit`` in the given order.
 
-    Near the start this is a top-k. A deep page would make that top-k hold all
-    rows before it in one task; there the rows are range-partitioned into a
-    staging table once, only the sizes of the partitions are summed, and the
-    partitions that the page meets number their own rows.
+    Rows with equal keys are in the order of a hash of all their columns, so
+    pages neither overlap nor leave rows out. Near the start a page is a top-k. A deep
+    one would make that top-k hold all rows before it in one task; there only
+    keys and hashes are sorted, range by range, to find those of the page's
+    first and last row, and then the rows between them are read and sorted.
     """
-    keys = order_columns(order)
-    if not keys:
+    if not order_columns(order):
         raise ValueError("pages need an order")
+    tie, part, at, first, size, before = "__tie", "__part", "__at", "__first", "__size", "__before"
+    tied = df.select("*", F.xxhash64(*[_sortable(df, c) for c in df.columns]).alias(tie))
+    directions = {c: w.upper() for c, w in order.items() if w.upper() in ("ASC", "DESC")}
+    directions[tie] = "ASC"
+    keys = order_columns(directions)
     end = offset + limit
     if end <= top_k:
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    part, before, size, at = "__part", "__before", "__size", "__at"
-    spread = df.select("*", F.spark_partition_id().alias(SPREAD))
-    ranged = spread.repartitionByRange(*keys, F.col(SPREAD))
-    staged = stage_rows(ranged.select("*", F.spark_partition_id().alias(part)), "pages")
-    sizes = staged.groupBy(part).agg(F.count(F.lit(1)).alias(size))
-    # one row per range partition, so one window over all of them is small
-    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn(before, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
-    met = starts.where((F.col(before) < end) & (F.col(before) + F.col(size) > offset))
-    inside = Window.partitionBy(part).orderBy(*keys, SPREAD)
-    numbered = staged.join(F.broadcast(met), part).withColumn(
-        at, F.col(before) + F.row_number().over(inside) - 1
-    )
-    page = numbered.where((F.col(at) >= offset) & (F.col(at) < end))
-    return page.select(*[col(c) for c in df.columns])
+        return tied.orderBy(*keys).offset(offset).limit(limit).drop(tie)
+    ranged = tied.select(*map(col, directions)).repartitionByRange(*keys)
+    with staged(ranged.select("*", F.spark_partition_id().alias(part)), "keys") as sorted_keys:
+        # one row per range partition, so one window over all of them is small
+        earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sorted_keys.groupBy(part).agg(F.count(F.lit(1)).alias(size))
+        starts = sizes.withColumn(before, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+        met = starts.where((F.col(before) < end) & (F.col(before) + F.col(size) > offset))
+        within = Window.partitionBy(part).orderBy(*keys)
+        numbered = sorted_keys.join(F.broadcast(met), part).withColumns(
+            {at: F.col(before) + F.row_number().over(within) - 1, first: F.col(before) + F.rank().over(within) - 1}
+        )
+        inside = numbered.where((F.col(at) >= offset) & (F.col(at) < end))
+        row = F.struct(*map(col, directions), first)
+        ends = inside.agg(F.min_by(row, at).alias("lowest"), F.max_by(row, at).alias("highest")).head()
+    lowest, highest = ends["lowest"], ends["highest"]
+    if lowest is None:
+        return df.limit(0)
+    wanted = _reaches(lowest, directions, False) & _reaches(highest, directions, True)
+    # rows equal to the page's first one that are before it
+    skipped = offset - lowest[first]
+    return tied.where(wanted).orderBy(*keys).offset(skipped).limit(limit).drop(tie)
+
+
+def _reaches(row: Row, directions: Mapping[str, str], backwards: bool) -> Column:
+    """Whether a row is at or behind (``backwards``: at or before) the given one in the order."""
+    condition = F.lit(True)
+    for name, word in reversed(directions.items()):
+        value, column = row[name], col(name)
+        # NULLs are first where the order ascends and last where it descends
+        nulls_lie_beyond = (word == "DESC") != backwards
+        if value is None:
+            beyond = F.lit(False) if nulls_lie_beyond else column.isNotNull()
+        else:
+            beyond = column > F.lit(value) if (word == "ASC") != backwards else column < F.lit(value)
+            if nulls_lie_beyond:
+                beyond = beyond | column.isNull()
+        condition = F.coalesce(beyond, F.lit(False)) | (column.eqNullSafe(F.lit(value)) & condition)
+    return condition
 
 
 def _sortable(df: DataFrame, name: str) -> Column:

@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalift.sinks.layers import MAX_RECORDS_PER_FILE, dated_snapshot, write_layer
+from stratalift.sinks.layers import MAX_RECORDS_PER_FILE, dated_path, dated_snapshot, write_layer
 from stratalift.sources.layers import read_dated, read_layer
 
 
@@ -26,6 +26,10 @@ class FileLayer:
             return read_dated(spark, self.path, run_date, self.fmt)
         return read_layer(spark, self.path, self.fmt)
 
+    def place(self, run_date: date | str) -> str:
+        """The folder that a run of that day writes."""
+        return dated_path(self.path, run_date) if self.dated else self.path
+
     def write(self, df: DataFrame, run_date: date | str) -> None:
         if self.dated:
             dated_snapshot(df, self.path, run_date, self.fmt, self.max_records)

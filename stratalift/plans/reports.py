@@ -1,66 +1,72 @@
-"""Comparing the layers of tables."""
+"""Comparing the layers of tables.
+
+A layer is given as its rows or as a function that reads them. Each is looked at on its
+own: one that cannot be read is a row with its failure, the others go on.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalift.operators.integrity import dataset_checksum
 from stratalift.operators.metrics import row_count
 from stratalift.operators.rows import preview
 
-# table name -> layer name, in lineage order -> the layer's rows
-Tables = Mapping[str, Mapping[str, DataFrame]]
+# table name -> layer name, in lineage order -> the layer's rows, or what reads them
+Tables = Mapping[str, Mapping[str, DataFrame | Callable[[], DataFrame]]]
 
 
-def layer_row_counts(tables: Tables) -> DataFrame:
-    """``table_name, layer, rows``: every count is its own aggregate, all run as one job."""
-    return reduce(
-        DataFrame.unionAll,
-        [
-            row_count(df).select(F.lit(t).alias("table_name"), F.lit(l).alias("layer"), "rows")
-            for t, by_layer in tables.items()
-            for l, df in by_layer.items()
-        ],
-    )
+def layer_row_counts(spark: SparkSession, tables: Tables) -> DataFrame:
+    """``table_name, layer, rows, failure``, one row per layer."""
+    found = [
+        (name, layer, rows, failure)
+        for name, layer, rows, failure in _each(tables, lambda df: row_count(df).first()["rows"])
+    ]
+    return spark.createDataFrame(found, "table_name string, layer string, rows long, failure string")
 
 
-def layer_checksum_diff(tables: Tables, mode: str = "additive") -> DataFrame:
-    """``table_name, layer, checksum, verdict``, each layer against the one before it.
+def layer_checksum_diff(
+    spark: SparkSession, tables: Tables, mode: str = "additive", strict: bool = False
+) -> DataFrame:
+    """``table_name, layer, checksum, verdict, failure``, each layer against the one before it.
 
     The verdict is ``Baseline`` for a table's first layer, then ``same`` or
-    ``not equal``. All layers must use the same ``mode``, so ``auto`` is refused.
+    ``not equal``. A layer that cannot be read has none, and the next one is compared
+    with the last that could. ``strict`` tells a NULL from its neighbours' place.
     """
-    if mode == "auto":
-        raise ValueError("digests of different modes do not compare")
-    position = "__position"
-    checksums = reduce(
-        DataFrame.unionAll,
-        [
-            dataset_checksum(df, mode).select(
-                F.lit(t).alias("table_name"),
-                F.lit(l).alias("layer"),
-                "checksum",
-                F.lit(at).alias(position),
-            )
-            for t, by_layer in tables.items()
-            for at, (l, df) in enumerate(by_layer.items())
-        ],
-    )
-    before = F.lag("checksum").over(Window.partitionBy("table_name").orderBy(position))
-    verdict = (
-        F.when(F.col(position) == 0, "Baseline")
-        .when(F.col("checksum").eqNullSafe(before), "same")
-        .otherwise("not equal")
+    found = []
+    before: dict[str, str | None] = {}
+    digests = _each(tables, lambda df: dataset_checksum(df, mode, strict).first()["checksum"])
+    for name, layer, checksum, failure in digests:
+        verdict = None
+        if failure is None:
+            verdict = "Baseline"
+            if name in before:
+                verdict = "same" if checksum == before[name] else "not equal"
+            before[name] = checksum
+        found.append((name, layer, checksum, verdict, failure))
+    return spark.createDataFrame(
+        found, "table_name string, layer string, checksum string, verdict string, failure string"
     )
-    return checksums.select("table_name", "layer", "checksum", verdict.alias("verdict"))
+
+
+def _each(tables: Tables, measure: Callable) -> Iterator[tuple]:
+    for name, by_layer in tables.items():
+        for layer, given in by_layer.items():
+            try:
+                value = measure(given() if callable(given) else given)
+            except Exception as error:  # the other layers are measured all the same
+                yield name, layer, None, f"{type(error).__name__}: {error}"
+            else:
+                yield name, layer, value, None
 
 
 def display_layers(tables: Tables, rows: int = 20) -> dict[tuple[str, str], DataFrame]:
     """A preview of every layer of every table."""
     return {
-        (t, l): preview(df, rows) for t, by_layer in tables.items() for l, df in by_layer.items()
+        (name, layer): preview(given() if callable(given) else given, rows)
+        for name, by_layer in tables.items()
+        for layer, given in by_layer.items()
     }

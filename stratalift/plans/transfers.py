@@ -90,6 +90,7 @@ class RunOptions:
     approx_distinct: bool = False
     integrity: bool = False
     checksum_mode: str = "additive"
+    strict: bool = False
     merges: tuple[MergeStep, ...] = ()
     catalog: str | None = None
     audit_table: str | None = None
@@ -105,7 +106,7 @@ class TransferResult:
 
 
 class LineageError(RuntimeError):
-    """Some tables of a lineage run failed; ``reports`` holds every hop's report."""
+    """Some tables of a lineage run failed; ``reports`` holds every hop's report, failed ones too."""
 
     def __init__(self, message: str, reports: DataFrame):
         super().__init__(message)
@@ -137,8 +138,8 @@ def transfer(
     """Move ``spec``'s table from ``source`` to ``target`` (default: the next layer).
 
     The transform runs on the way out of BL, merging and grouping out of SL. A
-    failure is reported to the audit table, if there is one, and raised; only
-    a failed catalog registration is merely noted.
+    failure is reported to the audit table, if there is one, and raised with the report
+    as its ``report``; only a failed catalog registration is merely noted.
     """
     target = target or LINEAGE.get(source)
     if source not in LINEAGE or target not in LABELS or source == target:
@@ -161,7 +162,7 @@ def transfer(
         quality, table = _hop(spark, spec, source, target, layers, options, facts)
     except Exception as error:
         facts.update(status=404, failure=f"{type(error).__name__}: {error}")
-        _finish(spark, facts, options)
+        error.report = _finish(spark, facts, options)
         raise
     facts.update(status=200)
     return TransferResult(_finish(spark, facts, options), quality, table)
@@ -184,12 +185,22 @@ def _hop(
         if isinstance(layers[source], CustomLayer):
             # an API or a database is asked once only
             read = tables.enter_context(staged(read, "source"))
-        unique = dedupe(read, spec.dedupe_keys, spec.tie_break)
-        rows = tables.enter_context(staged(unique, "unique"))
+        rows = dedupe(read, spec.dedupe_keys, spec.tie_break)
+        if not _one_action(source, layers[target], options):
+            rows = tables.enter_context(staged(rows, "unique"))
         gross = row_count(read)
         return _move(spark, spec, source, target, layers, options, facts, rows, gross)
 
 
+def _one_action(source: str, place: Layer, options: RunOptions) -> bool:
+    """Whether the target's write is all that reads the source rows.
+
+    Untransformed rows are read back from the target for what the write cannot take along.
+    """
+    plain = source not in (TRANSFORMED_FROM, MERGED_FROM)
+    return plain and isinstance(place, FileLayer)
+
+
 def _move(
     spark: SparkSession,
     spec: TableSpec,
@@ -268,7 +279,7 @@ class _Probe:
         filters = transforms and spec.filter
         kept = filter_condition(rows, spec.filter) if filters else F.lit(True)
         # Columns of their own, so that a row evaluates each of them once.
-        self.prepared = row_checksum(rows) if options.integrity else rows
+        self.prepared = row_checksum(rows, options.strict) if options.integrity else rows
         self.prepared = self.prepared.withColumn(KEPT, kept)
         self.plan.plain["net"] = F.count_if(F.col(KEPT))
         self.casts: dict[str, str] = {}
@@ -314,7 +325,7 @@ class _Probe:
         checksum = row["checksum"]
         if self.options.integrity and not self.additive:
             mode = self.options.checksum_mode
-            checksum = dataset_checksum(self.rows, mode).first()["checksum"]
+            checksum = dataset_checksum(self.rows, mode, self.options.strict).first()["checksum"]
         return {
             "rows_gross": row["gross"],
             "rows_net": row["net"],
@@ -337,7 +348,7 @@ def _catalog(
     name = catalog_name(options.catalog, spec.family, spec.table, target)
     try:
         if isinstance(place, FileLayer):
-            register_catalog(spark, name, place.path, place.fmt)
+            register_catalog(spark, name, place.place(options.run_date), place.fmt)
         else:
             write_catalog(rows, name)
     except Exception as error:  # the layer itself is written by now
@@ -366,22 +377,25 @@ def run_lineage(
     """Transfer every table hop by hop; ``layers`` holds each table's own layers.
 
     The destination is left out unless ``skip`` says otherwise. A table stops
-    at its first failure, the others go on; at the end a failure raises.
-    Returns the run reports, one row per hop.
+    at its first failure, the others go on; at the end a failure raises. Hops
+    from or to a layer that the table does not have are left out. Returns the run
+    reports, one row per hop.
     """
     reports: list[DataFrame] = []
     failures: list[str] = []
     for spec in specs:
         for source, target in (lineage or LINEAGE).items():
-            if target in skip or source not in layers[spec.table]:
+            if target in skip or not {source, target} <= layers[spec.table].keys():
                 continue
             try:
                 done = transfer(spark, spec, source, target, layers[spec.table], options)
             except Exception as error:
                 failures.append(f"{spec.family}/{spec.table} {source} to {target}: {error}")
+                reports += [error.report] if hasattr(error, "report") else []
                 break
             reports.append(done.report)
-    result = merge_rows(spark.createDataFrame([], RUN_REPORT_SCHEMA), *reports)
+    rows = [tuple(row) for report in reports for row in report.collect()]  # one per hop
+    result = spark.createDataFrame(rows, RUN_REPORT_SCHEMA)
     if failures:
         raise LineageError("; ".join(failures), result)
     return result

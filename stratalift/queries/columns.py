@@ -86,6 +86,24 @@ def ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divide(lines, "tax_share", "l_tax", "l_discount")
 
 
+@query(
+    "divide_text",
+    """select o_orderkey, try_cast(priority as double) as parsed,
+              cast(o_totalprice / nullif(try_cast(priority as double), 0) as float) as share
+       from (select o_orderkey, o_totalprice, case when o_orderkey % 7 = 0 then 'none'
+                    else substr(o_orderpriority, 1, 1) end as priority from orders)""",
+)
+def ratio_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    priority = F.when(F.col("o_orderkey") % 7 == 0, "none").otherwise(
+        F.substring("o_orderpriority", 1, 1)
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("string"), priority.alias("priority")
+    )
+    shares = divide(orders, "share", "o_totalprice", "priority")
+    return shares.select("o_orderkey", F.expr("try_cast(priority as double)").alias("parsed"), "share")
+
+
 @query(
     "split",
     """select c_custkey, c_name, string_split(c_name, '#')[1] as kind,

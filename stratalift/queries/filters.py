@@ -48,17 +48,55 @@ def missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_tree(table(spark, sf_dir, "customer"), tree)
 
 
+ODD_KEYS_SQL = """select o_orderkey, o_custkey, case o_custkey % 5
+        when 0 then o_custkey || '.0000000001' when 1 then '1e30'
+        when 2 then '-' || o_custkey || '.5' else cast(o_custkey as varchar) end as spelled
+    from orders"""
+
+
+def spelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose customer is text: long fractions, exponents, negative and plain numbers."""
+    key = F.col("o_custkey").cast("string")
+    spelled = (
+        F.when(F.col("o_custkey") % 5 == 0, F.concat(key, F.lit(".0000000001")))
+        .when(F.col("o_custkey") % 5 == 1, F.lit("1e30"))
+        .when(F.col("o_custkey") % 5 == 2, F.concat(F.lit("-"), key, F.lit(".5")))
+        .otherwise(key)
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return orders.withColumn("spelled", spelled)
+
+
 @query(
     "filter_number_in_text",
-    """select o_orderkey, o_custkey from orders
-       where o_custkey > 50 and o_custkey <= 120.5""",
+    f"""select o_orderkey, spelled from ({ODD_KEYS_SQL})
+        where o_custkey % 5 = 1 or (o_custkey % 5 = 0 and o_custkey >= 50)
+              or (o_custkey % 5 > 2 and o_custkey > 50)""",
 )
 def number_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey")
-    )
-    kept = filter_tree(landed, {"AND": {">": {"o_custkey": [50]}, "<=": {"o_custkey": [120.5]}}})
-    return kept.select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+    kept = filter_tree(spelled_orders(spark, sf_dir), {"AND": {">": {"spelled": [50]}}})
+    return kept.select("o_orderkey", "spelled")
+
+
+@query(
+    "filter_number_in_text_range",
+    f"""select o_orderkey, spelled from ({ODD_KEYS_SQL})
+        where (o_custkey % 5 = 2 and o_custkey >= 40) is not true and o_custkey % 5 <> 1
+              and case o_custkey % 5 when 2 then true else o_custkey <= 120 end""",
+)
+def number_in_text_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = {"AND": {">=": {"spelled": [-40]}, "<=": {"spelled": [120.5]}}}
+    return filter_tree(spelled_orders(spark, sf_dir), tree).select("o_orderkey", "spelled")
+
+
+@query(
+    "filter_long_list",
+    f"""select o_orderkey, spelled from ({ODD_KEYS_SQL})
+        where o_custkey % 5 > 2 and o_custkey % 3 = 0 and o_custkey < 15000""",
+)
+def long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = {"OR": {"==": {"spelled": list(range(0, 15_000, 3))}}}
+    return filter_tree(spelled_orders(spark, sf_dir), tree).select("o_orderkey", "spelled")
 
 
 def _comparison(name: str, comparator: str, value: object, sql_condition: str) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,19 +12,28 @@ from pyspark.sql import functions as F
 from stratalift.plans import (
     ColumnSpec,
     FileLayer,
+    LineageError,
     MergeStep,
     RunOptions,
     TableSpec,
     TransferResult,
+    display_layers,
     layer_checksum_diff,
     layer_row_counts,
     run_lineage,
     transfer,
     transform,
 )
-from stratalift.queries.metrics import CHECKS, profile_sql, tree_sql
+from stratalift.operators import sort_multi
+from stratalift.queries.metrics import CHECKS, additive_sql, profile_sql, tree_sql
 from stratalift.queries.registry import query, table
-from stratalift.sinks import append_audit, dated_snapshot, write_catalog, write_layer
+from stratalift.sinks import (
+    append_audit,
+    dated_snapshot,
+    register_catalog,
+    write_catalog,
+    write_layer,
+)
 from stratalift.sources import read_dated, read_layer, string_landing
 from stratalift.staging import staging_path
 
@@ -263,6 +274,23 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dated(spark, _two_days(spark, sf_dir))
 
 
+@query(
+    "dated_snapshot_schema",
+    """select c_custkey, cast(c_nationkey as varchar) as c_nationkey, c_mktsegment
+       from customer where c_custkey % 2 = 0""",
+)
+def snapshot_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day has one more column than the first, and one of another type."""
+    path = staging_path(spark, "dated")
+    customers = table(spark, sf_dir, "customer")
+    dated_snapshot(customers.select("c_custkey", "c_nationkey"), path, "2025-03-01")
+    second = customers.where("c_custkey % 2 = 0").select(
+        "c_custkey", F.col("c_nationkey").cast("string"), "c_mktsegment"
+    )
+    dated_snapshot(second, path, "2025-03-02")
+    return read_dated(spark, path, "2025-03-02")
+
+
 def _two_days(spark: SparkSession, sf_dir: str) -> str:
     path = staging_path(spark, "dated")
     orders = table(spark, sf_dir, "orders")
@@ -307,10 +335,10 @@ def _compared(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame
             (select count(*) as n, count(*) filter (o_orderstatus <> 'P') as kept from orders) k""",
 )
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer_row_counts(_compared(spark, sf_dir))
+    return layer_row_counts(spark, _compared(spark, sf_dir)).drop("failure")
 
 
-def _diff_sql() -> str:
+def _diff_sql(digest_of: Callable[[str], str]) -> str:
     kept = f"{LANDED_SQL} where o_orderstatus <> 'P'"
     texts = {"orders": ROW_TEXT, "order_keys": "concat_ws('||', o_orderkey, day)"}
     rows = []
@@ -320,7 +348,7 @@ def _diff_sql() -> str:
             ("RZ", LANDED_SQL, "same"),
             ("BL", kept, "not equal"),
         ):
-            digest = tree_sql(f"select sha256({text}) as h from ({source})")
+            digest = digest_of(f"select sha256({text}) as h from ({source})")
             rows.append(
                 f"""select '{name}' as table_name, '{layer}' as layer, checksum,
                            '{verdict}' as verdict from ({digest})"""
@@ -328,16 +356,91 @@ def _diff_sql() -> str:
     return " union all ".join(rows)
 
 
-@query("layer_checksum_diff_tree", _diff_sql())
+@query("layer_checksum_diff_tree", _diff_sql(tree_sql))
 def tree_checksum_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer_checksum_diff(_compared(spark, sf_dir), "tree")
+    return layer_checksum_diff(spark, _compared(spark, sf_dir), "tree").drop("failure")
+
+
+@query("layer_checksum_diff", _diff_sql(additive_sql))
+def checksum_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer_checksum_diff(spark, _compared(spark, sf_dir)).drop("failure")
 
 
 @query(
-    "layer_checksum_diff",
-    """select t.table_name, l.layer, l.verdict
-       from (values ('orders'), ('order_keys')) t(table_name),
-            (values ('LZ', 'Baseline'), ('RZ', 'same'), ('BL', 'not equal')) l(layer, verdict)""",
+    "layer_checksum_diff_strict",
+    """select 'orders' as table_name, layer, verdict from
+       (values ('LZ', 'Baseline'), ('RZ', case when (select count(*) from orders) > 0
+                                          then 'not equal' else 'same' end)) l(layer, verdict)""",
 )
-def checksum_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layer_checksum_diff(_compared(spark, sf_dir)).drop("checksum")
+def strict_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same values with a NULL before or behind them."""
+    orders = table(spark, sf_dir, "orders")
+    key, gap = F.col("o_orderkey").cast("string"), F.lit(None).cast("string")
+    layers = {
+        "LZ": orders.select(gap.alias("a"), key.alias("b")),
+        "RZ": orders.select(key.alias("a"), gap.alias("b")),
+    }
+    diff = layer_checksum_diff(spark, {"orders": layers}, strict=True)
+    return diff.select("table_name", "layer", "verdict")
+
+
+@query(
+    "layer_row_counts_failure",
+    """select 'orders' as table_name, 'LZ' as layer, count(*) as rows, false as failed from orders
+       union all select 'orders', 'RZ', null, true
+       union all select 'orders', 'BL', count(*), false from orders where o_orderstatus = 'F'""",
+)
+def counts_with_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    nowhere = staging_path(spark, "nowhere")
+    layers = {
+        "LZ": orders,
+        "RZ": lambda: read_layer(spark, nowhere),
+        "BL": orders.where("o_orderstatus = 'F'"),
+    }
+    counted = layer_row_counts(spark, {"orders": layers})
+    return counted.select("table_name", "layer", "rows", F.col("failure").isNotNull().alias("failed"))
+
+
+@query(
+    "lineage_failure",
+    """select 'LZ' as source, 'RZ' as target, 200 as status, (select count(*) from orders) as rows_gross
+       union all select 'RZ', 'BL', 200, (select count(*) from orders)
+       union all select 'BL', 'SL', 404, null""",
+)
+def lineage_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sort by a column that does not exist fails at the transform, behind two good hops."""
+    layers = _layers(staging_path(spark, "lineage"))
+    write_layer(landed_orders(spark, sf_dir), layers["LZ"].path)
+    spec = replace(ORDER_SPEC, sort={"no_such_column": "ASC"})
+    try:
+        reports = run_lineage(spark, [spec], {"orders": layers}, _options())
+    except LineageError as error:
+        reports = error.reports
+    return reports.select("source", "target", "status", "rows_gross")
+
+
+@query("catalog_dated", "select * from orders where o_orderstatus <> 'F'")
+def catalog_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table points at the day that was written last."""
+    layer = FileLayer(_two_days(spark, sf_dir), dated=True)
+    name = f"orders_{uuid.uuid4().hex}"
+    for day in ("2025-03-01", "2025-03-02"):
+        register_catalog(spark, name, layer.place(day))
+    return spark.table(name)
+
+
+@query(
+    "display_layers",
+    """select layer, o_orderkey from (select 'LZ' as layer, o_orderkey from orders
+                                      order by o_orderkey limit 5)
+       union all select layer, o_orderkey from (select 'BL' as layer, o_orderkey from orders
+                 where o_orderstatus <> 'P' order by o_orderkey limit 5)""",
+)
+def displayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    layers = {"LZ": orders, "BL": orders.where("o_orderstatus <> 'P'")}
+    sorted_layers = {name: sort_multi(df, {"o_orderkey": "ASC"}) for name, df in layers.items()}
+    shown = display_layers({"orders": sorted_layers}, 5)
+    rows = [df.select(F.lit(layer).alias("layer"), "o_orderkey") for (_, layer), df in shown.items()]
+    return rows[0].unionByName(rows[1])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalift.operators import dedupe, distinct_values, page_rows, preview, sort_multi
 from stratalift.queries.registry import query, table
+from stratalift.staging import stage_rows
 
 
 @query("dedupe_all", "select distinct user_id, event_type from events")
@@ -55,10 +56,29 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_values(table(spark, sf_dir, "documents"), "lang")
 
 
-@query("sort_multi", "select event_id, event_type, value, ts from events")
+@query(
+    "sort_multi",
+    """select event_id, event_type, value, row_number() over (
+           order by event_type asc nulls first, value desc nulls last, event_id) as place
+       from events""",
+)
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
-    return sort_multi(events, {"event_type": "asc", "value": "DESC"})
+    """The rows with their place in the order they come in: that in the partition, and the
+    rows of the partitions before it."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    order = {"event_type": "asc", "value": "DESC", "event_id": "ASC"}
+    numbered = sort_multi(events, order).select(
+        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    )
+    staged = stage_rows(numbered, "sorted")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = staged.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"))
+    starts = sizes.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    placed = staged.join(starts, "part")
+    return placed.select(
+        *("event_id", "event_type", "value"),
+        (F.col("before") + F.col("at") - F.col("first") + 1).alias("place"),
+    )
 
 
 @query(

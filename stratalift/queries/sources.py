@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator
-from itertools import accumulate
-from math import ceil
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource
 
 from stratalift.queries.registry import query, table, table_path
 from stratalift.sources import (
@@ -17,17 +11,11 @@ from stratalift.sources import (
     dimension_in_list,
     incremental_window,
     non_empty,
-    paged_source,
     read_layer,
-    read_pages,
     report_query,
     string_landing,
 )
 
-PAGED_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-MIN_PAGE_ROWS = 5_000
-MAX_PAGES = 10_000
-
 
 @query("layer_scan", "select * from orders")
 def layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +60,37 @@ def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_window(events, nothing, "ts", hi="2024-01-20", start="2024-01-05")
 
 
+def _landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose day is text, as an API lands it."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", "yyyyMMdd").alias("day"), "event_type"
+    )
+
+
+LANDED_EVENTS_SQL = "select event_id, strftime(ts, '%Y%m%d') as day, event_type from events"
+
+
+@query(
+    "date_window_text",
+    f"select * from ({LANDED_EVENTS_SQL}) where day between '20240103' and '20240110'",
+)
+def text_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _landed_events(spark, sf_dir)
+    return date_window(events, "day", "2024-01-03", "2024-01-10", text_format="yyyyMMdd")
+
+
+@query(
+    "incremental_window_text",
+    f"""select * from ({LANDED_EVENTS_SQL})
+        where day > (select max(day) from ({LANDED_EVENTS_SQL}) where day < '20240109')
+          and day <= '20240120'""",
+)
+def text_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _landed_events(spark, sf_dir)
+    landed = events.where("day < '20240109'")
+    return incremental_window(events, landed, "day", hi="2024-01-20", text_format="yyyyMMdd")
+
+
 @query(
     "string_landing",
     """select c_name, c_mktsegment, cast(c_custkey as varchar) as c_custkey,
@@ -128,83 +147,3 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("report_query_page", REPORT_SQL + " order by day, event_type limit 10 offset 5")
 def report_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, 10, 5)
-
-
-def table_pages(
-    spark: SparkSession, name: str, path: str, columns: tuple[str, ...]
-) -> tuple[type[DataSource], int]:
-    """A table served in pages, standing in for an API, and its row count.
-
-    Spark counts the rows of every file from the footers; a page then opens
-    only the files, and in them only the row groups, that it overlaps. Lists
-    are applied to the rows of the page.
-    """
-    counts = (
-        spark.read.parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .orderBy("file")
-        .collect()
-    )
-    files = [row["file"] for row in counts]
-    starts = [0, *accumulate(row["rows"] for row in counts)]
-    total = starts.pop()
-
-    def count_rows(request) -> int:
-        return total
-
-    def fetch_page(request) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        import pyarrow.fs
-        import pyarrow.parquet as pq
-
-        at = bisect_right(starts, request.offset) - 1
-        end = min(request.offset + request.limit, total)
-        while at < len(files) and starts[at] < end:
-            system, place = pyarrow.fs.FileSystem.from_uri(files[at])
-            with system.open_input_file(place) as handle:
-                parquet = pq.ParquetFile(handle)
-                row = starts[at]
-                for group in range(parquet.num_row_groups):
-                    size = parquet.metadata.row_group(group).num_rows
-                    first, last = max(request.offset - row, 0), min(end - row, size)
-                    if first < last:
-                        rows = parquet.read_row_group(group, list(columns))
-                        rows = rows.slice(first, last - first)
-                        rows = rows.cast(pa.schema([(c, pa.string()) for c in columns]))
-                        for field, values in request.in_lists.items():
-                            rows = rows.filter(pc.is_in(rows[field], pa.array(values, pa.string())))
-                        yield from rows.to_batches()
-                    row += size
-            at += 1
-
-    return paged_source(name, columns, count_rows, fetch_page), total
-
-
-def page_size(total: int) -> int:
-    return max(MIN_PAGE_ROWS, ceil(total / MAX_PAGES))
-
-
-@query(
-    "paged_scan",
-    """select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
-              o_orderstatus, o_orderpriority from orders""",
-)
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, total = table_pages(spark, "order_pages", table_path(sf_dir, "orders"), PAGED_COLUMNS)
-    return read_pages(spark, source, page_size(total), pause=0)
-
-
-@query(
-    "paged_scan_inlist",
-    """select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
-              o_orderstatus, o_orderpriority from orders
-       where o_orderstatus in ('F', 'O') and o_orderpriority = '5-LOW'""",
-)
-def pages_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, total = table_pages(
-        spark, "listed_order_pages", table_path(sf_dir, "orders"), PAGED_COLUMNS
-    )
-    lists = {"o_orderstatus": ["F", "O"], "o_orderpriority": ["5-LOW"]}
-    return read_pages(spark, source, page_size(total), pause=0, in_lists=lists)

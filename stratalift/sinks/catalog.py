@@ -24,8 +24,15 @@ def write_catalog(
 
 
 def register_catalog(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
-    """Point a catalog table at files already written, so they are not written twice."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Point a catalog table at files already written, so they are not written twice.
+
+    A table of that name is replaced only if it points at files too: dropping
+    one that the catalog manages would delete its rows, so that raises.
+    """
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED":
+            raise ValueError(f"{table} holds rows of its own and is not replaced")
+        spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=path, source=fmt)
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)

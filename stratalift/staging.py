@@ -35,9 +35,24 @@ def staged(df: DataFrame, name: str = "rows") -> Iterator[DataFrame]:
     try:
         yield _stage(df, path)
     finally:
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(df.sparkSession, path)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder of any store that Spark reaches."""
+    system, folder = _folder(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(folder)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    # the only place that goes through the driver's JVM, which Spark Connect does not offer
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import operator
+import decimal
 import random
 from datetime import date
 
@@ -211,3 +213,44 @@ def test_random_trees_equal_a_fold_by_hand(spark):
         expected = [r["i"] for r in rows if fold(r, tree) is True]
         assert [r["i"] for r in filter_tree(df, tree).orderBy("i").collect()] == expected, tree
     df.unpersist()
+
+
+NUMBERS = ["5", "5.0", "5.0000000001", "4.99999999999999999999", "05", "-5", "-5.5", "-0.5", ".5", "5.", "5e0", "1e30",
+           "123456789012345678901234567890123", "9007199254740993", "9007199254740993.1", " 7 ", "x", "", None, "NaN", "1.2.3"]
+
+
+def number(text):
+    try:
+        found = decimal.Decimal((text or "").strip())
+    except decimal.InvalidOperation:
+        return None
+    return None if found.is_nan() else found
+
+
+@pytest.mark.parametrize("value", [5, -5, 0, 7, 9007199254740993, 9007199254740992])
+@pytest.mark.parametrize("comparator", ["==", "!=", ">", ">=", "<", "<="])
+def test_whole_numbers_against_text_are_exact(spark, either_ansi, comparator, value):
+    df = spark.createDataFrame([(t,) for t in NUMBERS], "t string")
+    kept = {r["t"] for r in filter_tree(df, {"AND": {comparator: {"t": [value]}}}).collect()}
+    compare = {"==": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
+    wanted = {t for t in NUMBERS if number(t) is not None and compare[comparator](number(t), value)}
+    assert kept == wanted
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "bigint", "double", "decimal(20,3)"])
+def test_long_lists_are_one_predicate(spark, either_ansi, kind):
+    df = spark.range(40).select((F.col("id") * 7).cast(kind).alias("c"), "id")
+    wanted = list(range(0, 4000, 2))
+    tree = filter_tree(df, {"OR": {"==": {"c": wanted}}})
+    assert {r["id"] for r in tree.collect()} == set(range(0, 40, 2))
+    others = filter_tree(df, {"AND": {"!=": {"c": wanted}}})
+    assert {r["id"] for r in others.collect()} == set(range(1, 40, 2))
+
+
+def test_lists_of_numbers_in_text(spark):
+    df = spark.createDataFrame([(t,) for t in NUMBERS], "t string")
+    kept = {r["t"] for r in filter_tree(df, {"OR": {"==": {"t": [5, -5, 7, 9007199254740993, "x"]}}}).collect()}
+    members = {t for t in NUMBERS if number(t) in (5, -5, 7, 9007199254740993)}
+    assert kept == members | {"x"}
+    left = {r["t"] for r in filter_tree(df, {"AND": {"!=": {"t": [5, -5, 7, 9007199254740993]}}}).collect()}
+    assert left == {t for t in NUMBERS if number(t) is not None} - members

@@ -51,14 +51,30 @@ def test_no_side_is_hinted(skewed, partners):
     assert "hint" not in merge_sources(skewed, partners, ["k"])._jdf.queryExecution().toString().lower()
 
 
-def test_semi_join_shuffles_distinct_keys(spark, skewed, partners):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("how", ["semi", "anti"])
+def test_semi_and_anti_joins_split_hot_keys(spark, how):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        text = plan(merge_sources(skewed, partners, ["k"], "semi"))
+        hot = spark.range(0, 100_000, 1, 8).select(
+            F.when(F.col("id") % 5 > 0, 1).otherwise(F.col("id")).alias("k"), "id"
+        )
+        other = spark.range(0, 50_000, 1, 4).select((F.col("id") * 2 + 1).alias("k"))
+        joined = merge_sources(hot, other.unionByName(other), ["k"], how)
+        found = joined.collect()
+        text = plan(joined)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # the exchange of the distinct is the one the join needs
-    assert text.count("Exchange") == 2
+        for name in settings:
+            spark.conf.unset(name)
+    assert "skew=true" in text
+    matches = sum(i % 5 > 0 or i % 2 == 1 for i in range(100_000))
+    assert len(found) == (matches if how == "semi" else 100_000 - matches)
 
 
 def test_bad_merges_raise(spark, skewed, partners):

@@ -53,6 +53,31 @@ def test_incremental_window(days):
     assert ids(incremental_window(days, nothing, "day")) == list(range(10))
 
 
+@pytest.mark.parametrize("text_format", ["yyyyMMdd", "yyyy-MM-dd"])
+def test_windows_over_text_dates(spark, days, either_ansi, text_format):
+    landed = days.select("id", F.date_format("day", text_format).alias("day"))
+    found = date_window(landed, "day", "2025-01-02", "2025-01-04", text_format)
+    assert ids(found) == [1, 2, 3]
+    part = landed.where("id <= 4")
+    assert ids(incremental_window(landed, part, "day", "2025-01-08", text_format=text_format)) == [5, 6, 7]
+    assert ids(incremental_window(landed, landed.where("false"), "day", "2025-01-02", text_format=text_format)) == [0, 1]
+
+
+def test_text_dates_need_a_format(days):
+    landed = days.select("id", F.date_format("day", "yyyyMMdd").alias("day"))
+    with pytest.raises(ValueError, match="declare the format"):
+        date_window(landed, "day", "2025-01-02")
+    with pytest.raises(ValueError, match="not in the order"):
+        date_window(landed, "day", "2025-01-02", text_format="dd.MM.yyyy")
+
+
+def test_text_window_reaches_the_scan(spark, tmp_path, days):
+    days.select("id", F.date_format("day", "yyyyMMdd").alias("day")).write.parquet(str(tmp_path / "t"))
+    landed = spark.read.parquet(str(tmp_path / "t"))
+    text = plan(date_window(landed, "day", "2025-01-02", "2025-01-04", "yyyyMMdd"))
+    assert "GreaterThanOrEqual(day,20250102)" in text and "LessThan(day,20250105)" in text
+
+
 def test_in_lists_and_together(days):
     found = dimension_in_list(days, {"id": [1, 2, "3"], "day": ["2025-01-03", "2025-01-04"]})
     assert ids(found) == [2, 3]
