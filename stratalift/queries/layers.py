@@ -406,7 +406,7 @@ def counts_with_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     "lineage_failure",
     """select 'LZ' as source, 'RZ' as target, 200 as status, (select count(*) from orders) as rows_gross
        union all select 'RZ', 'BL', 200, (select count(*) from orders)
-       union all select 'BL', 'SL', 404, null""",
+       union all select 'BL', 'SL', 404, (select count(*) from orders)""",
 )
 def lineage_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sort by a column that does not exist fails at the transform, behind two good hops."""

@@ -1,4 +1,4 @@
-"""A paged API as a Spark data source: one input partition per page.
+"""A paged API as a Spark data source: its pages are input partitions.
 
 The caller brings two functions, which run on the cluster:
 
@@ -6,8 +6,10 @@ The caller brings two functions, which run on the cluster:
 ``fetch_page(request) -> rows``     rows ``offset .. offset + limit``: an iterable of
                                     value sequences, or Arrow record batches
 
-A page that fails fails its task; Spark retries it a bounded number of times
-and then fails the job.
+A page that fails, or has another number of rows than the service's count leaves for
+it, fails its task; Spark retries it a bounded number of times and then fails
+the job. A cluster asks for as many pages at once as it has cores; ``concurrent``
+bounds that, as one partition then asks for several pages, one after the other.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class PageReader(DataSourceReader):
         self.limit = int(options.get("limit", PAGE_ROWS))
         self.offset = int(options.get("offset", 0))
         self.pause = float(options.get("pause", PAUSE_SECONDS))
+        self.concurrent = int(options.get("concurrent", 0))
         self.require_rows = options.get("requireRows", "true") == "true"
         self.in_lists = json.loads(options.get("inLists", "{}"))
         self.days = options.get("startDate"), options.get("endDate")
@@ -61,18 +64,28 @@ class PageReader(DataSourceReader):
         total = self.source.count_rows(PageRequest(0, 1, self.in_lists, *self.days))
         if total == 0 and self.require_rows:
             raise ValueError("no rows found")
-        # an empty table still needs a partition, or Spark asks for the whole in one
-        starts = range(self.offset, total, self.limit) or [total]
-        return [InputPartition(start) for start in starts]
+        starts = list(range(self.offset, total, self.limit))
+        pages = [(start, min(self.limit, total - start)) for start in starts]
+        if not pages:
+            # an empty table still needs a partition, or Spark asks for the whole in one
+            return [InputPartition([])]
+        bound = min(self.concurrent or len(pages), len(pages))
+        return [InputPartition(pages[k::bound]) for k in range(bound)]
 
     def read(self, partition: InputPartition) -> Iterator[Any]:
-        time.sleep(self.pause)
-        request = PageRequest(partition.value, self.limit, self.in_lists, *self.days)
-        for item in self.source.fetch_page(request):
-            if hasattr(item, "schema"):
-                yield item
-            else:
-                yield tuple(None if value is None else str(value) for value in item)
+        for start, expected in partition.value:
+            time.sleep(self.pause)
+            request = PageRequest(start, self.limit, self.in_lists, *self.days)
+            rows = 0
+            for item in self.source.fetch_page(request):
+                if hasattr(item, "schema"):
+                    rows += item.num_rows
+                    yield item
+                else:
+                    rows += 1
+                    yield tuple(None if value is None else str(value) for value in item)
+            if rows != expected:
+                raise ValueError(f"page at {start} has {rows} rows instead of {expected}")
 
 
 class PushingPageReader(PageReader):
@@ -100,7 +113,7 @@ def paged_source(
     """A data source class to register; its columns are text, dimensions then metrics.
 
     Read options: ``limit`` rows per page, first ``offset``, ``pause`` seconds
-    before each page, ``inLists`` as JSON, ``startDate``, ``endDate``,
+    before each page, pages ``concurrent`` at most, ``inLists`` as JSON, ``startDate``, ``endDate``,
     ``requireRows``, and ``pushdown``, which needs the session setting
     ``spark.sql.python.filterPushdown.enabled``.
     """
@@ -143,8 +156,13 @@ def read_pages(
     start_date: str | None = None,
     end_date: str | None = None,
     require_rows: bool = True,
+    concurrent: int | None = None,
 ) -> DataFrame:
-    """Register the source and read all its pages; fields must be in all their lists."""
+    """Register the source and read all its pages; fields must be in all their lists.
+
+    At most ``concurrent`` pages are asked for at once, each after a pause, so that a service
+    sees no more than ``concurrent / pause`` requests a second on a cluster of any size.
+    """
     lists = {field: sorted(map(str, values)) for field, values in (in_lists or {}).items()}
     spark.dataSource.register(source)
     days = {"startDate": start_date, "endDate": end_date}
@@ -153,6 +171,7 @@ def read_pages(
         .option("limit", limit)
         .option("offset", offset)
         .option("pause", pause)
+        .option("concurrent", concurrent or 0)
         .option("inLists", json.dumps(lists))
         .option("requireRows", str(require_rows).lower())
         .options(**{name: day for name, day in days.items() if day is not None})

@@ -65,8 +65,13 @@ def test_catalog(spark, tmp_path):
     assert values(spark.table(name)) == [("x",)]
     path = str(tmp_path / "t")
     dated_snapshot(spark.range(4), path, "2025-03-01")
-    register_catalog(spark, name, path)
-    assert spark.table(name).count() == 4
+    with pytest.raises(ValueError, match="rows of its own"):
+        register_catalog(spark, name, path)
+    assert spark.table(name).count() == 1
+    spark.sql(f"drop table {name}")
+    for _ in range(2):
+        register_catalog(spark, name, path)
+        assert spark.table(name).count() == 4
     spark.sql(f"drop table {name}")
 
 

@@ -130,6 +130,21 @@ def test_pages_are_partitions(spark):
     assert sorted(int(r["n"]) for r in pages.collect()) == list(range(TOTAL))
 
 
+def test_short_pages_fail(spark):
+    def fetch_page(request):
+        return [("a", i) for i in range(request.offset, request.offset + 90)]
+
+    short = paged_source("short_pages", ["kind", "n"], lambda request: 1000, fetch_page)
+    with pytest.raises(Exception, match="90 rows instead of 100"):
+        read_pages(spark, short, limit=100, pause=0).collect()
+
+
+def test_pages_at_once_are_bounded(spark):
+    pages = read_pages(spark, counted_source("bounded"), limit=100, pause=0, concurrent=3)
+    assert pages.rdd.getNumPartitions() == 3
+    assert sorted(int(r["n"]) for r in pages.collect()) == list(range(TOTAL))
+
+
 def test_pages_from_an_offset(spark):
     pages = read_pages(spark, counted_source("numbers_later"), limit=100, offset=990, pause=0)
     assert sorted(int(r["n"]) for r in pages.collect()) == list(range(990, TOTAL))
