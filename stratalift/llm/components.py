@@ -22,33 +22,28 @@ def connected(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _state(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least"))
-        least = least.select("a", F.least("a", "least").alias("least"))
-        large = both.where(F.col("b") > F.col("a")).join(least, "a")
-        large = stage_rows(large.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "links")
-        # a is the larger end now: a's smaller neighbours go to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a")
-        hung = small.where(F.col("b") != F.col("least")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-        own = least.select("a", F.col("least").alias("b"))
-        edges = stage_rows(hung.unionByName(own).distinct(), "links")
-        state = _state(edges)
-        if state == before:
-            break
-        before = state
+        larger = both.where(F.col("b") > F.col("a"))
+        large = _hang(both, larger).distinct()
+        # a is the larger end now, and its smaller neighbours go to the smallest of them
+        own = large.groupBy("a").agg(F.min("b").alias("b"))
+        edges = stage_rows(_hang(large, large).unionByName(own).distinct(), "links")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    """What changes with the edges, in one row."""
-    return tuple(
-        edges.agg(
-            F.count(F.lit(1)),
-            F.bit_xor(F.xxhash64("a", "b")),
-            F.sum(F.xxhash64("b", "a").cast("decimal(38,0)")),
-        ).first()
-    )
+def _hang(edges: DataFrame, moved: DataFrame) -> DataFrame:
+    """The far ends ``b`` of the moved edges, each on the smallest of ``a`` and its neighbours."""
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = least.select("a", F.least("a", "least").alias("least"))
+    hung = moved.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return hung.where(F.col("a") != F.col("b"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counts.where((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1))).isEmpty()

@@ -55,12 +55,22 @@ def _sketches(bands: int, rows: int, texts: list[str | None]) -> dict[str, list]
     return out
 
 
-def _sets(texts: list[str | None]) -> dict[str, list]:
-    found = [superminhash.shingles(t) for t in texts]
-    return {
-        "digest": [superminhash.digest(f) for f in found],
-        "shingles": [f.astype("<u8").tobytes() for f in found],
-    }
+def _set(text: Column, digest: Column) -> Column:
+    """The shingles of the text, NULL if they are not those of the digest.
+
+    The digest comes from the other side of a join, so only texts that the join keeps
+    are read.
+    """
+
+    def sets(texts: pd.Series, digests: pd.Series) -> pd.Series:
+        found = [superminhash.shingles(t if isinstance(t, str) else None) for t in texts]
+        pairs = zip(found, digests, strict=True)
+        return pd.Series(
+            [f.astype("<u8").tobytes() if superminhash.digest(f) == d else None for f, d in pairs],
+            dtype=object,
+        )
+
+    return F.pandas_udf(sets, "binary")(text, digest)
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -107,8 +117,7 @@ class Links:
         sized = pairs.join(side("a", "places"), "a").join(side("b", "places"), "b")
         sized = sized.where(100 * F.least(n_a, n_b) >= self.percent * F.greatest(n_a, n_b))
         near = sized.where(_agree(F.col("places_a"), F.col("places_b")) >= self.least)
-        near = stage_rows(near.select("a", "b").distinct(), "near")
-        full = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
+        full = near.select("a", "b").join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
         both = full.withColumn("common", _common(F.col("shingles_a"), F.col("shingles_b")))
         enough = 100 * F.col("common") >= self.percent * (n_a + n_b - F.col("common"))
         found = stage_rows(both.where(enough).select("a", "b").distinct(), "verified")
@@ -219,12 +228,12 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     )
     # the sets of all that share a bucket, from their whole texts
     wanted = members.select("node").distinct().join(classes.drop("keys"), "node")
-    made = text_column(F.col("text"), "digest binary, shingles binary", _sets).alias("s")
-    read = rows.join(wanted, F.col("id") == F.col("node")).select("node", "n", "digest", "places", made)
-    own = read.where(F.col("digest") == F.col("s.digest"))
+    read = rows.join(wanted, F.col("id") == F.col("node"))
+    made = _set(F.col("text"), F.col("digest")).alias("shingles")
+    own = read.select("node", "digest", "n", "places", made).where("shingles IS NOT NULL")
     sets = stage_rows(
         own.groupBy("node", "digest").agg(
-            F.first("n").alias("n"), F.first("places").alias("places"), F.first("s.shingles").alias("shingles")
+            *[F.first(c).alias(c) for c in ("n", "places", "shingles")]
         ),
         "sets",
     )

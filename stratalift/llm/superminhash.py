@@ -3,25 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
-import xxhash
 
-CACHED_WORDS = 300_000
 SHINGLE = 5
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.empty(0, np.uint64)
 UNSET = np.uint64(2**64 - 1)
+ONE, LOW, HALF = np.uint64(1), np.uint64(2**32 - 1), np.uint64(32)
 SEEDS = GOLDEN * np.arange(1, 1025, dtype=np.uint64)  # of the ranks
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-WORDS = _Words()
+WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,9 +25,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words as bytes: A to Z are lower-cased, words end at space and 9 to 13 alone."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+@lru_cache(maxsize=1)
+def _powers(size: int) -> np.ndarray:
+    factors = np.full(size, GOLDEN)
+    factors[0] = ONE
+    return np.cumprod(factors)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the words of a text, in their order.
+
+    A to Z are lower-cased, words end at space and 9 to 13 alone. A word's hash is
+    a polynomial of its bytes, for all words at once.
+    """
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    black = ~WHITE[raw]
+    edges = np.flatnonzero(np.diff(black, prepend=False, append=False))
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return EMPTY
+    first = np.cumsum(lengths) - lengths
+    letters = raw[black].astype(np.uint64) + ONE
+    at = np.arange(len(letters)) - np.repeat(first, lengths)
+    powers = _powers(1 << max(10, int(lengths.max()).bit_length()))
+    sums = np.add.reduceat(letters * powers[at], first)
+    return mix(sums * GOLDEN + lengths.astype(np.uint64))
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -41,18 +57,15 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
     A text of fewer words is one shingle, one without words has none.
     """
-    words = words_of(text)
-    if not words:
+    codes = word_hashes(text)
+    if not len(codes):
         return EMPTY
-    if len(WORDS) >= CACHED_WORDS:
-        WORDS.clear()
-    codes = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
     size = min(size, len(codes))
     width = len(codes) - size + 1
     rolled = np.full(width, size, np.uint64)
     for k in range(size):
-        rolled = mix(rolled * GOLDEN + codes[k : k + width])
-    return np.unique(rolled)
+        rolled = rolled * GOLDEN + codes[k : k + width]
+    return np.unique(mix(rolled))
 
 
 def digest(found: np.ndarray) -> bytes:
@@ -76,14 +89,15 @@ def signature(found: np.ndarray, places: int) -> np.ndarray:
     every = np.arange(len(found))
     for rank in range(places):
         random = mix(found + SEEDS[rank])
-        swap = (rank + (random & np.uint64(0xFFFFFFFF)) % np.uint64(places - rank)).astype(np.intp)
+        # the low half as a fraction of the places that are left
+        swap = ((random & LOW) * np.uint64(places - rank) >> HALF).astype(np.intp) + rank
         if order is None:
             place = swap
         else:
             place = order[every, swap]
             order[every, swap] = order[:, rank]
         unset = out[place] > np.uint64(rank << 32)
-        fraction = random >> np.uint64(32)
+        fraction = random >> HALF
         np.minimum.at(out, place[unset], fraction[unset] | np.uint64(rank << 32))
         if not (out == UNSET).any():
             break

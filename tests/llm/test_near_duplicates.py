@@ -50,7 +50,7 @@ def slow_signature(found, places):
         order = list(range(places))
         for rank in range(places):
             value = int(superminhash.mix(np.array([element + superminhash.SEEDS[rank]]))[0])
-            swap = rank + (value & 0xFFFFFFFF) % (places - rank)
+            swap = rank + ((value & 0xFFFFFFFF) * (places - rank) >> 32)
             order[rank], order[swap] = order[swap], order[rank]
             out[order[rank]] = min(out[order[rank]], value >> 32 | rank << 32)
     return [int(x) for x in out]
@@ -62,6 +62,17 @@ def test_signature(size):
     assert superminhash.signature(found, 20).tolist() == slow_signature(found, 20)
 
 
+def test_word_hashes_name_words(spark, sf_dir):
+    known = {}
+    texts = [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    for text in [*texts, None, "", " \n", "A a\tÉ é\x85x\x1c y " + "z" * 5000]:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"[A-Z]", lambda m: m[0].lower(), text or ""))
+        hashes = superminhash.word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(known.values())) == len(known)
+
+
 def test_signature_estimates_similarity():
     random_ = np.random.default_rng(3)
     shares = []
