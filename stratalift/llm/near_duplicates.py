@@ -28,7 +28,9 @@ from stratalift.staging import stage_rows
 PLACES = 125
 # Standard deviations that the share of equal places may fall short before sets are not compared.
 SLACK = 5.0
-SMALL_BUCKET = 64
+SMALL_BUCKET = 32
+# A shingle of so few nodes is rare: all its pairs are compared.
+RARE = 16
 
 
 def bands_and_rows(percent: int) -> tuple[int, int]:
@@ -154,12 +156,14 @@ def _across(members: DataFrame, condition: Column) -> DataFrame:
 
 
 def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The prefix index of the nodes: ``key`` (a shingle), ``node``, ``n`` and ``own``.
-
-    Two sets that are similar enough share one of the ``n - ceil(share * n) + 1`` shingles of
-    either that are rarest among the nodes. ``own`` counts a set's shingles that no
-    other node has; they are in no intersection and in every union, which leaves
-    out nodes that have too many of them for any link.
+    """The prefix index of the nodes: ``key`` (a shingle), ``nodes`` that hold it, ``node``,
+    ``n`` and ``rare``.
+
+    Shingles are in the order of how many nodes hold them. Two sets that are similar enough
+    share one of the first ``n - ceil(share * n) + 1`` of either, for one the first that they
+    share at all. Is it not rare, they share no rare one, and the ``rare`` shingles
+    of both are in no intersection and in every union: a bound that leaves out
+    what has too many of them.
     """
 
     def numbers(found: pd.Series) -> pd.Series:
@@ -173,11 +177,12 @@ def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     counted = each.join(spread, "key")
     own = counted.groupBy("node").agg(F.count_if(F.col("nodes") == 1).alias("own"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "key"))
-    ranked = counted.withColumn("rank", rank).join(own, "node")
+    ranked = counted.withColumn("rank", rank).join(rare, "node")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    possible = percent * F.col("own") <= (100 - percent) * (F.col("n") - F.col("own"))
-    kept = ranked.where((F.col("rank") <= prefix) & (F.col("nodes") > 1) & possible)
-    return stage_rows(kept.select("key", "node", "n", "own"), "index")
+    few = percent * F.col("rare") <= (100 - percent) * (F.col("n") - F.col("rare"))
+    useful = (F.col("nodes") > 1) & ((F.col("nodes") <= RARE) | few)
+    kept = ranked.where((F.col("rank") <= prefix) & useful)
+    return stage_rows(kept.select("key", "nodes", "node", "n", "rare"), "index")
 
 
 def near_duplicates(df: DataFrame, doc_id: str, text: str, percent: int = 85) -> DataFrame:
@@ -247,14 +252,16 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     if large.isEmpty():
         return links
     index = _indexed(large, sets, percent)
-    # the member with the fewest shingles of its own is likely to be near all others
-    middle = index.groupBy("key").agg(F.min(F.struct("own", "node")).alias("m"))
+    # the member with the fewest rare shingles is likely to be near all others
+    middle = index.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("m"))
     stars = index.join(middle.select("key", F.col("m.node").alias("b")), "key")
     links.verify(stars.where("node <> b").select(F.col("node").alias("a"), "b").distinct())
     rest = links.mixed(index)
-    in_common = F.least(F.col("x.n") - F.col("x.own"), F.col("y.n") - F.col("y.own"))
-    possible = percent * (F.col("x.own") + F.col("y.own")) <= (100 - percent) * in_common
-    links.verify(_across(rest, apart & possible))
+    x_n, y_n = F.col("x.n"), F.col("y.n")
+    sized = 100 * F.least(x_n, y_n) >= percent * F.greatest(x_n, y_n)
+    in_common = F.least(x_n - F.col("x.rare"), y_n - F.col("y.rare"))
+    enough = (100 + percent) * in_common >= percent * (x_n + y_n)
+    links.verify(_across(rest, apart & sized & ((F.col("x.nodes") <= RARE) | enough)))
     return links
 
 

@@ -103,9 +103,10 @@ def test_query(spark, sf_dir):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
-@pytest.mark.parametrize("small", [64, 3])
-def test_chains_and_large_groups(spark, small, monkeypatch):
+@pytest.mark.parametrize(("small", "rare"), [(32, 16), (3, 16), (3, 2), (2, 1)])
+def test_chains_and_large_groups(spark, small, rare, monkeypatch):
     monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", small)
+    monkeypatch.setattr(near_duplicates, "RARE", rare)
     dice = random.Random(4)
     base = [f"w{dice.randrange(500)}" for _ in range(200)]
     rows = []
