@@ -175,7 +175,7 @@ def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     spread = each.groupBy("key").agg(F.count(F.lit(1)).alias("nodes"))
     counted = each.join(spread, "key")
-    own = counted.groupBy("node").agg(F.count_if(F.col("nodes") == 1).alias("own"))
+    rare = counted.groupBy("node").agg(F.count_if(F.col("nodes") <= RARE).alias("rare"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "key"))
     ranked = counted.withColumn("rank", rank).join(rare, "node")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
