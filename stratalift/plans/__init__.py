@@ -1,7 +1,7 @@
 """Table specs and what is built from them: transforms, transfers, reports."""
 
 from stratalift.plans.landing import landing_layer
-from stratalift.plans.layers import CustomLayer, FileLayer
+from stratalift.plans.layers import CustomLayer, FileLayer, layers_from_config
 from stratalift.plans.reports import display_layers, layer_checksum_diff, layer_row_counts
 from stratalift.plans.spec import LABELS, LAYERS, LINEAGE, ColumnSpec, TableSpec
 from stratalift.plans.transfers import (
@@ -32,6 +32,7 @@ __all__ = [
     "changes",
     "display_layers",
     "landing_layer",
+    "layers_from_config",
     "layer_checksum_diff",
     "layer_row_counts",
     "run_lineage",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,21 @@ class CustomLayer:
 
 
 Layer = FileLayer | CustomLayer
+
+
+def layers_from_config(stages: Mapping[str, Mapping[str, Any]], root: str) -> dict[str, FileLayer]:
+    """File layers below ``root`` from the stages of a nested configuration.
+
+    A stage's ``Provider`` has ``Format``, ``Write.MaxRecordsPerFile`` and
+    ``SubDir.Path``, which is set where the layer keeps a snapshot per day. Stages without
+    a file format (an API, a database) need functions and are left out.
+    """
+    layers = {}
+    for name, stage in stages.items():
+        provider = stage.get("Provider") or {}
+        fmt = provider.get("Format")
+        if fmt and fmt != "jdbc":
+            most = (provider.get("Write") or {}).get("MaxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            dated = bool((provider.get("SubDir") or {}).get("Path"))
+            layers[name] = FileLayer(f"{root.rstrip('/')}/{name}", fmt, most, dated)
+    return layers
