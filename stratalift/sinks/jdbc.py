@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from stratalift.staging import staged
+
 PARTITIONS = 40
 BATCH_ROWS = 10_000
 ATTEMPTS = 10
@@ -28,7 +30,9 @@ def write_jdbc(
     """Overwrite a database table over at most ``partitions`` connections.
 
     Every attempt is a whole overwrite, so trying again is safe. After the last
-    attempt its error is raised. ``save`` replaces the JDBC writer.
+    attempt its error is raised. ``save`` replaces the JDBC writer. The rows are staged
+    once, so that another attempt does not compute them again, and partitions are only put
+    together, never shuffled.
     """
     options = {
         **(properties or {}),
@@ -37,14 +41,14 @@ def write_jdbc(
         "driver": driver,
         "batchsize": str(batch),
     }
-    spread = df.repartition(partitions)
-    for attempt in range(1, attempts + 1):
-        try:
-            return (save or _save)(spread, options)
-        except Exception:
-            if attempt == attempts:
-                raise
-            time.sleep(delay)
+    with staged(df, "jdbc") as rows:
+        for attempt in range(1, attempts + 1):
+            try:
+                return (save or _save)(rows.coalesce(partitions), options)
+            except Exception:
+                if attempt == attempts:
+                    raise
+                time.sleep(delay)
 
 
 def _save(df: DataFrame, options: Mapping[str, str]) -> None:
