@@ -61,6 +61,16 @@ ROOT = "#root"
 FRAME = {ROOT, "html", "head", "body"}
 # Bounds of log odds, and the least probability that parent and child differ.
 FEATURE_LIMIT, HINT_LIMIT, MARGIN_ODDS, EDGE_FLOOR = 1.0, 8.0, 60.0, 0.001
+# What holds before any page has taught something, and as much as so many nodes of either label.
+PRIOR_NODES = 20
+PRIOR_ODDS = {
+    "element hint 1": HINT_LIMIT, "element hint -1": -HINT_LIMIT,
+    "text links 0": 0.3, "text links 2": -1.0, "text end True": 0.5, "text end False": -0.2,
+    **{f"text words {n}": o for n, o in enumerate((-0.4, -0.3, -0.2, 0.0, 0.3, 0.6, 0.8, 1.0))},
+}
+# The share of children that are as their parent is.
+PRIOR_AGREE = {"outer": 0.6, "element": 1 - EDGE_FLOOR, "text": 1 - EDGE_FLOOR}
+MAY_LABEL = rf"(?i)<(?:{'|'.join(sorted(LANDMARKS))})"
 
 
 @dataclass
@@ -270,45 +280,82 @@ def _log_add(a: float, b: float) -> float:
 
 
 def model_from(counts: dict[tuple[str, int], int], smooth: float = 1.0) -> PageModel:
+    """The potentials by the counts, and by the prior ones where the counts say little."""
+
     def share(name: str, label: int, of: str) -> float:
         return (counts.get((name, label), 0) + smooth) / (counts.get((of, label), 0) + 4 * smooth)
 
     odds, edges = {}, {}
-    for name in {n for n, _ in counts}:
+    for name in {n for n, _ in counts} | PRIOR_ODDS.keys():
         kind, _, rest = name.partition(" ")
         if kind in ("element", "text") and rest:
-            odds[name] = math.log(share(name, 1, kind)) - math.log(share(name, 0, kind))
+            taught = min(counts.get((kind, label), 0) for label in (0, 1))
+            found = math.log(share(name, 1, kind)) - math.log(share(name, 0, kind))
+            prior = PRIOR_ODDS.get(name, 0.0) * PRIOR_NODES
+            odds[name] = (found * taught + prior) / (taught + PRIOR_NODES)
     # The labelled pages of a site are alike, so their counts are surer than other pages allow:
     # no feature may outvote what a whole branch says, only hints are that strong.
     for name, found in odds.items():
         most = HINT_LIMIT if name.startswith("element hint") else FEATURE_LIMIT
         odds[name] = max(-most, min(most, found))
     # a mark says the same however few pages taught it
-    if odds.get("element hint 1", 1.0) > 0:
+    if odds["element hint 1"] > 0:
         odds["element hint 1"] = HINT_LIMIT
     # a margin inside the content is known by its mark alone, however many texts it holds
-    if odds.get("element hint -1", -1.0) < 0:
+    if odds["element hint -1"] < 0:
         odds["element hint -1"] = -MARGIN_ODDS
-    for kind in ("outer", "element", "text"):
+    for kind, agree in PRIOR_AGREE.items():
         rows = []
         for above in (0, 1):
-            n = [counts.get((f"edge {kind} {above}", label), 0) + smooth for label in (0, 1)]
+            n = [
+                counts.get((f"edge {kind} {above}", label), 0)
+                + 2 * smooth * (agree if label == above else 1 - agree)
+                for label in (0, 1)
+            ]
             share_one = max(EDGE_FLOOR, min(1 - EDGE_FLOOR, n[1] / sum(n)))
             rows.append((math.log(1 - share_one), math.log(share_one)))
         edges[kind] = tuple(rows)
     return PageModel(odds, edges)
 
 
+def teaches(page: str | None) -> bool:
+    return landmark_labels(parse(page)) is not None
+
+
 def fit_pages(df: DataFrame, page_id: str, page: str, bound: int = 2000) -> PageModel:
-    """The model from at most ``bound`` pages, those with the lowest hashes of their id.
+    """The model from the pages of at most ``bound`` ids, those with the lowest hashes among
+    all that have a page with a landmark with text.
 
-    Pages without landmarks, NULL pages and NULL ids teach nothing; where none
-    is left, hints alone decide.
+    Other pages and NULL ids teach nothing; where none is left, hints and prior
+    odds of texts decide.
     """
     rows = df.select(column(page_id).alias("__id"), column(page).cast("string").alias("__page"))
-    ids = rows.select("__id").where("__id IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("__id"), "__id").limit(bound).withColumnRenamed("__id", "__of")
-    sample = rows.join(F.broadcast(chosen), F.col("__id") == F.col("__of"))
+    rows = rows.where(F.col("__id").isNotNull() & F.col("__page").rlike(MAY_LABEL))
+
+    def lowest(of: DataFrame, most: int) -> DataFrame:
+        """Collected, as they are few and used several times."""
+        ids = of.select("__id").distinct().orderBy(F.xxhash64("__id"), "__id").limit(most)
+        return df.sparkSession.createDataFrame(ids.collect(), ids.schema)
+
+    def of_ids(ids: DataFrame) -> DataFrame:
+        few = F.broadcast(ids.withColumnRenamed("__id", "__of"))
+        return rows.join(few, F.col("__id") == F.col("__of")).drop("__of")
+
+    def labelled(some: DataFrame) -> DataFrame:
+        """Not a filter, which would be moved before the join with the drawn ids."""
+
+        def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield frame[[teaches(body) for body in frame["__page"]]][["__id"]]
+
+        return some.mapInPandas(keep, some.select("__id").schema)
+
+    # nearly all that have the tags are labelled; only where they are not, all are tried
+    drawn = lowest(rows, 2 * bound)
+    chosen = lowest(labelled(of_ids(drawn)), bound)
+    if chosen.count() < bound and drawn.count() == 2 * bound:
+        chosen = lowest(labelled(rows), bound)
+    sample = of_ids(chosen)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -107,3 +107,27 @@ def test_nulls_repeats_long_and_clashes(spark, sf_dir):
     assert got == [(0, 0), (1, 7), (1, 7), (2, 0), (3, len("word & " * 100_000) - 1)]
     none = pages.fit_pages(df.limit(0), "page_id", "html")
     assert pages.extract_text(df.limit(0), "html", none).count() == 0
+
+
+@pytest.mark.parametrize("empty_landmarks", [False, True])
+def test_labelled_pages_are_drawn_from_the_whole_table(spark, empty_landmarks):
+    plain = "<article></article><p>No text in it.</p>" if empty_landmarks else "<p>No landmark here.</p>"
+    taught = {k: f"<ARTICLE><p>Text of page {k}, that teaches.</p></ARTICLE><p>no</p>" for k in (7, 57, 107, 157)}
+    df = spark.createDataFrame([(k, taught.get(k, plain)) for k in range(200)] + [(None, taught[7])], "id int, html string")
+    total = pages.Counter()
+    for body in taught.values():
+        total.update(pages.count_page(body))
+    assert pages.fit_pages(df, "id", "html", 5) == pages.model_from(total)
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_hints_and_text_decide_without_labels(name):
+    page, text = PAGES[name]
+    assert pages.model_from({}).main_text(page) == text
+
+
+def test_few_labels_do_not_turn_hints():
+    only = "<article>" + "<p>A text that is content.</p>" * 100 + "</article>"
+    model = pages.model_from(pages.count_page(only))
+    page = '<div class="nav"><p>Go on reading here.</p></div><div class="content"><p>Word</p></div>'
+    assert model.main_text(page) == "Word"
