@@ -4,8 +4,9 @@ The test items are the documents of an inverted index and every passage of
 every training text is a query. An item is retrieved if its BM25 score reaches
 a bound of its own: what it would score by all its words, less the most that
 the words of a fifth of its shingles can weigh. A passage that holds four fifths
-of an item's five-word shingles therefore always retrieves it. Retrieved items
-are compared shingle by shingle, question and answer apart.
+of an item's five-word shingles, or of those of its question and of those of its
+answer, therefore always retrieves it. Retrieved items are compared shingle by
+shingle, whole and with question and answer apart.
 
 Weights are divided by the item's bound, so that one threshold, 1, holds for all.
 Upper bounds let nearly all work be skipped: lists that together cannot reach 1
@@ -70,6 +71,26 @@ class Item:
         shares = [len(p & held) / len(p) if p else None for p in (self.whole, self.question, self.answer)]
         return shares[0], shares[1] if shares[1] is not None else shares[0], shares[2]
 
+    @property
+    def in_parts(self) -> bool:
+        """Whether question and answer may stand apart; fewer words than a shingle may not."""
+        return bool(self.question and self.answer) and all(len(s) == SHINGLE for s in self.whole)
+
+    def missing(self) -> int:
+        """The most shingles, and so words, that a passage that holds the item can lack."""
+
+        def fifth(part: frozenset) -> int:
+            return math.floor((1 - OVERLAP) * len(part) + 1e-9)
+
+        apart = fifth(self.question) + fifth(self.answer) if self.in_parts else 0
+        return max(fifth(self.whole), apart)
+
+    def is_held(self, shares: tuple[float, float, float | None]) -> bool:
+        """By the whole item, or by question and answer, whatever stands between them."""
+        if shares[0] >= OVERLAP:
+            return True
+        return self.in_parts and min(shares[1:]) >= OVERLAP
+
 
 class _Vocabulary(dict):
     def __missing__(self, word: str) -> int:
@@ -115,8 +136,7 @@ class Index:
         for at, (bag, words) in enumerate(zip(counts, bags, strict=True)):
             damp = K1 * (1 - B + B * len(words) / mean)
             weights = {w: idf[w] * n * (K1 + 1) / (n + damp) for w, n in bag.items()}
-            missing = math.floor((1 - OVERLAP) * len(self.items[at].whole) + 1e-9)
-            heaviest = sorted(weights.values(), reverse=True)[:missing]
+            heaviest = sorted(weights.values(), reverse=True)[: self.items[at].missing()]
             bound = max(sum(weights.values()) - sum(heaviest), 1e-9) * (1 - 1e-9)
             self.bounds.append(bound)
             for word, weight in weights.items():
@@ -175,7 +195,7 @@ class Index:
                     if any(len(s) < SHINGLE for s in item.whole | item.answer | item.question):
                         own = held | _short(words[begin:end])
                     shares = item.overlap(own)
-                    if shares[0] >= OVERLAP and shares > out.get(at, (0, -1.0))[1:]:
+                    if item.is_held(shares) and shares > out.get(at, (0, -1.0))[1:]:
                         out[at] = (score * self.bounds[at], *shares)
         return out
 
@@ -215,7 +235,10 @@ def contamination(
     ``score`` of the passage, ``overlap``, ``question_overlap`` and ``answer_overlap``.
 
     An item counts as held if a passage has at least four fifths of its distinct
-    five-word shingles; an item of fewer words is one shingle. NULL and empty
+    five-word shingles, or four fifths of those of its question and four fifths of
+    those of its answer, so that a label between them loses nothing (``overlap`` can
+    then be less than 0.8; a label inside the question counts against the question).
+    An item of fewer words is one shingle, as is a part of fewer. NULL and empty
     texts and items hold and match nothing. Repeated rows give repeated results, and
     NULL ids stay NULL. Items go round in bounded indexes, each over all documents.
     """

@@ -99,3 +99,59 @@ def test_many_indexes(spark, monkeypatch):
     items = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l"), (3, "m n o p q")], "item_id int, text string")
     out = dec.contamination(df, "doc_id", "text", items, "item_id", "text").collect()
     assert sorted(r["item_id"] for r in out) == [1, 2]
+
+
+def holds_in_parts(text, item):
+    """Brute force: ``holds``, or such a stretch with four fifths of the question's and of the answer's."""
+    words = dec.words_of(text)
+    parts = [dec.shingles(dec.words_of(p)) for p in dec.question_and_answer(item)]
+    length = len(dec.words_of(item)) + 8
+
+    def share(part, stretch):
+        size = len(next(iter(part)))
+        return len(part & {tuple(stretch[k : k + size]) for k in range(len(stretch) - size + 1)}) / len(part)
+
+    stretches = (words[k : k + length] for k in range(max(1, len(words) - length + 1)))
+    return holds(text, item) or all(parts) and any(all(share(p, s) >= 0.8 for p in parts) for s in stretches)
+
+
+@pytest.mark.parametrize("label", ["", "Answer:", "The answer is:"])
+@pytest.mark.parametrize("around", [0, 30, 61, 100])
+def test_a_label_before_the_answer(label, around):
+    question, answer = (" ".join(f"{p}{k}" for k in range(n)) for p, n in (("q", 14), ("a", 6)))
+    (index,) = dec.build_indexes([(1, f"{question}?\n{answer}.")] + [(k, f"other{k} words of") for k in range(2, 9)])
+    text = f"{'x ' * around}{question} {label} {answer}{' y' * around}"
+    found = index.matches(dec.words_of(text))
+    assert found[0][2:] == (1.0, 1.0)
+    assert 0 not in index.matches(dec.words_of(f"{question} {label} another one"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_parts_against_brute_force(seed):
+    dice = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(200)]
+
+    def some(low, high):
+        return dice.choices(vocabulary, k=dice.randrange(low, high))
+
+    # a single word would also be found by chance, as passages are longer than the stretches here
+    items = [(k, f"{' '.join(some(4, 40))}?\n{' '.join(some(3, 20))}.") for k in range(40)]
+    indexes = dec.build_indexes(items)
+    seen = set()
+    for item_id, text in items:
+        for _ in range(4):
+            parts = [dec.words_of(p) for p in dec.question_and_answer(text)]
+            for part in parts:
+                for _ in range(dice.randrange(2)):
+                    part[dice.choice((0, -1, dice.randrange(len(part))))] = "changed"
+            label = dice.choice(([], ["answer"], ["the", "answer", "is"]))
+            doc = some(0, 200) + parts[0] + label + parts[1] + some(0, 200)
+            got = any(index.items[k].item_id == item_id for index in indexes for k in index.matches(doc))
+            seen.add((got, holds(" ".join(doc), text)))
+            assert got == holds_in_parts(" ".join(doc), text)
+    assert seen == {(True, True), (True, False), (False, False)}
+
+
+def test_short_items_stay_one_shingle():
+    (index,) = dec.build_indexes([(1, "Where? Here.")])
+    assert not index.matches("where is it it is here".split()) and index.matches("so where here it is".split())
