@@ -12,6 +12,12 @@ Weights are divided by the item's bound, so that one threshold, 1, holds for all
 Upper bounds let nearly all work be skipped: lists that together cannot reach 1
 make no candidates, blocks of items are scored only if the sum of their block
 maxima reaches 1, and what a stretch of text cannot reach none of its passages can.
+
+Passages are long against their stride: an item is sure to be found, wherever it
+stands, if what of it the text holds lies within ``Index.sure`` words. These are
+more than twice its own words, and 32 more at least, so other text may stand
+between its parts. What is spread over more, up to a whole passage, is found or
+not by its place.
 """
 
 from __future__ import annotations
@@ -35,6 +41,8 @@ OVERLAP = 0.8
 BLOCK_ITEMS = 8
 K1, B = 1.2, 0.75
 LEAST_WINDOW = 64
+# Strides of a passage; items have at most a third of its words.
+STRIDES = 6
 INDEX_BYTES = 32_000_000
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n")
 
@@ -115,10 +123,12 @@ class Lists:
 
 
 class Index:
-    """The inverted index of items of at most ``window / 2`` words."""
+    """The inverted index of items of at most ``window / 3`` words."""
 
     def __init__(self, items: list[tuple[int | None, str]], window: int) -> None:
-        self.window = window
+        self.window, self.step = window, window // STRIDES
+        # every stretch of so many words lies in one passage
+        self.sure = window - self.step + 1
         bags = [words_of(text) for _, text in items]
         self.items = []
         for (item_id, text), words in zip(items, bags, strict=True):
@@ -175,10 +185,10 @@ class Index:
     def matches(self, words: list[str]) -> dict[int, tuple[float, float, float, float | None]]:
         """Score and overlaps of every item that a passage of the words holds."""
         terms = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
-        step = self.window // 2
+        step = self.step
         out: dict[int, tuple] = {}
         # stretches of passages: numbers of the first and of the one after the last
-        stack = [(0, max(1, -(-len(words) // step) - 1))]
+        stack = [(0, max(1, 1 - (self.window - len(words)) // step))]
         while stack:
             first, last = stack.pop()
             begin, end = first * step, (last - 1) * step + self.window
@@ -210,8 +220,8 @@ def build_indexes(items: Sequence[tuple[int | None, str | None]]) -> list[Index]
     by_window: dict[int, list[tuple[int | None, str]]] = {}
     for item_id, text in items:
         if n := len(words_of(text)):
-            half = max(LEAST_WINDOW, 1 << (n - 1).bit_length())
-            by_window.setdefault(2 * half, []).append((item_id, text))
+            most = max(LEAST_WINDOW, 1 << (n - 1).bit_length())
+            by_window.setdefault(3 * most, []).append((item_id, text))
     return [Index(found, window) for window, found in sorted(by_window.items())]
 
 

@@ -155,3 +155,17 @@ def test_parts_against_brute_force(seed):
 def test_short_items_stay_one_shingle():
     (index,) = dec.build_indexes([(1, "Where? Here.")])
     assert not index.matches("where is it it is here".split()) and index.matches("so where here it is".split())
+
+
+@pytest.mark.parametrize("n", [5, 23, 64, 128])
+def test_gaps_at_every_alignment(n):
+    words = [f"w{k}" for k in range(n)]
+    (index,) = dec.build_indexes([(1, " ".join(words))])
+    assert index.sure >= 2 * n + 32
+    # a gap costs four shingles, so few words may have none
+    cut = n // 2 if n > 24 else 0
+    for gap in (40, index.sure - n):
+        part = words[:cut] + ["filler"] * gap + words[cut:]
+        for before in range(2 * index.step):
+            for after in (0, 1, index.step, 300):
+                assert 0 in index.matches(["x"] * before + part + ["y"] * after), (gap, before, after)
