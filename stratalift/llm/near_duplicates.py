@@ -6,7 +6,8 @@ bucket all are compared with its smallest member, and verified links are
 joined to components. Only buckets that still hold several components need
 more: small ones compare the members of different components; the members of
 large ones go through an exact prefix index, which no pair of enough
-similarity escapes (``_indexed``). So a group of thousands of copies costs links
+similarity escapes (``_indexed``) and whose pairs are all compared on full sets.
+Elsewhere sets whose signatures are far apart are not compared (``SLACK``). So a group of thousands of copies costs links
 to one of them, and no link between different texts is lost to a cap.
 """
 
@@ -27,7 +28,9 @@ from stratalift.staging import stage_rows
 
 PLACES = 125
 # Standard deviations that the share of equal places may fall short before sets are not compared.
-SLACK = 5.0
+# At seven, sets of just 80 or 85 % fall short with a probability of 3e-11 or 1.5e-10 by the
+# binomial, far less than that of sharing no band.
+SLACK = 7.0
 SMALL_BUCKET = 32
 # A shingle of so few nodes is rare: all its pairs are compared.
 RARE = 16
@@ -108,17 +111,22 @@ class Links:
         self.least = math.floor(PLACES * share - SLACK * math.sqrt(PLACES * share * (1 - share)))
         self.links: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame) -> int:
-        """Keep those of the pairs ``a``, ``b`` that are similar enough. Returns their number."""
+    def verify(self, pairs: DataFrame, estimate: bool = True) -> int:
+        """Keep those of the pairs ``a``, ``b`` that are similar enough. Returns their number.
+
+        Sets whose signatures differ too much are not compared, unless ``estimate`` is false.
+        """
 
         def side(name: str, *more: str) -> DataFrame:
             named = [F.col(c).alias(f"{c}_{name}") for c in ("n", *more)]
             return self.sets.select(F.col("node").alias(name), *named)
 
         n_a, n_b = F.col("n_a"), F.col("n_b")
-        sized = pairs.join(side("a", "places"), "a").join(side("b", "places"), "b")
-        sized = sized.where(100 * F.least(n_a, n_b) >= self.percent * F.greatest(n_a, n_b))
-        near = sized.where(_agree(F.col("places_a"), F.col("places_b")) >= self.least)
+        near = pairs
+        if estimate:
+            sized = pairs.join(side("a", "places"), "a").join(side("b", "places"), "b")
+            sized = sized.where(100 * F.least(n_a, n_b) >= self.percent * F.greatest(n_a, n_b))
+            near = sized.where(_agree(F.col("places_a"), F.col("places_b")) >= self.least)
         full = near.select("a", "b").join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
         both = full.withColumn("common", _common(F.col("shingles_a"), F.col("shingles_b")))
         enough = 100 * F.col("common") >= self.percent * (n_a + n_b - F.col("common"))
@@ -252,7 +260,8 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     if large.isEmpty():
         return links
     index = _indexed(large, sets, percent)
-    # the member with the fewest rare shingles is likely to be near all others
+    # the member with the fewest rare shingles is likely to be near all others; a pair that
+    # is lost to the estimate here is among those below
     middle = index.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("m"))
     stars = index.join(middle.select("key", F.col("m.node").alias("b")), "key")
     links.verify(stars.where("node <> b").select(F.col("node").alias("a"), "b").distinct())
@@ -261,7 +270,8 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     sized = 100 * F.least(x_n, y_n) >= percent * F.greatest(x_n, y_n)
     in_common = F.least(x_n - F.col("x.rare"), y_n - F.col("y.rare"))
     enough = (100 + percent) * in_common >= percent * (x_n + y_n)
-    links.verify(_across(rest, apart & sized & ((F.col("x.nodes") <= RARE) | enough)))
+    pairs = _across(rest, apart & sized & ((F.col("x.nodes") <= RARE) | enough))
+    links.verify(pairs, estimate=False)
     return links
 
 

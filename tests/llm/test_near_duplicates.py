@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -134,3 +135,25 @@ def test_nulls_short_repeats_and_clashes(spark):
     assert left.columns == df.columns
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in left.collect()) == [(False, d) for d in (1, 1, 2, 4, 5, 6, 8)] + [(True, 0)]
     assert judged(df.limit(0))[1] == []
+
+
+def test_pairs_of_the_prefix_index_are_not_estimated(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(near_duplicates, "SLACK", -100.0)  # no signatures are near enough
+    rows = []
+    for group in range(3):
+        base = [f"g{group}w{k}" for k in range(100)]
+        rows += [(10 * group + k, " ".join([*base[:k], f"e{k}", *base[k + 1 :]])) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = brute(rows, 85)
+    assert len({c for _, c in wanted.values()}) == 3
+    assert judged(df)[0] == wanted
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_estimate_loses_less_than_banding(percent):
+    least, share = near_duplicates.Links(None, percent).least, percent / 100
+    places = near_duplicates.PLACES
+    below = sum(math.comb(places, k) * share**k * (1 - share) ** (places - k) for k in range(least))
+    bands, size = near_duplicates.bands_and_rows(percent)
+    assert below < (1 - share**size) ** bands / 100
