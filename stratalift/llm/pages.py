@@ -29,7 +29,9 @@ INLINE = set(
     "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe svg math object textarea title select".split())
+RAW = set("script style noscript template iframe svg textarea title select".split())
+# Of these the text goes on to the end of the page where no end tag stands.
+ENDLESS = set("script style textarea title".split())
 # An element of these closes an open one of the named ones that it cannot stand in.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -50,7 +52,8 @@ MARGIN_WORDS = re.compile(
     re.I,
 )
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s>/]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)",
@@ -100,6 +103,7 @@ def parse(page: str | None) -> Tree:
     pieces: list[str] = []
     in_link = False
     link_chars = 0
+    unended: set[str] = set()  # raw elements that no end tag follows
 
     def flush() -> None:
         nonlocal link_chars
@@ -128,9 +132,13 @@ def parse(page: str | None) -> Tree:
         if name is None:
             continue
         name = name.lower()
-        if name in RAW and not closing:
+        end = None
+        if name in RAW and not closing and not rest.endswith("/") and name not in unended:
+            end = re.compile(rf"</{re.escape(name)}(?![\w-])[^>]*(?:>|\Z)", re.I).search(page, at)
+            if end is None:
+                unended.add(name)
+        if name in RAW and not closing and (end or rest.endswith("/") or name in ENDLESS):
             if not rest.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?![\w-])[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else len(page)
         elif name == "br":
             pieces.append("\n")
@@ -171,13 +179,24 @@ def hint_of(name: str, attributes: str) -> int:
         return -1
     if attributes:
         names = " ".join(NAMES.findall(attributes))
-        if MARGIN_WORDS.search(names) or HIDDEN.search(attributes):
+        if MARGIN_WORDS.search(names) or is_hidden(attributes):
             return -1
         if name not in LANDMARKS and CONTENT_WORDS.search(names) and name not in ("html", "body"):
             return 1
     return int(name in LANDMARKS)
 
 
+def is_hidden(attributes: str) -> bool:
+    """By the attributes ``hidden``, ``aria-hidden`` and ``style``, not by words in others."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if name == "style" and NOT_SHOWN.search(value):
+            return True
+    return False
+
+
 def features(tree: Tree, node: int, with_hints: bool = True) -> list[str]:
     if tree.name[node]:
         hint = tree.hint[node] if with_hints else 0

@@ -131,3 +131,31 @@ def test_few_labels_do_not_turn_hints():
     model = pages.model_from(pages.count_page(only))
     page = '<div class="nav"><p>Go on reading here.</p></div><div class="content"><p>Word</p></div>'
     assert model.main_text(page) == "Word"
+
+
+@pytest.mark.parametrize(
+    ("attributes", "hidden"),
+    [('class="overflow-hidden"', 0), ('data-hidden="false"', 0), ('title="what is hidden = here"', 0), ("aria-hidden=false", 0),
+     ('title="style=display:none"', 0), ("hidden", 1), ('class="a" HIDDEN=""', 1), ("aria-hidden='true'", 1),
+     ('style="color: red; display : none"', 1), ("style=display:none", 1), ('hidden="until-found"', 1)],
+)
+def test_hidden_is_an_attribute(model, attributes, hidden):
+    page = f"<article><p>Text that is shown.</p><div {attributes}>A text of its own, that may be hidden.</div></article>"
+    assert ("may be" in model.main_text(page)) != hidden
+
+
+def test_math_and_object_text_is_kept(model):
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be so.</p><object data=f><p>Words in its stead.</p></object></article>"
+    text = model.main_text(page)
+    assert all(w in text for w in ("Let", "x", "=", "1", "be so.", "Words in its stead."))
+
+
+@pytest.mark.parametrize("name", ["svg", "iframe", "select", "noscript", "template", "math", "object"])
+def test_what_is_not_ended_loses_no_text(model, name):
+    page = f"<article><p>Before it is text.</p><{name}><p>After it is text, and goes on.</p></article>"
+    assert model.main_text(page) == "Before it is text. After it is text, and goes on."
+
+
+@pytest.mark.parametrize("name", ["script", "style", "textarea", "title"])
+def test_what_ends_with_the_page(model, name):
+    assert model.main_text(f"<article><p>Before it is text.</p><{name}> no text, it is code.") == "Before it is text."
