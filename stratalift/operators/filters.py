@@ -150,6 +150,30 @@ def _against_whole(text: Column, value: int) -> Column:
     return F.when(number > near, 1).when(number < near, -1).when(number.isNotNull(), tie)
 
 
+def _against_decimal(text: Column, value: decimal.Decimal) -> Column:
+    """As ``_against_whole``, for a value with a fraction and of any number of digits."""
+    number = F.when(text.rlike(NUMBER), text).try_cast("double")
+    whole, _, fraction = format(value.copy_abs(), "f").partition(".")
+    whole, fraction = whole.lstrip("0"), fraction.rstrip("0")
+    own_whole = F.regexp_extract(text, r"^\s*[+-]?0*([0-9]*)", 1)
+    own_fraction = F.regexp_extract(text, r"\.([0-9]*[1-9])", 1)
+    own, other = F.concat(own_whole, F.lit("."), own_fraction), F.lit(f"{whole}.{fraction}")
+    longer = F.length(own_whole) - len(whole)
+    # numbers with as many digits before the point are in the order of their text
+    size = (
+        F.when(longer != 0, F.signum(longer).cast("int"))
+        .when(own > other, 1)
+        .when(own < other, -1)
+        .otherwise(0)
+    )
+    below = -size if value <= 0 else F.lit(-1)
+    above = size if value >= 0 else F.lit(1)
+    digits = F.when(text.rlike(r"^\s*-"), below).otherwise(above)
+    tie = F.when(text.rlike(PLAIN_NUMBER), digits).otherwise(0)
+    near = F.lit(float(value))
+    return F.when(number > near, 1).when(number < near, -1).when(number.isNotNull(), tie)
+
+
 def _compare(df: DataFrame, comparator: str, name: str, value: Any) -> Column:
     column = col(name)
     kind = df.schema[name].dataType
@@ -160,6 +184,8 @@ def _compare(df: DataFrame, comparator: str, name: str, value: Any) -> Column:
         value = 0
     if value is None:
         return F.lit(None).cast("boolean")
+    if isinstance(kind, T.StringType) and isinstance(value, decimal.Decimal) and value.is_finite():
+        return COMPARE[comparator](_against_decimal(column, value), F.lit(0))
     literal = F.lit(value)
     is_number = isinstance(value, (int, float, decimal.Decimal)) and not isinstance(value, bool)
     if isinstance(kind, T.StringType):

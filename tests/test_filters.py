@@ -254,3 +254,18 @@ def test_lists_of_numbers_in_text(spark):
     assert kept == members | {"x"}
     left = {r["t"] for r in filter_tree(df, {"AND": {"!=": {"t": [5, -5, 7, 9007199254740993]}}}).collect()}
     assert left == {t for t in NUMBERS if number(t) is not None} - members
+
+
+def test_decimal_literals_have_no_most_digits(spark, either_ansi):
+    big, small = "1" + "0" * 44, "0." + "0" * 24 + "1"
+    texts = [big, big + ".5", "1e30", small, "-" + small, "50.0000000000000000000000001", " 050.00 ", "-7.25", "x", None, "0", "-0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, v string")
+
+    def number(text):
+        return decimal.Decimal(text.strip()) if text not in ("x", None) else None
+
+    for text in ("50.0", big, big + ".25", "1e30", small, "0", "-7.25", "50.00000000000000000000000005"):
+        value = decimal.Decimal(text)
+        for sign, compare in {"==": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}.items():
+            wanted = [k for k, t in enumerate(texts) if number(t) is not None and compare(number(t), value)]
+            assert kept(df, {"AND": {sign: {"v": [value]}}}) == wanted, (sign, text)
