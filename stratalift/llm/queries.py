@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from functools import wraps
+from functools import partial, wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import decontamination, langid, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity
+from stratalift.llm import decontamination, langid, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity, vectorcodes
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
-from stratalift.staging import staging_path
+from stratalift.staging import stage_rows, staging_path
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -26,7 +26,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path(WORD_TOKENIZER)
 
 
-def query(function: Query) -> Query:
+def query(function: Query, sql: str | None = None) -> Query:
+    if sql is not None:
+        ORACLES[function.__name__] = sql
+
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         find_package(spark)
@@ -131,3 +134,50 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfiles.write_token_files(docs, path, "doc_id", "text", word_tokenizer(), 2)
     back = tokenfiles.read_token_files(spark, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def vector_codes_sql(dimension: int = 64) -> str:
+    """The codes of ``dimension`` components by comparing every part with every entry, round by round."""
+    parts, entries, rounds = vectorcodes.PARTS, vectorcodes.ENTRIES, vectorcodes.ROUNDS
+    width = dimension // parts
+    steps = [
+        f"""kept AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding FROM embeddings
+    WHERE len(embedding) = {dimension} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  comp AS MATERIALIZED (SELECT rid, j // {width} AS part, j % {width} AS place,
+    CAST(floor({vectorcodes.SCALE} * CAST(embedding[j + 1] AS DOUBLE)) AS BIGINT) AS v
+    FROM kept, range({dimension}) AS t(j)),
+  first AS (SELECT min(rid) AS rid, vec_id FROM kept WHERE vec_id IS NOT NULL GROUP BY vec_id
+    ORDER BY vec_id LIMIT {entries}),
+  book0 AS (SELECT part, f.entry, place, v FROM comp JOIN
+    (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM first) f USING (rid))"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""near{r} AS MATERIALIZED (SELECT rid, part, entry, d FROM (
+    SELECT c.rid, c.part, b.entry, CAST(sum((c.v - b.v) * (c.v - b.v)) AS BIGINT) AS d
+    FROM comp c JOIN book{r} b ON c.part = b.part AND c.place = b.place GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY d, entry) = 1)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""book{r + 1} AS MATERIALIZED (SELECT part, entry, place,
+    CAST(CASE WHEN n IS NULL THEN v ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS v
+    FROM book{r} LEFT JOIN (SELECT part, entry, place, sum(v) AS s, count(*) AS n
+      FROM comp JOIN near{r} USING (rid, part) GROUP BY ALL) USING (part, entry, place))"""
+            )
+    return f"""WITH {', '.join(steps)},
+  coded AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)"""
+
+
+@partial(query, sql=vector_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vectorcodes.fit_codebooks(vectors, "vec_id", "embedding")
+    coded = stage_rows(vectorcodes.encode(vectors, "embedding", books).drop("embedding"), "codes")
+    summed = vectorcodes.with_label_error(coded, "label")
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return summed.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
