@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import decontamination, langid, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity, vectorcodes
+from stratalift.llm import decontamination, langid, linededup, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity, vectorcodes
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import stage_rows, staging_path
@@ -136,13 +136,35 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+LINE_SQL = """WITH lines AS (
+    SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS held FROM documents),
+  each AS (SELECT rid, doc_id, t.pos, held[t.pos] AS line FROM lines, unnest(range(1, len(held) + 1)) AS t(pos)),
+  keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each),
+  frequent AS (SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+  marked AS (SELECT rid, doc_id, pos, line, coalesce(doc_id <> holder, false) AS gone
+    FROM keyed LEFT JOIN frequent USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid"""
+
+
+@partial(query, sql=LINE_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = linededup.drop_repeated_lines(docs, "doc_id", "text")
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    return left.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 def vector_codes_sql(dimension: int = 64) -> str:
     """The codes of ``dimension`` components by comparing every part with every entry, round by round."""
     parts, entries, rounds = vectorcodes.PARTS, vectorcodes.ENTRIES, vectorcodes.ROUNDS
     width = dimension // parts
     steps = [
         f"""kept AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding FROM embeddings
-    WHERE len(embedding) = {dimension} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WHERE len(embedding) = {dimension} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
   comp AS MATERIALIZED (SELECT rid, j // {width} AS part, j % {width} AS place,
     CAST(floor({vectorcodes.SCALE} * CAST(embedding[j + 1] AS DOUBLE)) AS BIGINT) AS v
     FROM kept, range({dimension}) AS t(j)),
