@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import stratalift
-from stratalift.llm import decontamination, langid, linededup, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity, vectorcodes
+from stratalift.llm import decontamination, langid, linededup, near_duplicates, packing, pages, quality, rules, sharding, tokenfiles, toxicity, vectorcodes, wordruns
 from stratalift.llm.frames import fold
 from stratalift.queries.registry import Query, table
 from stratalift.staging import stage_rows, staging_path
@@ -136,6 +136,37 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the text that is searched: that of every tenth id repeats from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr("filter(split(text, '[ \\\\t-\\\\r]+'), w -> w <> '')")
+    drawn = F.when(h % 10 == 0, words)
+    given = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), drawn.alias("words"))
+    n = F.size("words")
+    given = given.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    given = given.withColumn("p", (F.floor((n - F.col("a")) / (F.col("g") % 8 + 3)) + 1).cast("int"))
+    again = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((n - F.col("a")) / F.col("p")).cast("int"))
+    made = F.concat(F.slice("words", 1, F.col("a")), F.slice(F.flatten(again), 1, n - F.col("a")))
+    return given.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = wordruns.repeat_runs(docs, "text").withColumn("best", wordruns.longest_run(F.col("runs")))
+    best = F.col("best")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(line, lambda r: F.concat(r, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 LINE_SQL = """WITH lines AS (
     SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS held FROM documents),
   each AS (SELECT rid, doc_id, t.pos, held[t.pos] AS line FROM lines, unnest(range(1, len(held) + 1)) AS t(pos)),

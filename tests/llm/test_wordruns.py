@@ -1,0 +1,106 @@
+import hashlib
+import random
+import re
+import zlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratalift.llm import queries, wordruns
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plainly(words, least_words=6, least_periods=4):
+    """All runs, by comparing the words at every distance."""
+    found = {}
+    for q in range(1, len(words)):
+        i = 0
+        while i < len(words) - q:
+            j = i
+            while j < len(words) - q and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            # a stretch met at a smaller distance has that as its smallest period
+            if length >= max(least_words, least_periods * q) and (i, length) not in found:
+                found[i, length] = q
+            i = j + 1
+    return sorted((i, length, q) for (i, length), q in found.items())
+
+
+def repetitive(seed):
+    rng = random.Random(seed)
+    words = []
+    while len(words) < rng.randint(0, 60):
+        unit = [rng.randrange(rng.choice([1, 2, 3, 9])) for _ in range(rng.randint(1, 7))]
+        words += unit * rng.randint(1, 9) + unit[: rng.randint(0, len(unit))]
+    return words
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.integers(0, 10**9), st.sampled_from([(6, 4), (2, 2), (5, 3), (1, 2), (30, 4)]))
+def test_runs_against_all_distances(seed, least):
+    words = repetitive(seed)
+    assert wordruns.runs_of(words, *least) == plainly(words, *least)
+    several = [" ".join(map(str, repetitive(seed + k))) for k in range(4)] + [None, "", " 7\t" * 9]
+    made = wordruns.Batch(several, *least)
+    assert made.runs == [plainly((t or "").split(), *least) for t in several]
+
+
+def test_long_texts_take_time_in_proportion():
+    n = 30_000
+    assert wordruns.runs_of([1] * n) == [(0, n, 1)]
+    assert wordruns.runs_of([1, 2, 3] * n) == [(0, 3 * n, 3)]
+    rng = random.Random(1)
+    unit = [rng.randrange(5000) for _ in range(n)]
+    assert (0, 4 * n + 5, n) in wordruns.runs_of(unit * 4 + unit[:5])
+
+
+def contract(doc_id, text):
+    words = WORD.findall(text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n > 0:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plainly(words)
+    gone = {i for start, length, q in runs for i in range(start + q, start + length)}
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    left = " ".join(w for i, w in enumerate(words) if i not in gone)
+    best = min(((-length, s, q) for s, length, q in runs), default=None)
+    row = (best[1], -best[0], best[2], 1000 * -best[0] // best[2]) if best else (None,) * 4
+    digests = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, left)]
+    return (doc_id, len(runs), *row, *digests)
+
+
+def test_query_against_plain_python(spark, tmp_path, sf_dir):
+    rng = random.Random(4)
+    rows = [(k, " \n".join(f"w{rng.randrange(30)}" for _ in range(rng.randint(0, 150)))) for k in range(400)]
+    rows += [(1000 + k, " ".join(f"é{x}  z" for x in repetitive(k))) for k in range(120)]
+    rows += [(1, rows[1][1]), (2000, None), (2001, ""), (2002, " \t\r\n"), (2003, "ha " * 5000), (2004, "a b\x1cc " * 50)]
+    folder = str(tmp_path / "made")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = queries.op11_periodic_runs(spark, folder)
+    names = "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+    assert found.columns == names and {t for _, t in found.dtypes[:6]} == {"bigint"}
+    got = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert got == sorted((contract(*r) for r in rows), key=repr)
+    assert sum(r[1] > 0 for r in got) > 100
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("length(text) < 3000")
+    some = [tuple(r) for r in docs.collect()]
+    out = {r["doc_id"]: tuple(r) for r in queries.op11_periodic_runs(spark, sf_dir).collect()}
+    assert len(some) > 20 and all(out[r[0]] == contract(*r) for r in some)
+
+
+def test_edges(spark):
+    df = spark.createDataFrame([(None, "a " * 9), (1, "b b"), (1, "b b")], "doc_id int, text string")
+    df = df.withColumns({"Runs": F.lit(1), "collapsed": F.lit(2), "__runs": F.lit(3)}).drop("__runs")
+    out = wordruns.repeat_runs(df, "text")
+    assert out.columns == ["doc_id", "text", "runs", "collapsed"]
+    found = sorted(((r["doc_id"], [tuple(x) for x in r["runs"]], r["collapsed"]) for r in out.collect()), key=repr)
+    assert found == [(1, [], "b b"), (1, [], "b b"), (None, [(0, 9, 1)], "a")]
+    assert wordruns.repeat_runs(df.limit(0), "text").count() == 0
+    assert queries.with_planted_repeats(df.select("doc_id", "text")).count() == 3
