@@ -12,6 +12,7 @@ last pass over the texts applies it.
 from __future__ import annotations
 
 import string
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,11 +83,14 @@ def keep_bitmaps(
     one id with different texts (told apart by ``version_of``) count as one and each have
     their own bitmap. An empty table has no bitmaps.
     """
-    with staged(line_occurrences(df, doc_id, text, least_chars), "lines") as occurrences:
+    with ExitStack() as stack:
+        occurrences = stack.enter_context(staged(line_occurrences(df, doc_id, text, least_chars), "lines"))
         counts = occurrences.groupBy("h1", "h2").agg(
             F.count_if("first").alias("n_docs"), F.max("doc").alias("holder")
         )
-        frequent = counts.where(F.col("n_docs") >= least_docs).select("h1", "h2", "holder")
+        few = counts.where(F.col("n_docs") >= least_docs).select("h1", "h2", "holder")
+        # staged, so that nothing stands between exchange and join and Spark splits hot keys
+        frequent = stack.enter_context(staged(few, "frequent"))
         dropped = occurrences.join(frequent, ["h1", "h2"]).where(F.col("doc") != F.col("holder"))
         bit = F.expr(f"shiftleft(1L, pos % {WORD_BITS})")
         words = dropped.groupBy("doc", "version", F.expr(f"pos div {WORD_BITS}").cast("int").alias("word")).agg(
