@@ -47,9 +47,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 4096 tokens."""
     find_package(spark)
-    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096)
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack_rows(digests, "length", 4096, rows=docs.count())
+    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096, digests=True)
+    return packing.pack_rows(pieces, "length", 4096, rows=docs.count())
 
 
 STAGES = [

@@ -6,10 +6,23 @@ from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Texts differ a thousandfold in size, so batches are bounded by bytes and not by rows alone.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession | None = None) -> None:
+    """Arrow batches of few megabytes (a longer text is a batch of its own), unless the session
+    has another bound."""
+    spark = spark or SparkSession.active()
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(MOST_BYTES))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of the frame has it in any case."""
     taken = {c.lower() for c in df.columns}
@@ -34,6 +47,7 @@ def text_column(text: Column, schema: str, batch: Callable[[list[str | None]], A
     For a struct schema (``a long, b double``) ``batch`` returns a dict of
     sequences, for a single type one sequence.
     """
+    bound_batches()
     if " " in schema:
 
         def frame(texts: pd.Series) -> pd.DataFrame:

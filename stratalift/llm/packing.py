@@ -3,52 +3,74 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalift.llm.frames import column, free_name, without
+from stratalift.llm.frames import bound_batches, column, free_name, without
 from stratalift.llm.tokens import encoder, tokenizer_content
 
 GROUP_PIECES = 8192
 
 
 def cut_documents(
-    df: DataFrame, doc_id: str, text: str, tokenizer: str, end_id: int, capacity: int
+    df: DataFrame,
+    doc_id: str,
+    text: str,
+    tokenizer: str,
+    end_id: int,
+    capacity: int,
+    digests: bool = False,
 ) -> DataFrame:
     """The ids of every whole text and ``end_id``, cut every ``capacity`` ids.
 
     One row per piece: ``doc_id``, ``piece`` (from 0), ``start`` (the document's
-    ids before it), ``length``, ``ids`` (binary, little-endian unsigned 32-bit).
+    ids before it), ``length``, ``ids`` (binary, little-endian unsigned 32-bit), or with
+    ``digests`` their crc32 as ``ids_crc32`` (long) in their stead, for which they do
+    not leave the worker.
     A NULL text is empty: one piece with the end id. Repeated rows give repeated
-    pieces, NULL ids stay NULL, other columns are left out.
+    pieces, document ids keep their type, NULL ones stay NULL, other columns are left
+    out. A batch holds few megabytes of text, or one text that is longer.
     """
+    bound_batches(df.sparkSession)
     content = df.sparkSession.sparkContext.broadcast(tokenizer_content(tokenizer))
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(content.value)
-        for frame in frames:
-            rows = []
-            found, each = encode.many([t if isinstance(t, str) else None for t in frame["text"]])
-            held = np.insert(found, np.cumsum(each), end_id).astype("<u4").tobytes()
-            first = 0
-            for doc, n in zip(frame["doc_id"], (each + 1).tolist(), strict=True):
-                for piece, start in enumerate(range(0, n, capacity)):
-                    length = min(capacity, n - start)
-                    at = 4 * (first + start)
-                    rows.append((doc, piece, start, length, held[at : at + 4 * length]))
-                first += n
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-            yield out.astype({"doc_id": "Int64"})
-
-    rows = df.select(
-        column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text")
-    )
-    return rows.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids binary")
+        for batch in batches:
+            first_row = 0
+            for found, each in encode.parts(batch.column("text").to_pylist()):
+                held = np.insert(found, np.cumsum(each), end_id).astype("<u4")
+                sizes = each + 1
+                pieces = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                at = 4 * ((np.cumsum(sizes) - sizes)[row] + start)
+                whole = memoryview(held).cast("B")
+                cuts = (whole[a : a + 4 * n] for a, n in zip(at.tolist(), length.tolist(), strict=True))
+                if digests:
+                    last = pa.array([zlib.crc32(c) for c in cuts], pa.int64())
+                else:
+                    last = pa.array([bytes(c) for c in cuts], pa.binary())
+                docs = batch.column("doc_id").take(pa.array(first_row + row))
+                made = [docs, pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), last]
+                yield pa.RecordBatch.from_arrays(made, names)
+                first_row += len(sizes)
+
+    rows = df.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
+    last = T.StructField(*(("ids_crc32", T.LongType()) if digests else ("ids", T.BinaryType())))
+    fields = T.StructType.fromDDL("piece int, start long, length long").fields
+    schema = T.StructType([rows.schema["doc_id"], *fields, last])
+    names = schema.names
+    return rows.mapInArrow(cut, schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

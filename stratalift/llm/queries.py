@@ -99,10 +99,9 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096)
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = packing.cut_documents(docs, "doc_id", "text", word_tokenizer(), 1, 4096, digests=True)
     # a document has one piece at most that is not full
-    return packing.pack_rows(digests, "length", 4096, rows=docs.count())
+    return packing.pack_rows(pieces, "length", 4096, rows=docs.count())
 
 
 @query

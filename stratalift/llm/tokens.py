@@ -26,8 +26,8 @@ SPLIT = re.compile(
 )
 # Latin-1 without control letters and spaces that only some of the steps take for white space.
 PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
-CACHED_WORDS = 600_000
-SLICE_CHARS = 16_000_000
+CACHED_WORDS = 200_000
+SLICE_CHARS = 2_000_000
 
 
 class Encoder:
@@ -61,11 +61,18 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, SPLIT.findall(text.lower())))
 
     def many(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and how many each text has.
+        """The ids of all texts one after the other, and how many each text has."""
+        ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for own, each in self.parts(texts):
+            ids.append(own)
+            counts.append(each)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def parts(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for slices of the texts, one after the other.
 
         What stands between white space is looked up once for all texts of a slice.
         """
-        ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for part in _slices(texts):
             self._trim()
             plain = [t if t and self._by_words(t) else "" for t in part]
@@ -76,9 +83,7 @@ class Encoder:
                 for k in odd:
                     cut[k] = self(part[k])
                 own, each = np.concatenate(cut), np.array([len(c) for c in cut])
-            ids.append(own)
-            counts.append(each)
-        return np.concatenate(ids), np.concatenate(counts)
+            yield own, each
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
@@ -141,7 +146,7 @@ class _Words(dict):
         return ids
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(content: str) -> Encoder:
     return Encoder(content)
 
