@@ -23,21 +23,32 @@ from stratalift.llm.frames import column, free_name, sampled_labels, text_column
 from stratalift.llm.labelmodel import LabelModel, fit_label_model
 
 BITS = 20
-CACHED_WORDS = 300_000
-L1_PER_DOCUMENT = 0.00125
+CACHED_WORDS = 200_000
+L1_PER_DOCUMENT, LEAST_L1 = 0.00125, 3.0
+BOOST, UPDATES = 4.0, 40_000
 STARTS = range(5, 9)  # lengths of word starts
 WORD = re.compile(r"[^\W_]+")
-# Insults and contempt of common use, by language.
+# Insults and contempt of common use, by language. Everyday words that also insult are left out:
+# the mined lexicons find them where they mark toxic documents.
 LEXICONS = {
-    "en": "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting "
-    "clown imbecile dumbass bastard bitch asshole fuck fucking shit retard filth vermin",
-    "de": "idiot idioten dummkopf arschloch scheiße scheisse abschaum versager trottel drecksau "
-    "wichser hurensohn missgeburt schlampe widerlich",
-    "fr": "idiot idiote imbécile connard connasse salaud salope merde ordure crétin débile abruti "
-    "enculé pathétique dégoûtant",
-    "es": "idiota imbécil estúpido estúpida cabrón gilipollas puta mierda escoria basura payaso "
-    "patético asqueroso inútil",
+    "en": "idiot idiots idiotic moron morons moronic stupid stupidity loser losers scum scumbag pathetic "
+    "worthless disgusting imbecile imbeciles dumbass dumb bastard bastards bitch bitches asshole "
+    "assholes fuck fucking fucker shit shitty retard retarded vermin dickhead jackass cretin halfwit",
+    "de": "idiot idioten idiotin dummkopf arschloch arschlöcher scheiße scheisse beschissen abschaum "
+    "versager trottel drecksau wichser hurensohn missgeburt schlampe widerlich schwachkopf vollidiot "
+    "depp deppen fresse verpiss",
+    "fr": "idiot idiote imbécile connard connards connasse salaud salauds salope merde crétin crétine débile "
+    "abruti abrutis enculé pathétique dégoûtant bouffon minable pourriture ducon conne",
+    "es": "idiota idiotas imbécil imbéciles estúpido estúpida cabrón cabrones gilipollas puta mierda escoria "
+    "patético patética asqueroso asquerosa inútil pendejo maldito subnormal",
 }
+# Word starts that inflected and compound insults share.
+STEMS = tuple(
+    "idiot moron scumb dumba asshol fuck shit retard arschl scheiß scheiss vollidi wichs huren connar "
+    "salop encul crétin imbéci gilip cabron estúpid".split()
+)
+LEXICON_SETS = {name: frozenset(words.split()) for name, words in LEXICONS.items()}
+KNOWN = frozenset().union(*LEXICON_SETS.values())
 OBFUSCATED = str.maketrans("013457@$!", "oieastasi")
 LEET = re.compile(r"[^\W_]*[^\W\d_][013457@$]+[^\W\d_][^\W_]*")
 SPELLED = re.compile(r"(?<!\w)\w(?:[ .*_-]\w){3,}(?!\w)")
@@ -68,7 +79,7 @@ class Voters:
     """
 
     def __init__(self, mined: Sequence[str] = (), groups: int = 4) -> None:
-        self.lexicons = [set(words.split()) for words in LEXICONS.values()]
+        self.lexicons = list(LEXICON_SETS.values())
         self.mined = [set(mined[k::groups]) for k in range(groups)] if mined else []
         self.known = set().union(*self.lexicons, *self.mined)
 
@@ -78,7 +89,8 @@ class Voters:
         lexicons = [int(bool(words & lexicon)) for lexicon in self.lexicons]
         mined = [int(bool(parts & lexicon)) for lexicon in self.mined]
         hits = len(parts & self.known)
-        patterns = [int(hits >= 3), int(bool(hidden & self.known)), 0 if hits else -1]
+        stems = any(w.startswith(STEMS) for w in words)
+        patterns = [int(hits >= 2), int(hits >= 3), int(bool(hidden & self.known)), int(stems), 0 if hits else -1]
         return lexicons + mined + patterns
 
 
@@ -88,21 +100,23 @@ def mine_words(
     """Words and word starts that mark toxic documents, the surest first.
 
     At least ``least`` toxic documents must hold one, seven tenths of all that hold it must be
-    toxic, and the log-likelihood ratio against chance must exceed 30, so that what a
-    few toxic documents happen to share is not taken for a mark.
+    toxic, and the log-likelihood ratio against chance must exceed the logarithm of how many
+    are tried by two, so that what a few toxic documents happen to share is not taken for a
+    mark, however many or few documents there are.
     """
     hit, miss = Counter(), Counter()
     for words, label in zip(texts, toxic, strict=True):
         (hit if label else miss).update({p for w in words for p in word_parts(w)})
     rate = sum(map(bool, toxic)) / max(1, len(toxic))
+    tried = [(part, n) for part, n in hit.items() if n >= least]
     found = []
-    for part, n in hit.items():
+    for part, n in tried:
         m = miss[part]
-        if n < least or n < 0.7 * (n + m):
+        if n < 0.7 * (n + m):
             continue
         expected = (n + m) * rate
         ratio = n * math.log(n / expected) + (m * math.log(m / (n + m - expected)) if m else 0)
-        if n > expected and 2 * ratio > 30:
+        if n > expected and ratio > math.log(len(tried)) + 2:
             found.append((-ratio, part))
     return [part for _, part in sorted(found)[:most]]
 
@@ -111,10 +125,21 @@ def places_of(word: str, bits: int = BITS) -> list[int]:
     return [zlib.crc32(p.encode("utf-8", "surrogatepass")) >> (32 - bits) for p in word_parts(word)]
 
 
+def lexicon_places(words: set[str], bits: int = BITS) -> list[int]:
+    """Places for the lexicons that have some of the words, and for how many of these they are."""
+    known = words & KNOWN
+    if not known:
+        return []
+    names = [f"#{name}" for name, lexicon in LEXICON_SETS.items() if known & lexicon]
+    names += [f"#{n}" for n in (1, 2, 3) if len(known) >= n]
+    return [zlib.crc32(n.encode()) >> (32 - bits) for n in names]
+
+
 def features(words: set[str], bits: int = BITS) -> ftrl.Example:
-    """Places of the distinct words and their starts, with the number of words at each."""
+    """Places of the distinct words and their starts, with the number of words at each, and of
+    the lexicons."""
     found = [place for word in words for place in places_of(word, bits)]
-    places, counts = np.unique(np.array(found, np.int64), return_counts=True)
+    places, counts = np.unique(np.array(found + lexicon_places(words, bits), np.int64), return_counts=True)
     return places, counts.astype(float)
 
 
@@ -132,7 +157,9 @@ class Scorer(dict):
     def score(self, text: str | None) -> float:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        total = math.fsum(map(self.__getitem__, words_of(text)))
+        words = words_of(text)
+        total = math.fsum(map(self.__getitem__, words))
+        total += math.fsum(self.weights[lexicon_places(words, self.bits)])
         return float(ftrl.sigmoid(total + self.weights[-1]))
 
 
@@ -172,18 +199,36 @@ def fit_toxicity(
     texts = [set(r["words"].split("\n")) - {""} for r in known]
     hidden = [set(r["hidden"].split("\n")) for r in known]
     given = np.array([int(r["label"]) for r in known], np.int64)
+    return fit_words(texts, hidden, given, bits)
+
+
+def fit_words(
+    texts: Sequence[set[str]], hidden: Sequence[set[str]], given: np.ndarray, bits: int = BITS
+) -> tuple[np.ndarray, LabelModel]:
+    """The classifier's weights and the label model, from documents as sets of words."""
     voters = Voters(mine_words(texts, given))
     cast = [
         [*voters.vote(t, h), 1 if y else -1] for t, h, y in zip(texts, hidden, given, strict=True)
     ]
-    votes = np.array(cast, np.int64).reshape(len(texts), -1)
-    model = fit_label_model(votes)
-    examples = [features(t, bits) for t in texts]
-    beliefs = model.posterior(votes)
+    votes = np.array(cast, np.int64).reshape(len(texts), len(voters.vote(set(), set())) + 1)
+    model = fit_label_model(votes, given=-1)
+    return train_classifier(texts, model.posterior(votes), voters.known, bits), model
+
+
+def train_classifier(
+    texts: Sequence[set[str]], beliefs: np.ndarray, marks: set[str], bits: int = BITS
+) -> np.ndarray:
+    """The weights of places. Those of the marks (words and starts) and of the lexicons are learned
+    faster, as a few documents are enough to trust them."""
+    boost = np.ones((1 << bits) + 1)
+    boost[[zlib.crc32(m.encode("utf-8", "surrogatepass")) >> (32 - bits) for m in sorted(marks)]] = BOOST
+    boost[lexicon_places(set(KNOWN), bits)] = BOOST
+    examples = [(places, values * boost[places]) for places, values in (features(t, bits) for t in texts)]
     # sums of gradients grow with the documents, and so does the bound they must exceed
-    l1 = L1_PER_DOCUMENT * len(examples)
-    weights = ftrl.train(examples, beliefs, 1 << bits, alpha=1.0, l1=l1, l2=0.0, rounds=5)
-    return weights, model
+    l1 = max(LEAST_L1, L1_PER_DOCUMENT * len(examples))
+    rounds = max(5, min(40, UPDATES // max(1, len(examples))))
+    weights = ftrl.train(examples, beliefs, 1 << bits, alpha=1.0, l1=l1, l2=0.0, rounds=rounds)
+    return weights * boost
 
 
 def score_toxicity(df: DataFrame, text: str, weights: np.ndarray, bits: int = BITS) -> DataFrame:
@@ -196,11 +241,11 @@ def score_toxicity(df: DataFrame, text: str, weights: np.ndarray, bits: int = BI
 
 
 def score_column(df: DataFrame, text: str, weights: np.ndarray, bits: int = BITS) -> Column:
-    shared = df.sparkSession.sparkContext.broadcast(weights)  # 2**bits numbers
+    # 2**bits numbers; a worker keeps the scorer, and so the words it has met, between batches
+    shared = df.sparkSession.sparkContext.broadcast(Scorer(weights, bits))
 
     def batch(texts: list[str | None]) -> list[float]:
-        scorer = Scorer(shared.value, bits)
-        return [scorer.score(t) for t in texts]
+        return list(map(shared.value.score, texts))
 
     return text_column(column(text), "double", batch)
 
