@@ -40,17 +40,29 @@ CLOSES = {
 KEEPS_OPEN = set("ul ol dl table div section article main body blockquote".split())
 LANDMARKS = {"article", "main"}
 MARGINS = set("nav header footer aside form menu dialog head address".split())
-CONTENT_WORDS = re.compile(
-    r"\b(article|main|content|post|entry|story|hentry|prose|text|body)\b|articlebody", re.I
+# Parts of class and id names, as patterns of whole parts.
+CONTENT_PART = re.compile(
+    r"(article|main|content|post|entry|story|stories|hentry|prose|text|body|entries)s?|articlebody", re.I
 )
-MARGIN_WORDS = re.compile(
-    r"(?<![a-z])(nav\w*|menu\w*|header|masthead|footer|side\w*|aside|widget\w*|ads?|advert\w*|"
-    r"banner\w*|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|alert|popup|modal|newsletter|"
-    r"subscribe\w*|sign-?up|login|form|search\w*|comment\w*|reply|replies|discuss\w*|share\w*|"
-    r"social\w*|related|recommend\w*|breadcrumb\w*|pagination|pager|tags?|toolbar|skip\w*|legal|"
-    r"copyright|disqus)(?![a-z])",
+MARGIN_PART = re.compile(
+    r"nav(s|bar|igation)?|menus?|header|masthead|footer|side(bar|nav)?s?|aside|widgets?|"
+    r"ads?|advert(s|isements?|ising)?|banners?|sponsor(s|ed)?|promo(s|tions?|ted)?|cookies?|consent|"
+    r"notices?|alerts?|popup|modal|newsletter|subscribe|subscriptions?|signup|login|forms?|search|"
+    r"comment(s|ary|list)?|respond|reply|replies|discuss(ions?)?|shar(e|ing)|social|related|"
+    r"recommend(ed|ations?)?|breadcrumbs?|pagination|pager|tags|toolbar|skip|legal|copyright|disqus",
     re.I,
 )
+# Parts that say nothing of themselves: with a margin word they name a margin.
+PLAIN_PART = re.compile(
+    r"site|page|top|bottom|left|right|box|bar|lists?|blocks?|container|wrap(per)?|inner|outer|section|"
+    r"areas?|items?|global|primary|secondary|main|group|row|col(umn)?|buttons?|links?|icons?|media|"
+    r"panel|title|to|link|\w*\d\w*",
+    re.I,
+)
+# Names that begin or end so tell a state or a subject of the page, not what the element is.
+STATE_FIRST = set("has no not with without is type format status category tag single postid hide show js".split())
+STATE_LAST = set("on off open closed enabled disabled active visible".split())
+PART = re.compile(r"[-_:.]+|(?<=[a-z])(?=[A-Z])")
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
@@ -62,12 +74,12 @@ TOKEN = re.compile(
 WHITE = re.compile(r"\s+")
 ROOT = "#root"
 FRAME = {ROOT, "html", "head", "body"}
+NEARLY_ALL = 0.8
 # Bounds of log odds, and the least probability that parent and child differ.
 FEATURE_LIMIT, HINT_LIMIT, MARGIN_ODDS, EDGE_FLOOR = 1.0, 8.0, 60.0, 0.001
 # What holds before any page has taught something, and as much as so many nodes of either label.
 PRIOR_NODES = 20
 PRIOR_ODDS = {
-    "element hint 1": HINT_LIMIT, "element hint -1": -HINT_LIMIT,
     "text links 0": 0.3, "text links 2": -1.0, "text end True": 0.5, "text end False": -0.2,
     **{f"text words {n}": o for n, o in enumerate((-0.4, -0.3, -0.2, 0.0, 0.3, 0.6, 0.8, 1.0))},
 }
@@ -85,8 +97,12 @@ class Tree:
     hint: list[int] = field(default_factory=list)  # 1 content, -1 margin, 0 neither
     text: list[str] = field(default_factory=list)
     linked: list[float] = field(default_factory=list)  # share of the text that is in links
+    marks: list[tuple[str, ...]] = field(default_factory=list)
 
-    def add(self, parent: int, name: str, hint: int = 0, text: str = "", linked: float = 0) -> int:
+    def add(
+        self, parent: int, name: str, hint: int = 0, text: str = "", linked: float = 0, marks: tuple[str, ...] = ()
+    ) -> int:
+        self.marks.append(marks)
         self.parent.append(parent)
         self.name.append(name)
         self.hint.append(hint)
@@ -165,25 +181,75 @@ def parse(page: str | None) -> Tree:
                 back = [k for k, (_, n) in enumerate(open_) if n in CLOSES[name]]
                 if back and not any(n in KEEPS_OPEN for _, n in open_[back[-1] :]):
                     del open_[back[-1] :]
-            node = tree.add(open_[-1][0], name, hint_of(name, rest))
+            marks = marks_of(name, rest)
+            node = tree.add(open_[-1][0], name, hint_of(marks), marks=marks)
             if not rest.endswith("/"):
                 open_.append((node, name))
     say(page[at:])
     flush()
+    _settle(tree)
     return tree
 
 
-def hint_of(name: str, attributes: str) -> int:
-    """What an element's name, class, id and role say of it."""
-    if name in MARGINS:
-        return -1
+def _settle(tree: Tree) -> None:
+    """Marks that their place contradicts.
+
+    What holds nearly all text of a page and something marked as content is no margin, and a
+    landmark inside a margin is part of it, as a reader's comment is an article by name.
+    """
+    whole = text_sizes(tree)
+    holds = [False] * len(whole)
+    for node in reversed(range(1, len(whole))):
+        if holds[node] or tree.hint[node] > 0:
+            holds[tree.parent[node]] = True
+    inside = [False] * len(whole)
+    for node in range(1, len(whole)):
+        if tree.hint[node] < 0 and holds[node] and whole[node] > NEARLY_ALL * whole[0]:
+            tree.hint[node], tree.marks[node] = 0, ()
+        inside[node] = inside[tree.parent[node]] or tree.hint[node] < 0
+        if inside[node] and tree.hint[node] > 0:
+            tree.hint[node], tree.marks[node] = 0, ()
+
+
+def marks_of(name: str, attributes: str) -> tuple[str, ...]:
+    """What an element's name, class, id and role say of it: ``-word`` for a margin, ``+word``
+    for content, ``~`` where they contradict each other.
+
+    Names of classes count as a whole, and a landmark is no margin by its class.
+    """
+    marks = {f"-<{name}>"} if name in MARGINS else {f"+<{name}>"} if name in LANDMARKS else set()
     if attributes:
-        names = " ".join(NAMES.findall(attributes))
-        if MARGIN_WORDS.search(names) or is_hidden(attributes):
-            return -1
-        if name not in LANDMARKS and CONTENT_WORDS.search(names) and name not in ("html", "body"):
-            return 1
-    return int(name in LANDMARKS)
+        if is_hidden(attributes):
+            return ("-<hidden>",)
+        said = {m for names in NAMES.findall(attributes) for m in map(mark_of, names.strip("\"'").split()) if m}
+        if name in LANDMARKS or name in ("html", "body"):
+            said = set()
+        if len({m[0] for m in said}) > 1:
+            said = {"~"}
+        marks |= said
+    return tuple(sorted(marks))
+
+
+def mark_of(token: str) -> str | None:
+    """The mark that one name of a class is, if any."""
+    parts = [p for p in PART.split(token) if p]
+    if not parts or parts[0].lower() in STATE_FIRST or parts[-1].lower() in STATE_LAST:
+        return None
+    if MARGIN_PART.fullmatch("".join(parts)) or MARGIN_PART.fullmatch(parts[-1]):
+        return "-" + parts[-1].lower()
+    margins = [p for p in parts if MARGIN_PART.fullmatch(p)]
+    known = (MARGIN_PART, CONTENT_PART, PLAIN_PART)
+    if margins and all(any(k.fullmatch(p) for k in known) for p in parts):
+        return "-" + margins[0].lower()
+    if not margins and CONTENT_PART.fullmatch(parts[-1]):
+        return "+" + parts[-1].lower()
+    return None
+
+
+def hint_of(marks: tuple[str, ...]) -> int:
+    """-1 for a margin, 1 for content, 0 where nothing is said."""
+    signs = {m[0] for m in marks}
+    return -1 if "-" in signs else int("+" in signs)
 
 
 def is_hidden(attributes: str) -> bool:
@@ -199,30 +265,47 @@ def is_hidden(attributes: str) -> bool:
 
 def features(tree: Tree, node: int, with_hints: bool = True) -> list[str]:
     if tree.name[node]:
-        hint = tree.hint[node] if with_hints else 0
-        plain = tree.name[node] if with_hints or not hint_of(tree.name[node], "") else "div"
-        return [f"tag {plain}", f"hint {hint}"]
+        plain = tree.name[node] if with_hints or not marks_of(tree.name[node], "") else "div"
+        if with_hints and tree.marks[node]:
+            return [f"tag {plain}", *(f"mark {m}" for m in tree.marks[node])]
+        return [f"tag {plain}", f"hint {tree.hint[node] if with_hints else 0}"]
     text, up = tree.text[node], tree.parent[node]
     words = min(7, text.count(" ").bit_length())
     links = 0 if not tree.linked[node] else 1 if tree.linked[node] < 0.5 else 2
     return [f"words {words}", f"links {links}", f"end {text[-1] in '.!?:'}", f"in {tree.name[up]}"]
 
 
+def text_sizes(tree: Tree, counted: list[int] | None = None) -> list[int]:
+    """The characters of text in every node, or of that for which ``counted`` is 1."""
+    held = [0] * len(tree.parent)
+    for node in reversed(range(len(held))):
+        if not tree.name[node] and (counted is None or counted[node]):
+            held[node] = len(tree.text[node])
+        if (up := tree.parent[node]) >= 0:
+            held[up] += held[node]
+    return held
+
+
 def landmark_labels(tree: Tree) -> list[int] | None:
     """1 for text inside a landmark and no margin below it, and for elements of mostly such
-    text; None for pages without a landmark with text."""
-    inside = [0] * len(tree.parent)
+    text; None for pages without a landmark with text.
+
+    A margin that holds more than half of its landmark's text is taken for a
+    misleading name and counts as content.
+    """
+    whole = text_sizes(tree)
+    inside, mark = [0] * len(tree.parent), [-1] * len(tree.parent)
     for node, up in enumerate(tree.parent):
         above = inside[up] if up >= 0 else 0
-        inside[node] = 1 if tree.name[node] in LANDMARKS else 0 if tree.hint[node] < 0 else above
-    held, whole = [0] * len(inside), [0] * len(inside)
-    for node in reversed(range(len(inside))):
-        if not tree.name[node]:
-            whole[node] = len(tree.text[node])
-            held[node] = whole[node] * inside[node]
-        if (up := tree.parent[node]) >= 0:
-            whole[up] += whole[node]
-            held[up] += held[node]
+        mark[node] = mark[up] if up >= 0 else -1
+        if tree.name[node] in LANDMARKS:
+            inside[node] = int(above or tree.hint[node] > 0)
+            mark[node] = node
+        elif tree.hint[node] < 0 and not (above and 2 * whole[node] > whole[mark[node]]):
+            inside[node] = 0
+        else:
+            inside[node] = above
+    held = text_sizes(tree, inside)
     if not held or not held[0]:
         return None
     return [int(2 * h > w) if w else i for h, w, i in zip(held, whole, inside, strict=True)]
@@ -266,7 +349,7 @@ class PageModel:
 
     def unary(self, tree: Tree, node: int) -> float:
         kind = "element" if tree.name[node] else "text"
-        return sum(self.odds.get(f"{kind} {name}", 0.0) for name in features(tree, node))
+        return sum(self.odds.get(f"{kind} {name}", mark_odds(name)) for name in features(tree, node))
 
     def marginals(self, tree: Tree) -> list[float]:
         """The log odds of content of every node, by sum-product."""
@@ -298,6 +381,17 @@ def _log_add(a: float, b: float) -> float:
     return high + math.log1p(math.exp(low - high))
 
 
+def mark_odds(feature: str, right: float = 1.0) -> float:
+    """The log odds of a mark that agrees with the labels in a share ``right`` of its elements.
+
+    A margin inside the content is known by its mark alone, however many texts it holds, so
+    one that is always right outvotes them; one that is wrong as often as right says nothing.
+    """
+    sign = feature[5:6] if feature.startswith("mark ") else ""
+    most = {"+": HINT_LIMIT, "-": -MARGIN_ODDS, "~": -FEATURE_LIMIT}.get(sign, 0.0)
+    return min(HINT_LIMIT, most * (2 * right - 1))
+
+
 def model_from(counts: dict[tuple[str, int], int], smooth: float = 1.0) -> PageModel:
     """The potentials by the counts, and by the prior ones where the counts say little."""
 
@@ -307,22 +401,21 @@ def model_from(counts: dict[tuple[str, int], int], smooth: float = 1.0) -> PageM
     odds, edges = {}, {}
     for name in {n for n, _ in counts} | PRIOR_ODDS.keys():
         kind, _, rest = name.partition(" ")
-        if kind in ("element", "text") and rest:
-            taught = min(counts.get((kind, label), 0) for label in (0, 1))
-            found = math.log(share(name, 1, kind)) - math.log(share(name, 0, kind))
-            prior = PRIOR_ODDS.get(name, 0.0) * PRIOR_NODES
-            odds[name] = (found * taught + prior) / (taught + PRIOR_NODES)
-    # The labelled pages of a site are alike, so their counts are surer than other pages allow:
-    # no feature may outvote what a whole branch says, only hints are that strong.
-    for name, found in odds.items():
-        most = HINT_LIMIT if name.startswith("element hint") else FEATURE_LIMIT
-        odds[name] = max(-most, min(most, found))
-    # a mark says the same however few pages taught it
-    if odds["element hint 1"] > 0:
-        odds["element hint 1"] = HINT_LIMIT
-    # a margin inside the content is known by its mark alone, however many texts it holds
-    if odds["element hint -1"] < 0:
-        odds["element hint -1"] = -MARGIN_ODDS
+        if kind not in ("element", "text") or not rest:
+            continue
+        if rest.startswith("mark "):
+            # as if so many elements had borne it and been what it says
+            yes, no = (counts.get((name, label), 0) for label in (1, 0))
+            right = (PRIOR_NODES + (yes if rest[5] == "+" else no)) / (PRIOR_NODES + yes + no)
+            odds[name] = mark_odds(rest, right)
+            continue
+        taught = min(counts.get((kind, label), 0) for label in (0, 1))
+        found = math.log(share(name, 1, kind)) - math.log(share(name, 0, kind))
+        prior = PRIOR_ODDS.get(name, 0.0) * PRIOR_NODES
+        # The labelled pages of a site are alike, so their counts are surer than other pages allow:
+        # no feature may outvote what a whole branch says, only marks are that strong.
+        found = (found * taught + prior) / (taught + PRIOR_NODES)
+        odds[name] = max(-FEATURE_LIMIT, min(FEATURE_LIMIT, found))
     for kind, agree in PRIOR_AGREE.items():
         rows = []
         for above in (0, 1):

@@ -120,6 +120,59 @@ def test_labelled_pages_are_drawn_from_the_whole_table(spark, empty_landmarks):
     assert pages.fit_pages(df, "id", "html", 5) == pages.model_from(total)
 
 
+BODY = "<h1>The title of it</h1><p>A first paragraph, which has words enough.</p><p>And a second one follows.</p>"
+SAID = "The title of it A first paragraph, which has words enough. And a second one follows."
+AROUND = '<header><a href=/>Site</a></header><nav><a href=a>One</a> <a href=b>Two</a></nav>{}<footer>Copyright by us.</footer>'
+ARTICLES = [
+    '<article class="post">', '<article class="post type-post tag-python">', '<article class="comment-status-open">',
+    '<article class="entry has-sidebar">', '<main class="search-results-off">', '<div class="article-body share-enabled">',
+    '<article class="post-12 post type-post status-publish format-standard hentry category-news tag-ads tag-social">',
+    '<main id="main" class="site-main no-sidebar">', '<div class="entry-content comments-open">',
+    '<article class="h-entry promo-off">', '<main role="main" class="with-header skip-none">', '<div id="content" class="hasSidebar">',
+    '<div class="postContent navigation-enabled">', '<article class="formatted subscribe-free">', '<main class="sharepoint searchable">',
+    '<div class="content reply">', '<article class="widget-free advertorial-none">',
+]
+MARGINS = [
+    "comments", "comment-list", "post-comments", "sidebar", "sidebar-right", "site-header", "nav-menu", "main-nav", "cookie-notice",
+    "newsletter-signup", "sign-up", "related-posts", "share-buttons", "social-media", "ad", "ads-300x250", "advertisement", "banner-top",
+    "breadcrumbs", "footer-widgets", "widget", "comment-respond", "searchForm", "popup", "skip-link", "login_box", "comment-body",
+]
+
+
+@pytest.mark.parametrize("tag", ARTICLES)
+@pytest.mark.parametrize("taught", [True, False])
+def test_no_article_is_lost_to_a_class(model, tag, taught):
+    page = AROUND.format(f"{tag}{BODY}</{tag[1:].split()[0]}>")
+    assert (model if taught else pages.model_from({})).main_text(page) == SAID
+
+
+@pytest.mark.parametrize("name", MARGINS)
+def test_margins_are_known_by_whole_names(model, name):
+    aside = "".join(f"<div><p>Words of number {k} that stand aside.</p></div>" for k in range(9))
+    page = AROUND.format(f'<article>{BODY}</article><div class="{name}">{aside}</div>')
+    assert model.main_text(page) == SAID
+    page = AROUND.format(f'<div class="entry">{BODY}<div class="{name}"><p>Words that stand aside.</p></div></div>')
+    assert model.main_text(page) == SAID
+
+
+def test_what_holds_nearly_all_is_no_margin(model):
+    assert model.main_text(f'<body><div class="sidebar"><div class="banner"><article>{BODY}</article></div></div></body>') == SAID
+
+
+def test_marks_are_learned():
+    """A word that content bears on labelled pages becomes no margin; one it does not bear stays."""
+    blog = "<article>" + "".join(f'<div class="notice"><p>Text number {k} of it.</p></div>' for k in range(9)) + "</article>"
+    turned = f"<article><div class=notice>{BODY}</div><p>End.</p></article>"
+    plain = "<article>" + "<p>Some text.</p>" * 9 + '</article><div class="alert"><p>Go away.</p></div>'
+    counts = pages.Counter()
+    for page in [turned] * 200 + [plain] * 200:
+        counts.update(pages.count_page(page))
+    model = pages.model_from(counts)
+    assert model.main_text(blog).count("Text number") == 9
+    assert model.odds["element mark -notice"] > 0 > model.odds["element mark -alert"] + 30
+    assert pages.model_from({}).main_text(blog) == ""
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_hints_and_text_decide_without_labels(name):
     page, text = PAGES[name]
