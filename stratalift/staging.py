@@ -6,15 +6,22 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The folder of the innermost ``scratch`` block.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def staging_path(spark: SparkSession, name: str = "rows") -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of the machine.
     """
+    if scratch_folder := _SCRATCH.get():
+        return f"{scratch_folder}/{name}-{uuid.uuid4().hex}"
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
@@ -23,9 +30,24 @@ def staging_path(spark: SparkSession, name: str = "rows") -> str:
     return f"{root.rstrip('/')}/stratalift/{name}-{uuid.uuid4().hex}"
 
 
-def stage_rows(df: DataFrame, name: str = "rows") -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged in the block goes below one folder, which is deleted at its end.
+
+    Tables that are to outlive the block are staged at a ``staging_path`` taken before it.
+    """
+    folder = staging_path(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        delete_folder(spark, folder)
+
+
+def stage_rows(df: DataFrame, name: str = "rows", path: str | None = None) -> DataFrame:
     """Write the rows as a table and read it back: cuts the lineage, survives lost executors."""
-    return _stage(df, staging_path(df.sparkSession, name))
+    return _stage(df, path or staging_path(df.sparkSession, name))
 
 
 @contextmanager

@@ -1,3 +1,4 @@
+import os
 import random
 from pathlib import Path
 
@@ -7,6 +8,7 @@ from conftest import plan, values
 from pyspark.sql import functions as F
 
 from stratalift.operators import dedupe, page_rows, preview, sort_multi
+from stratalift.staging import scratch, stage_rows, staging_path
 
 
 def test_dedupe_all_is_idempotent_and_counts_null_as_a_value(spark):
@@ -102,3 +104,18 @@ def test_deep_pages_leave_nothing_in_staging(spark):
 
 def test_preview(spark):
     assert preview(spark.range(100), 7).count() == 7
+
+
+def test_scratch_deletes_what_was_staged_in_it(spark):
+    kept = staging_path(spark, "kept")
+    with pytest.raises(KeyError), scratch(spark):
+        inner = stage_rows(spark.range(5), "inner")
+        with scratch(spark):
+            nested = stage_rows(spark.range(3))
+            assert nested.count() == 3
+        outlives = stage_rows(inner.where("id > 1"), path=kept)
+        folder = inner.inputFiles()[0]
+        raise KeyError
+    assert outlives.count() == 3
+    assert not os.path.exists(folder.removeprefix("file:")) and "/scratch-" in folder
+    assert "/scratch-" not in staging_path(spark)
