@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from stratalift.llm import superminhash
 from stratalift.llm.components import connected
-from stratalift.llm.frames import column, text_column
-from stratalift.staging import stage_rows
+from stratalift.llm.frames import column, free_name, text_column
+from stratalift.staging import scratch, stage_rows, staging_path
 
 PLACES = 125
 # Standard deviations that the share of equal places may fall short before sets are not compared.
@@ -32,6 +32,8 @@ PLACES = 125
 # binomial, far less than that of sharing no band.
 SLACK = 7.0
 SMALL_BUCKET = 32
+# Members of a key are compared in blocks of about so many.
+BLOCK = 64
 # A shingle of so few nodes is rare: all its pairs are compared.
 RARE = 16
 
@@ -153,13 +155,31 @@ class Links:
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
         )
         several = keys.where(F.col("low") != F.col("high")).select("key", "size")
-        return known.join(several, "key")
+        return _with_key_facts(known, several)
+
+
+def _with_key_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """``members`` with what ``facts`` says of their key.
+
+    The facts, a row per key, come out of an aggregation. They are staged, so that nothing stands
+    between exchange and join and Spark splits the keys of many members.
+    """
+    return members.join(stage_rows(facts, "facts"), "key")
 
 
 def _across(members: DataFrame, condition: Column) -> DataFrame:
-    """Pairs of members of a key that are of different components."""
-    a, b = members.alias("x"), members.alias("y")
-    pairs = a.join(b, (F.col("x.key") == F.col("y.key")) & condition)
+    """Pairs of members of a key that are of different components.
+
+    ``size`` bounds how many members a key has. They are dealt to blocks, and every two blocks are
+    a key of their own, so that a key of very many members is compared by many tasks.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks)
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    a = members.select("*", own.alias("first"), every.alias("second")).alias("x")
+    b = members.select("*", every.alias("first"), own.alias("second")).alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.first") == F.col("y.first"))
+    pairs = a.join(b, same & (F.col("x.second") == F.col("y.second")) & condition)
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -182,7 +202,7 @@ def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sets.join(nodes, "node").select("node", "n", F.explode(listed).alias("key")), "shingles"
     )
     spread = each.groupBy("key").agg(F.count(F.lit(1)).alias("nodes"))
-    counted = each.join(spread, "key")
+    counted = stage_rows(_with_key_facts(each, spread), "counted")
     rare = counted.groupBy("node").agg(F.count_if(F.col("nodes") <= RARE).alias("rare"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("nodes", "key"))
     ranked = counted.withColumn("rank", rank).join(rare, "node")
@@ -203,41 +223,58 @@ def near_duplicates(df: DataFrame, doc_id: str, text: str, percent: int = 85) ->
     of an id are one document; rows of one id with different texts each follow
     their own text. Other columns are left out.
     """
+    return _judge(df, doc_id, text, percent).select(
+        F.col("id").alias(doc_id), "n_shingles", "component_id", "kept"
+    )
+
+
+def _judge(df: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """The same with ``id`` and ``version``, which tells texts of an id apart; a staged table."""
+    spark = df.sparkSession
+    outlives = staging_path(spark, "near-duplicates")
     rows = df.select(column(doc_id).alias("id"), column(text).cast("string").alias("text"))
     made = text_column(
         F.col("text"),
         "n_shingles long, digest binary, keys array<bigint>, places binary",
         partial(_sketches, *bands_and_rows(percent)),
     )
-    sketches = stage_rows(rows.select("id", made.alias("s")).select("id", "s.*"), "sketches")
-    whole = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    classes = stage_rows(
-        whole.groupBy("digest").agg(
-            F.min("id").alias("node"),
-            F.first("n_shingles").alias("n"),
-            F.first("keys").alias("keys"),
-            F.first("places").alias("places"),
-        ),
-        "classes",
-    )
-    links = _link(rows, classes, percent)
-    names = links.with_component(classes.select("digest", "node"), "node").select("digest", "component")
-    found = sketches.select("id", "n_shingles", "digest").join(names, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component"))
-    component = F.when(F.col("id").isNotNull(), component)
-    return found.select(
-        F.col("id").alias(doc_id),
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    with scratch(spark):
+        sketches = rows.select("id", _version(F.col("text")).alias("version"), made.alias("s"))
+        sketches = stage_rows(sketches.select("id", "version", "s.*"), "sketches")
+        whole = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
+        classes = stage_rows(
+            whole.groupBy("digest").agg(
+                F.min("id").alias("node"),
+                F.first("n_shingles").alias("n"),
+                F.first("keys").alias("keys"),
+                F.first("places").alias("places"),
+            ),
+            "classes",
+        )
+        links = _link(rows, classes, percent)
+        names = links.with_component(classes.select("digest", "node"), "node").select("digest", "component")
+        found = sketches.select("id", "version", "n_shingles", "digest").join(names, "digest", "left")
+        component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component"))
+        component = F.when(F.col("id").isNotNull(), component)
+        judged = found.select(
+            "id",
+            "version",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        )
+        return stage_rows(judged, path=outlives)
+
+
+def _version(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     bands = classes.select("node", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
     members = stage_rows(
-        bands.join(shared.where("size > 1"), "key").select("key", "node", "leader"), "buckets"
+        _with_key_facts(bands, shared.where("size > 1")).select("key", "node", "leader"), "buckets"
     )
     # the sets of all that share a bucket, from their whole texts
     wanted = members.select("node").distinct().join(classes.drop("keys"), "node")
@@ -263,7 +300,7 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     # the member with the fewest rare shingles is likely to be near all others; a pair that
     # is lost to the estimate here is among those below
     middle = index.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("m"))
-    stars = index.join(middle.select("key", F.col("m.node").alias("b")), "key")
+    stars = _with_key_facts(index, middle.select("key", F.col("m.node").alias("b")))
     links.verify(stars.where("node <> b").select(F.col("node").alias("a"), "b").distinct())
     rest = links.mixed(index)
     x_n, y_n = F.col("x.n"), F.col("y.n")
@@ -276,7 +313,14 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
 
 
 def keep_one(df: DataFrame, doc_id: str, text: str, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` that ``near_duplicates`` keeps, one document of each component."""
-    judged = near_duplicates(df, doc_id, text, percent).where("NOT kept")
-    gone = judged.select(column(doc_id).alias("__gone")).distinct()
-    return df.join(gone, df[doc_id] == gone["__gone"], "left_anti")
+    """The rows of ``df`` that ``near_duplicates`` keeps, one document of each component.
+
+    Rows with a NULL id, a NULL or empty text or one without words are kept. Repeated rows of an
+    id stay or go together; of rows of one id with different texts each follows its own.
+    All columns are kept.
+    """
+    judged = _judge(df, doc_id, text, percent).where("NOT kept")
+    own = [free_name(df, "__gone"), free_name(df, "__text")]
+    gone = judged.select(F.col("id").alias(own[0]), F.col("version").alias(own[1])).distinct()
+    same = (column(doc_id) == gone[own[0]]) & (_version(column(text)) == gone[own[1]])
+    return df.join(gone, same, "left_anti")

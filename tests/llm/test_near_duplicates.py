@@ -1,9 +1,11 @@
 import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratalift.llm import near_duplicates, queries, superminhash
 from stratalift.llm.components import connected
@@ -104,8 +106,9 @@ def test_query(spark, sf_dir):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
-@pytest.mark.parametrize(("small", "rare"), [(32, 16), (2, 2)])
-def test_chains_and_large_groups(spark, small, rare, monkeypatch):
+@pytest.mark.parametrize(("small", "rare", "block"), [(32, 16, 64), (2, 2, 5)])
+def test_chains_and_large_groups(spark, small, rare, block, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
     monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", small)
     monkeypatch.setattr(near_duplicates, "RARE", rare)
     dice = random.Random(4)
@@ -137,6 +140,29 @@ def test_nulls_short_repeats_and_clashes(spark):
     assert judged(df.limit(0))[1] == []
 
 
+def test_rows_of_one_id_follow_their_own_text(spark):
+    text, other = " ".join(f"w{k}" for k in range(20)), " ".join(f"o{k}" for k in range(20))
+    rows = [(1, text, 1), (2, text, 2), (2, other, 3), (2, None, 4), (2, text, 5), (3, other + " x", 6), (3, "", 7)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, __gone int")
+    assert sorted(r["__gone"] for r in near_duplicates.keep_one(df, "doc_id", "text").collect()) == [1, 3, 4, 7]
+
+
+def test_blocks_meet_once(spark):
+    rows = [("k", n, n % 3) for n in range(300)] + [("m", 7, 1)]
+    members = spark.createDataFrame(rows, "key string, node long, component int").withColumn("size", F.lit(300))
+    found = near_duplicates._across(members, F.col("x.component") < F.col("y.component")).collect()
+    assert len(found) == 3 * 100 * 100 and len({(r["a"], r["b"]) for r in found}) == len(found)
+
+
+def test_nothing_staged_is_left_but_the_result(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "stratalift"
+    before = set(folder.glob("*"))
+    rows = [(k, " ".join(f"w{j}" for j in range(20 + k % 3))) for k in range(9)]
+    out = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
+    (left,) = set(folder.glob("*")) - before
+    assert left.name.startswith("near-duplicates-") and out.count() == 9
+
+
 def test_pairs_of_the_prefix_index_are_not_estimated(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", 1)
     monkeypatch.setattr(near_duplicates, "SLACK", -100.0)  # no signatures are near enough
