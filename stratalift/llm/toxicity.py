@@ -51,13 +51,14 @@ LEXICON_SETS = {name: frozenset(words.split()) for name, words in LEXICONS.items
 KNOWN = frozenset().union(*LEXICON_SETS.values())
 OBFUSCATED = str.maketrans("013457@$!", "oieastasi")
 LEET = re.compile(r"[^\W_]*[^\W\d_][013457@$]+[^\W\d_][^\W_]*")
+IN_WORD = re.compile(r"[013457@$](?<=[^\W\d_].)")  # what LEET needs, found faster
 SPELLED = re.compile(r"(?<!\w)\w(?:[ .*_-]\w){3,}(?!\w)")
 APART = re.compile(r"[ .*_-]")
 
 
 def hidden_words(text: str) -> set[str]:
     """What words with digits for letters, or letters set apart, stand for; ``text`` in lower case."""
-    leet = {w.translate(OBFUSCATED) for w in LEET.findall(text)}
+    leet = {w.translate(OBFUSCATED) for w in LEET.findall(text)} if IN_WORD.search(text) else set()
     return leet | {APART.sub("", w) for w in SPELLED.findall(text)}
 
 
