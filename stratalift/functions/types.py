@@ -7,6 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalift.functions.nested import is_nested, losses, read_text
+
 # The spelled-out type names a table spec may use.
 NAMED_TYPES = {
     "string": T.StringType(),
@@ -28,7 +30,7 @@ def spark_type(name: str) -> T.DataType:
     """Resolve a spec's type name.
 
     Besides the names above any Spark DDL type is accepted (``decimal(18,2)``,
-    ``array<int>``, ``struct<a:int>``), which is also how nested types get the
+    ``array<int>``, ``struct<a:int>``, ``variant``), which is also how nested types get the
     element types they need. Unknown names raise instead of turning into string.
     """
     key = name.strip().lower()
@@ -57,12 +59,23 @@ def fitting_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
 
     A failed numeric or boolean ``try_cast`` raises and catches an exception
     per row, tens of microseconds each, so values that cannot fit are turned
-    into NULL before the cast sees them.
+    into NULL before the cast sees them. Text is read as JSON where the target
+    is nested.
     """
+    if isinstance(source, T.StringType) and is_nested(target):
+        return read_text(value, target)
     guard = _may_fit(value, source, target)
     return (value if guard is None else F.when(guard, value)).try_cast(target)
 
 
+def cast_losses(value: Column, source: T.DataType, target: T.DataType) -> dict[str, Column]:
+    """Per row, how many values ``fitting_cast`` loses on each path; ``""`` is the whole value."""
+    if isinstance(source, T.StringType) and is_nested(target):
+        return losses(value, target)
+    lost = value.isNotNull() & fitting_cast(value, source, target).isNull()
+    return {"": lost.cast("long")}
+
+
 def _may_fit(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
     if isinstance(source, T.StringType):
         for kind, pattern in (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from stratalift.functions.columns import blank_match, col, narrow, regex_match
-from stratalift.functions.types import fitting_cast, spark_type
+from stratalift.functions.types import cast_losses, spark_type
 from stratalift.operators.filters import Tree, filter_condition
 from stratalift.operators.rows import dedupe
 
@@ -145,23 +145,39 @@ REPORT_SCHEMA = "column string, check string, cnt bigint, pct_of_gross double"
 
 
 def cast_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Per column the number of values that its declared type cannot hold: ``column, failed``."""
-    present = {c: t for c, t in types.items() if c in df.columns}
-    counts = df.agg(
-        *[cast_failed(col(c), df.schema[c].dataType, t).alias(c) for c, t in present.items()]
-    )
+    """Per column the number of values that its declared type cannot hold: ``column, failed``.
+
+    Columns whose text is read as a nested type also have a row for every path inside, as
+    ``column.field``, ``column[]`` or ``column{}``.
+    """
+    counts = cast_failed_counts(df, {c: t for c, t in types.items() if c in df.columns})
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column string, failed bigint")
+    row = df.agg(*[count.alias(f"failed{at}") for at, count in enumerate(counts.values())])
     entries = [
-        F.struct(F.lit(c).alias("column"), col(c).cast("bigint").alias("failed")) for c in present
+        F.struct(F.lit(path).alias("column"), F.col(f"failed{at}").alias("failed")) for at, path in enumerate(counts)
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    return row.select(F.inline(F.array(*entries)))
+
+
+def cast_failed_counts(df: DataFrame, types: Mapping[str, str]) -> dict[str, Column]:
+    """Aggregates: the values that each path of the typed columns loses."""
+    return {
+        f"{c}{path}": count
+        for c, t in types.items()
+        for path, count in cast_failed(col(c), df.schema[c].dataType, t).items()
+    }
 
 
 def cast_failed(
     value: Column, source: DataType, type_name: str, among: Column | None = None
-) -> Column:
-    """Aggregate: values (of the rows ``among``) that the named type cannot hold."""
-    lost = value.isNotNull() & fitting_cast(value, source, spark_type(type_name)).isNull()
-    return F.count_if(lost if among is None else lost & among)
+) -> dict[str, Column]:
+    """Aggregates by path: values (of the rows ``among``) that the named type cannot hold."""
+    each = cast_losses(value, source, spark_type(type_name))
+    return {
+        path: F.coalesce(F.sum(lost if among is None else F.when(among, lost)), F.lit(0))
+        for path, lost in each.items()
+    }
 
 
 def row_reconciliation(

@@ -295,8 +295,10 @@ class _Probe:
             if c.name in self.rows.columns and c.type != "string":
                 kind = StringType() if c.name in new else self.rows.schema[c.name].dataType
                 value = new.get(c.name, col(c.name))
-                self.casts[c.name] = f"cast{at}"
-                self.plan.plain[f"cast{at}"] = cast_failed(value, kind, c.type, F.col(KEPT))
+                counts = cast_failed(value, kind, c.type, F.col(KEPT))
+                for number, (path, count) in enumerate(counts.items()):
+                    self.casts[f"{c.name}{path}"] = f"cast{at}_{number}"
+                    self.plan.plain[f"cast{at}_{number}"] = count
 
     def aggregates(self) -> list[Column]:
         return [value.alias(name) for name, value in plain_aggregates(self.plan).items()]

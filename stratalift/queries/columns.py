@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalift.functions import local_time_text
 from stratalift.operators import (
     audit_columns,
+    cast_failures,
     cast_types,
     concat_separator,
     divide,
@@ -48,6 +49,87 @@ def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# JSON texts of events as they land, some of them broken or of another shape.
+NESTED_TEXTS = {
+    "tags": """case event_id % 11 when 0 then '[1, 2' when 1 then '{"a": 1}' when 2 then '[1, "x", null]' when 3 then null
+               else concat('[', event_id % 10, ', "', user_id, '"]') end""",
+    "props": """case when event_id % 5 = 0 then '{"k": "none", "n": 7}' else props end""",
+    "visit": """case when event_id % 13 = 0 then 'no visit' else
+                concat('{"user": ', user_id, ', "at": {"day": "', case when event_type = 'error' then 'soon' else '2024-02-0' end,
+                       case when event_type = 'error' then '' else cast(event_id % 9 + 1 as varchar(1)) end, '", "value": ',
+                       value, '}, "steps": [{"n": 1}, {"n": "', event_type, '"}, ', event_id % 3, '], "type": "', event_type, '"}')
+                end""",
+}
+NESTED_SQL = f"select event_id, {', '.join(f'{text} as {name}' for name, text in NESTED_TEXTS.items())} from events"
+NESTED_TYPES = {
+    "tags": "array<int>",
+    "props": "map<string,int>",
+    "visit": "struct<user:bigint,at:struct<day:date,value:decimal(10,2)>,steps:array<struct<n:int>>,type:string>",
+}
+# Every path of the texts that their types name, in DuckDB's terms.
+PATHS_SQL = f"""select event_id,
+       case when json_valid(tags) and json_type(tags) = 'ARRAY' then tags end as tags, tags as tags_text,
+       case when json_valid(props) and json_type(props) = 'OBJECT' then props end as props,
+       case when json_valid(visit) and json_type(visit) = 'OBJECT' then visit end as visit, visit as visit_text
+       from ({NESTED_SQL})"""
+
+
+def nested_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = [F.expr(text).alias(name) for name, text in NESTED_TEXTS.items()]
+    return table(spark, sf_dir, "events").select("event_id", *texts)
+
+
+@query(
+    "cast_nested",
+    f"""select event_id, cast(json_array_length(tags) as integer) as n_tags,
+               try_cast(tags ->> '$[0]' as integer) as tag0, try_cast(tags ->> '$[1]' as integer) as tag1,
+               try_cast(props ->> '$.k' as integer) as k, try_cast(props ->> '$.n' as integer) as n,
+               try_cast(visit ->> '$.user' as bigint) as visitor, try_cast(visit ->> '$.at.day' as date) as day,
+               try_cast(visit ->> '$.at.value' as decimal(10,2)) as value,
+               try_cast(visit ->> '$.steps[0].n' as integer) as step0, try_cast(visit ->> '$.steps[1].n' as integer) as step1,
+               visit ->> '$.type' as type
+        from ({PATHS_SQL})""",
+)
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = cast_types(nested_texts(spark, sf_dir), NESTED_TYPES)
+    steps = F.col("visit.steps")
+    return typed.select(
+        "event_id",
+        F.when(F.col("tags").isNotNull(), F.size("tags")).alias("n_tags"),
+        F.get("tags", F.lit(0)).alias("tag0"),
+        F.get("tags", F.lit(1)).alias("tag1"),
+        F.col("props")["k"].alias("k"),
+        F.col("props")["n"].alias("n"),
+        F.col("visit.user").alias("visitor"),
+        "visit.at.day",
+        "visit.at.value",
+        F.get(steps, F.lit(0))["n"].alias("step0"),
+        F.get(steps, F.lit(1))["n"].alias("step1"),
+        "visit.type",
+    )
+
+
+@query(
+    "cast_nested_failures",
+    f"""with t as ({PATHS_SQL}), counts as (select
+          count(*) filter (tags_text is not null and tags is null) as "tags",
+          sum(case when json_array_length(tags) > 1 and tags ->> '$[1]' is not null
+                        and try_cast(tags ->> '$[1]' as integer) is null then 1 else 0 end) as "tags[]",
+          count(*) filter (props is null) as "props",
+          count(*) filter (try_cast(props ->> '$.k' as integer) is null and props ->> '$.k' is not null) as "props{{}}",
+          count(*) filter (visit_text is not null and visit is null) as "visit",
+          0 as "visit.user", 0 as "visit.at",
+          count(*) filter (visit is not null and try_cast(visit ->> '$.at.day' as date) is null) as "visit.at.day",
+          0 as "visit.at.value", 0 as "visit.steps", count(visit) as "visit.steps[]",
+          count(*) filter (visit is not null and try_cast(visit ->> '$.steps[1].n' as integer) is null) as "visit.steps[].n",
+          0 as "visit.type" from t)
+        select "column", failed from
+          (unpivot (select columns(*)::bigint from counts) on columns(*) into name "column" value failed)""",
+)
+def nested_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cast_failures(nested_texts(spark, sf_dir), NESTED_TYPES)
+
+
 @query(
     "concat_separator",
     """select o_orderkey,

@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from stratalift.functions import fitting_cast
 from stratalift.operators import (
     audit_columns,
     audit_last,
+    cast_failures,
     cast_types,
     concat_separator,
     divide,
@@ -123,3 +126,24 @@ def test_fitting_cast_of_numbers_equals_try_cast(spark, either_ansi, kind):
         F.col("v").try_cast(target).alias("b"),
     )
     assert all(r.a == r.b for r in pair.collect())
+
+
+def test_text_is_read_as_nested_types(spark, either_ansi):
+    texts = ["[1,2]", '[1,"x"]', "[1,null]", '{"a":1}', "abc", "", "[1,2", None, '{"a":"x","m":{"k":"v","l":3},"l":[{"d":"2020-01-01"},{"d":"q"},7]}']
+    df = spark.createDataFrame([(t,) * 4 for t in [*texts, texts[1]]], "a string, m string, s string, v string")
+    types = {"a": "array<int>", "m": "map<string,int>", "s": "struct<a:int,m:map<string,int>,l:array<struct<d:date>>>", "v": "variant"}
+    out = cast_types(df, types)
+    assert [f.dataType.simpleString() for f in out.schema] == list(types.values())
+    rows = out.collect()
+    assert [r["a"] for r in rows] == [[1, 2], [1, None], [1, None], *[None] * 6, [1, None]]
+    assert rows[3]["m"] == {"a": 1} and rows[8]["m"] == {"a": None, "m": None, "l": None}
+    assert rows[8]["s"].asDict(True) == {"a": None, "m": {"k": None, "l": 3}, "l": [{"d": date(2020, 1, 1)}, {"d": None}, None]}
+    assert rows[4]["v"] is None and rows[0]["v"].toPython() == [1, 2]
+    failed = dict(values(cast_failures(df, types)))
+    assert failed == {
+        "a": 5, "a[]": 2, "m": 7, "m{}": 3, "s": 7, "s.a": 1, "s.m": 0, "s.m{}": 1, "s.l": 0, "s.l[]": 1, "s.l[].d": 1, "v": 3,
+    }
+    assert set(dict(values(cast_failures(df.limit(0), types))).values()) == {0}
+    assert values(cast_failures(df, {"absent": "array<int>"})) == []
+    with pytest.raises(ValueError, match="text keys"):
+        cast_types(df, {"m": "map<int,int>"})
