@@ -51,6 +51,51 @@ def local_time_text(column: Column, hours: int = 8) -> Column:
     return F.date_format(shifted, "yyyy-MM-dd hh:mm:ss a")
 
 
+def holds(kind: T.DataType, *wanted: type[T.DataType]) -> bool:
+    """Whether a type is, or has inside, one of the wanted ones."""
+    if isinstance(kind, wanted):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return holds(kind.elementType, *wanted)
+    if isinstance(kind, T.MapType):
+        return holds(kind.keyType, *wanted) or holds(kind.valueType, *wanted)
+    return isinstance(kind, T.StructType) and any(holds(f.dataType, *wanted) for f in kind)
+
+
+def sorted_maps(value: Column, kind: T.DataType) -> Column:
+    """The value with the entries of all maps in it in the order of their keys.
+
+    Equal maps can hold their entries in any order, so their texts differ without this.
+    """
+    if not holds(kind, T.MapType):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: sorted_maps(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [sorted_maps(value[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    keys = F.array_sort(F.map_keys(value))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: sorted_maps(value[k], kind.valueType)))
+
+
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """A value that groups and sorts as the given one, also where that has maps or variants in it.
+
+    Maps become lists of their entries in the order of the keys, variants their JSON text.
+    """
+    if not holds(kind, T.MapType, T.VariantType):
+        return value
+    if isinstance(kind, T.VariantType):
+        return F.to_json(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: comparable(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [comparable(value[f.name], f.dataType).alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    keys = F.array_sort(F.map_keys(value))
+    return F.transform(keys, lambda k: F.struct(k.alias("key"), comparable(value[k], kind.valueType).alias("value")))
+
+
 def narrow(df: DataFrame, name: str) -> Column:
     """A comparison key for the column that is never wider than a digest.
 
@@ -59,8 +104,9 @@ def narrow(df: DataFrame, name: str) -> Column:
     A value that looks like a digest is itself long enough to be digested, so
     the two kinds cannot meet.
     """
-    value = col(name)
-    if not isinstance(df.schema[name].dataType, T.StringType):
+    kind = df.schema[name].dataType
+    value = comparable(col(name), kind)
+    if not isinstance(kind, T.StringType):
         return value
     return F.when(
         F.length(value) > NARROW_WIDTH, F.concat(F.lit("#"), F.sha2(value, 256))
@@ -72,10 +118,11 @@ def row_text(df: DataFrame, strict: bool = False) -> Column:
 
     The default skips NULLs, as ``concat_ws`` does, so ``(a, NULL, b)`` and
     ``(a, b)`` read the same. ``strict`` writes every field as its length and
-    text, and NULL as ``~``, so that only equal rows have equal text.
+    text, and NULL as ``~``, so that only equal rows have equal text. Maps are
+    written in the order of their keys.
     """
     names = regular_columns(df.columns)
-    texts = [col(name).cast("string") for name in names]
+    texts = [sorted_maps(col(name), df.schema[name].dataType).cast("string") for name in names]
     if not strict:
         # concat_ws joins the elements of a string array itself
         texts = [

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalift.functions.columns import col
-from stratalift.functions.types import fitting_cast
+from stratalift.functions.columns import col, quoted
+from stratalift.functions.types import FLOATING_TEXT, fitting_cast
 
 Tree = Mapping[str, Mapping[str, Mapping[str, Iterable[Any]]]]
 
@@ -38,7 +38,9 @@ NULL_WORD = "Null"
 # Texts that read as a number, and those among them without an exponent.
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 PLAIN_NUMBER = r"^\s*[+-]?[0-9]*\.?[0-9]*\s*$"
+WHOLE_PART = r"^\s*([+-]?[0-9]*)"
 LONG = 2**63
+PARSED_VALUES = 2000
 
 
 def filter_tree(df: DataFrame, tree: Tree) -> DataFrame:
@@ -83,44 +85,78 @@ def _column_conditions(
     if (word, comparator) in (("OR", "=="), ("AND", "!=")):
         # A run of OR = or of AND <> on one column is a membership test: one In
         # predicate for the scan instead of a chain as deep as the list is long.
-        for test, members in _memberships(df, name, values):
-            values = [v for v in values if not any(v is m for m in members)]
+        tests, values = _memberships(df, name, values)
+        for test in tests:
             yield test if comparator == "==" else ~test
     for value in values:
         yield _compare(df, comparator, name, value)
 
 
-def _memberships(
-    df: DataFrame, name: str, values: list[Any]
-) -> Iterator[tuple[Column, list[Any]]]:
-    """Tests that the column is one of several values of a kind, and these values."""
-    kind, column = df.schema[name].dataType, col(name)
-    texts = [v for v in values if isinstance(v, str) and v != NULL_WORD]
-    whole = [v for v in values if type(v) is int and abs(v) < LONG]
-    numbers = [v for v in values if type(v) in (int, float)]
-    if isinstance(kind, T.StringType):
-        if len(texts) > 1:
-            yield column.isin(texts), texts
-        if len(whole) > 1:
-            yield _whole_number_in(column, whole), whole
-    elif isinstance(kind, T.IntegralType) and len(whole) > 1:
-        yield column.isin(whole), whole
-    elif isinstance(kind, T.DecimalType) and len(whole) > 1:
-        yield column.isin([decimal.Decimal(v) for v in whole]), whole
-    elif isinstance(kind, T.FractionalType) and len(numbers) > 1:
-        yield column.cast("double").isin([float(v) for v in numbers]), numbers
-
-
-def _whole_number_in(text: Column, values: list[int]) -> Column:
+def _memberships(df: DataFrame, name: str, values: list[Any]) -> tuple[list[Column], list[Any]]:
+    """Tests that the column is one of several values of a kind, and the values of no such test."""
+    kind, column = df.schema[name].dataType, quoted(name)
+    grouped: dict[str, list[Any]] = {"text": [], "whole": [], "number": [], "": []}
+    for value in values:
+        grouped[_group_of(value, kind)].append(value)
+    tests = []
+    for group, found in list(grouped.items())[:3]:
+        if len(found) < 2:
+            continue
+        del grouped[group]
+        if group == "number":
+            tests.append(_one_of(f"cast({column} as double)", map(float, found)))
+        elif group == "whole" and isinstance(kind, T.StringType):
+            tests.append(_whole_number_in(column, found))
+        elif isinstance(kind, T.DecimalType):
+            tests.append(_one_of(column, map(decimal.Decimal, found)))
+        else:
+            tests.append(_one_of(column, found))
+    return tests, [v for found in grouped.values() for v in found]
+
+
+def _group_of(value: Any, kind: T.DataType) -> str:
+    """Which of a list's values one is compared with, by the column's type."""
+    if isinstance(kind, T.StringType) and isinstance(value, str) and value != NULL_WORD:
+        return "text"
+    exact = (T.StringType, T.IntegralType, T.DecimalType)
+    if type(value) is int and abs(value) < LONG and isinstance(kind, exact):
+        return "whole"
+    return "number" if type(value) in (int, float) and isinstance(kind, T.FractionalType) else ""
+
+
+def _one_of(expression: str, values: Iterable[Any]) -> Column:
+    """``IN`` as a text, which reaches the JVM in one piece; literals made one by one take a call
+    each, a minute for a hundred thousand. Texts are cut, as parsing takes far more memory than
+    what comes out of it."""
+    literals = list(map(_literal, values))
+    cuts = (literals[at : at + PARSED_VALUES] for at in range(0, len(literals), PARSED_VALUES))
+    return reduce(operator.or_, (F.expr(f"{expression} IN ({','.join(cut)})") for cut in cuts))
+
+
+def _literal(value: Any) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, decimal.Decimal):
+        return f"{value:f}BD"
+    if isinstance(value, float):
+        return f"double('{value!r}')"
+    return str(value) if abs(value) < 2**31 else f"{value}L"
+
+
+def _whole_number_in(text: str, values: list[int]) -> Column:
     """Whether the text reads as one of the numbers; NULL for text that is no number."""
-    exponent = fitting_cast(text, T.StringType(), T.DoubleType()).isin([float(v) for v in values])
-    plain = _whole_part(text).try_cast("bigint").isin(values) & ~_has_fraction(text)
-    found = F.when(text.rlike(PLAIN_NUMBER), F.coalesce(plain, F.lit(False))).otherwise(exponent)
-    return F.when(text.rlike(NUMBER), found)
+    number = f"try_cast(case when {text} rlike {_literal(FLOATING_TEXT)} then {text} end as double)"
+    digits = f"regexp_extract({text}, {_literal(WHOLE_PART)}, 1)"
+    whole = f"try_cast(case when {digits} in ('', '+', '-') then '0' else {digits} end as bigint)"
+    column = F.expr(text)
+    plain = _one_of(whole, values) & ~_has_fraction(column)
+    exponent = _one_of(number, map(float, values))
+    found = F.when(column.rlike(PLAIN_NUMBER), F.coalesce(plain, F.lit(False))).otherwise(exponent)
+    return F.when(column.rlike(NUMBER), found)
 
 
 def _whole_part(text: Column) -> Column:
-    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]*)", 1)
+    digits = F.regexp_extract(text, WHOLE_PART, 1)
     return F.when(digits.isin("", "+", "-"), "0").otherwise(digits)
 
 

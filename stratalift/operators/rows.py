@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalift.functions.columns import col, narrow, regular_columns
+from stratalift.functions.columns import col, comparable, holds, narrow, regular_columns
 from stratalift.staging import staged
 
 # A page that ends within this many rows is cut by a top-k sort; a deeper one is numbered.
@@ -31,10 +31,11 @@ def dedupe(
     """
     by = list(keys) if keys else regular_columns(df.columns)
     rest = [c for c in df.columns if c not in by]
-    if not rest:
+    plain = not any(holds(f.dataType, T.MapType, T.VariantType) for f in df.schema)
+    if not rest and plain:
         return df.dropDuplicates()
     tie_break = tie_break or {}
-    others = [_sortable(df, c) for c in rest if c not in tie_break]
+    others = [_sortable(df, c) for c in rest or by if c not in tie_break]
     order = [*order_columns(tie_break), *others]
     first = Window.partitionBy(*[narrow(df, k) for k in by]).orderBy(*order)
     rank = "__rank"
@@ -137,5 +138,4 @@ def _reaches(row: Row, directions: Mapping[str, str], backwards: bool) -> Column
 
 
 def _sortable(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    return col(name).cast("string") if isinstance(kind, (T.MapType, T.VariantType)) else col(name)
+    return comparable(col(name), df.schema[name].dataType)

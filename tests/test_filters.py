@@ -1,13 +1,14 @@
 import operator
 import decimal
 import random
+import time
 from datetime import date
 
 import pytest
 from conftest import plan, values
 
 from stratalift.functions import blank_match, local_time_text, narrow, regex_match, spark_type
-from stratalift.operators import filter_tree
+from stratalift.operators import filter_condition, filter_tree
 from pyspark.sql import functions as F
 
 
@@ -269,3 +270,23 @@ def test_decimal_literals_have_no_most_digits(spark, either_ansi):
         for sign, compare in {"==": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}.items():
             wanted = [k for k, t in enumerate(texts) if number(t) is not None and compare(number(t), value)]
             assert kept(df, {"AND": {sign: {"v": [value]}}}) == wanted, (sign, text)
+
+
+def test_long_lists_take_little_of_the_driver(spark):
+    df = spark.range(5).select(F.col("id"), F.col("id").cast("string").alias("t"), F.col("id").cast("double").alias("d"))
+    for name, values, kept in (
+        ("id", list(range(3, 100_000)), [3, 4]),
+        ("t", [f"it's \\{k}" for k in range(99_999)] + ["2"], [2]),
+        ("t", list(range(1, 100_000)), [1, 2, 3, 4]),
+        ("d", [k / 2 for k in range(6, 100_000)], [3, 4]),
+    ):
+        start = time.perf_counter()
+        condition = filter_condition(df, {"OR": {"==": {name: values}}})
+        assert time.perf_counter() - start < 3  # a call per literal takes minutes
+        assert [r["id"] for r in df.where(condition).collect()] == kept
+    odd = spark.createDataFrame([("a'b",), ("a\\b",), ("a\nb",), ("ä",), (None,)], "t string")
+    texts = [r["t"] for r in odd.collect() if r["t"]]
+    assert filter_tree(odd, {"OR": {"==": {"t": texts}}}).count() == 4
+    assert filter_tree(odd, {"AND": {"!=": {"t": texts[:2]}}}).count() == 2
+    mixed = spark.createDataFrame([("1",), ("x",), ("2.0",), (None,)], "t string")
+    assert filter_tree(mixed, {"OR": {"==": {"t": ["x", "y", 1, 2, "Null", 7.5]}}}).count() == 4
