@@ -107,9 +107,14 @@ def mine_words(
     """
     hit, miss = Counter(), Counter()
     for words, label in zip(texts, toxic, strict=True):
-        (hit if label else miss).update({p for w in words for p in word_parts(w)})
+        if label:
+            hit.update({p for w in words for p in word_parts(w)})
     rate = sum(map(bool, toxic)) / max(1, len(toxic))
     tried = [(part, n) for part, n in hit.items() if n >= least]
+    wanted = {part for part, _ in tried}
+    for words, label in zip(texts, toxic, strict=True):
+        if not label:
+            miss.update({p for w in words for p in word_parts(w)} & wanted)
     found = []
     for part, n in tried:
         m = miss[part]
@@ -197,12 +202,24 @@ def fit_toxicity(
     one = rows.groupBy("__id").agg(F.min(F.struct("label", "w")).alias("s"))
     ordered = one.orderBy(F.xxhash64("__id"), "__id").select("s.label", "s.w.*")
     known = ordered.collect()
-    texts = [set(r["words"].split("\n")) - {""} for r in known]
-    hidden = [set(r["hidden"].split("\n")) for r in known]
+    texts, hidden = (WordSets([r[name] for r in known]) for name in ("words", "hidden"))
     given = np.array([int(r["label"]) for r in known], np.int64)
     return fit_words(texts, hidden, given, bits)
 
 
+class WordSets(Sequence):
+    """Sets of words, kept as texts of a word a line: thousands of sets take ten times the memory."""
+
+    def __init__(self, lines: list[str]) -> None:
+        self.lines = lines
+
+    def __len__(self) -> int:
+        return len(self.lines)
+
+    def __getitem__(self, at: int) -> set[str]:
+        return set(self.lines[at].split("\n")) - {""}
+
+
 def fit_words(
     texts: Sequence[set[str]], hidden: Sequence[set[str]], given: np.ndarray, bits: int = BITS
 ) -> tuple[np.ndarray, LabelModel]:
@@ -224,7 +241,10 @@ def train_classifier(
     boost = np.ones((1 << bits) + 1)
     boost[[zlib.crc32(m.encode("utf-8", "surrogatepass")) >> (32 - bits) for m in sorted(marks)]] = BOOST
     boost[lexicon_places(set(KNOWN), bits)] = BOOST
-    examples = [(places, values * boost[places]) for places, values in (features(t, bits) for t in texts)]
+    examples = []
+    for text in texts:
+        places, values = features(text, bits)
+        examples.append((places.astype(np.int32), (values * boost[places]).astype(np.float32)))
     # sums of gradients grow with the documents, and so does the bound they must exceed
     l1 = max(LEAST_L1, L1_PER_DOCUMENT * len(examples))
     rounds = max(5, min(40, UPDATES // max(1, len(examples))))
