@@ -32,8 +32,6 @@ PLACES = 125
 # binomial, far less than that of sharing no band.
 SLACK = 7.0
 SMALL_BUCKET = 32
-# Members of a key are compared in blocks of about so many.
-BLOCK = 64
 # A shingle of so few nodes is rare: all its pairs are compared.
 RARE = 16
 
@@ -170,16 +168,10 @@ def _with_key_facts(members: DataFrame, facts: DataFrame) -> DataFrame:
 def _across(members: DataFrame, condition: Column) -> DataFrame:
     """Pairs of members of a key that are of different components.
 
-    ``size`` bounds how many members a key has. They are dealt to blocks, and every two blocks are
-    a key of their own, so that a key of very many members is compared by many tasks.
+    ``members`` is a staged table, so that Spark splits the keys of very many members.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks)
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    a = members.select("*", own.alias("first"), every.alias("second")).alias("x")
-    b = members.select("*", every.alias("first"), own.alias("second")).alias("y")
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.first") == F.col("y.first"))
-    pairs = a.join(b, same & (F.col("x.second") == F.col("y.second")) & condition)
+    a, b = members.alias("x"), members.alias("y")
+    pairs = a.join(b, (F.col("x.key") == F.col("y.key")) & condition)
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
@@ -302,7 +294,7 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     middle = index.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("m"))
     stars = _with_key_facts(index, middle.select("key", F.col("m.node").alias("b")))
     links.verify(stars.where("node <> b").select(F.col("node").alias("a"), "b").distinct())
-    rest = links.mixed(index)
+    rest = stage_rows(links.mixed(index), "rest")
     x_n, y_n = F.col("x.n"), F.col("y.n")
     sized = 100 * F.least(x_n, y_n) >= percent * F.greatest(x_n, y_n)
     in_common = F.least(x_n - F.col("x.rare"), y_n - F.col("y.rare"))
