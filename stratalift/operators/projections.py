@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from stratalift.functions.columns import col, regular_columns, reserved_columns
 from stratalift.functions.types import fitting_cast, spark_type
 
+# The audit columns in their order.
+STAMPS = ("Row_Inserted-On", "Row_Inserted-By", "Row_Updated-On", "Row_Updated-By")
 COMPACT_DATE = r"^\d{8}$"
 # Start and length of year, month and day in a yyyyMMdd text.
 COMPACT_DATE_PARTS = {1: 4, 5: 2, 7: 2}
@@ -113,12 +115,7 @@ def audit_columns(df: DataFrame, run_by: str, run_ts: datetime | str | None = No
     """Stamp who and when (cut to seconds) as the last columns, replacing older stamps."""
     moment = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     moment = F.date_trunc("second", moment)
-    stamps = {
-        "Row_Inserted-On": moment,
-        "Row_Inserted-By": F.lit(run_by),
-        "Row_Updated-On": moment,
-        "Row_Updated-By": F.lit(run_by),
-    }
+    stamps = dict(zip(STAMPS, (moment, F.lit(run_by), moment, F.lit(run_by)), strict=True))
     kept = [col(c) for c in audit_last(df).columns if c not in stamps]
     return df.select(*kept, *[value.alias(name) for name, value in stamps.items()])
 

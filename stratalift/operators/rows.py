@@ -44,7 +44,7 @@ def dedupe(
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(col(column)).distinct()
+    return dedupe(df.select(col(column)), [column])
 
 
 def order_columns(order: Mapping[str, str]) -> list[Column]:

@@ -2,12 +2,14 @@
 
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
 from stratalift.sinks.jdbc import write_jdbc
-from stratalift.sinks.layers import dated_snapshot, write_layer
+from stratalift.sinks.layers import current_path, dated_snapshot, publish_layer, write_layer
 
 __all__ = [
     "append_audit",
     "catalog_name",
+    "current_path",
     "dated_snapshot",
+    "publish_layer",
     "register_catalog",
     "write_catalog",
     "write_jdbc",

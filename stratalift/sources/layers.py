@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalift.functions.columns import col
-from stratalift.sinks.layers import RUN_DATE, dated_path
+from stratalift.sinks.layers import RUN_DATE, current_path, dated_path
 from stratalift.staging import list_folder
 
 Day = date | str | None
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A layer's table; nothing is counted or cached, so filters and columns reach the scan."""
-    return spark.read.format(fmt).load(path)
+    """A layer's table; nothing is counted or cached, so filters and columns reach the scan.
+
+    Of a published layer the current version is read.
+    """
+    return spark.read.format(fmt).load(current_path(spark, path))
 
 
 def read_dated(
@@ -31,17 +34,17 @@ def read_dated(
     The day's own folder is read, with the columns and types of that day. A day
     that was never written has no rows, and the columns of the latest day.
     """
-    days = _run_dates(spark, path)
+    days = run_dates(spark, path)
     if not days:
         raise ValueError(f"no {RUN_DATE} folder in {path}")
     latest = max(days)
     day = latest if run_date is None else str(date.fromisoformat(str(run_date)))
     if day in days:
-        return spark.read.format(fmt).load(dated_path(path, day))
-    return spark.read.format(fmt).load(dated_path(path, latest)).limit(0)
+        return read_layer(spark, dated_path(path, day), fmt)
+    return read_layer(spark, dated_path(path, latest), fmt).limit(0)
 
 
-def _run_dates(spark: SparkSession, path: str) -> list[str]:
+def run_dates(spark: SparkSession, path: str) -> list[str]:
     names = list_folder(spark, path)
     return [name.partition("=")[2] for name in names if name.startswith(RUN_DATE + "=")]
 

@@ -63,6 +63,8 @@ def staged(df: DataFrame, name: str = "rows") -> Iterator[DataFrame]:
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder of any store that Spark reaches."""
     system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
     return [status.getPath().getName() for status in system.listStatus(folder)]
 
 
@@ -71,6 +73,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, whole as soon as it is there."""
+    system, file = _folder(spark, path)
+    system.create(file, False).close()
+
+
 def _folder(spark: SparkSession, path: str):
     # the only place that goes through the driver's JVM, which Spark Connect does not offer
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
