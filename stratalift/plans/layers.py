@@ -9,18 +9,26 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalift.sinks.layers import MAX_RECORDS_PER_FILE, dated_path, dated_snapshot, write_layer
+from stratalift.sinks.layers import (
+    MAX_RECORDS_PER_FILE,
+    dated_path,
+    dated_snapshot,
+    publish_layer,
+    write_layer,
+)
 from stratalift.sources.layers import read_dated, read_layer
 
 
 @dataclass(frozen=True)
 class FileLayer:
-    """A table of files; ``dated`` keeps one snapshot per run date."""
+    """A table of files; ``dated`` keeps one snapshot per run date, ``published`` writes beside
+    the rows there are and puts the new ones in their place when they are whole."""
 
     path: str
     fmt: str = "parquet"
     max_records: int = MAX_RECORDS_PER_FILE
     dated: bool = False
+    published: bool = False
 
     def read(self, spark: SparkSession, run_date: date | str | None = None) -> DataFrame:
         if self.dated:
@@ -33,7 +41,9 @@ class FileLayer:
 
     def write(self, df: DataFrame, run_date: date | str) -> None:
         if self.dated:
-            dated_snapshot(df, self.path, run_date, self.fmt, self.max_records)
+            dated_snapshot(df, self.path, run_date, self.fmt, self.max_records, self.published)
+        elif self.published:
+            publish_layer(df, self.path, self.fmt, self.max_records)
         else:
             write_layer(df, self.path, self.fmt, self.max_records)
 

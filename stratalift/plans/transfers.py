@@ -10,6 +10,7 @@ table, so that its shuffle runs once.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
@@ -47,6 +48,7 @@ from stratalift.plans.layers import CustomLayer, FileLayer, Layer
 from stratalift.plans.spec import LABELS, LINEAGE, MERGED_FROM, TRANSFORMED_FROM, TableSpec
 from stratalift.plans.transforms import Changes, changes, transform, updates
 from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
+from stratalift.sinks.layers import current_path
 from stratalift.staging import staged
 
 KEPT = "__kept"
@@ -59,7 +61,7 @@ RUN_REPORT_SCHEMA = """
     rows_gross bigint, rows_net bigint, rows_duplicates bigint, rows_filtered bigint,
     rows_written bigint, cast_nulls map<string,bigint>,
     checksum string, checksum_mode string, hash string,
-    catalog_failure string, failure string
+    catalog_failure string, failure string, run_id string
 """
 
 
@@ -94,6 +96,8 @@ class RunOptions:
     merges: tuple[MergeStep, ...] = ()
     catalog: str | None = None
     audit_table: str | None = None
+    # names a run, so that it can be taken up again
+    run_id: str | None = None
 
 
 @dataclass
@@ -154,6 +158,7 @@ def transfer(
         "target": target,
         "mode": options.mode,
         "run_by": audit_text(spec, source, options),
+        "run_id": options.run_id,
         "started": started,
         "hash": "SHA-256" if options.integrity else None,
         "checksum_mode": options.checksum_mode if options.integrity else None,
@@ -350,7 +355,7 @@ def _catalog(
     name = catalog_name(options.catalog, spec.family, spec.table, target)
     try:
         if isinstance(place, FileLayer):
-            register_catalog(spark, name, place.place(options.run_date), place.fmt)
+            register_catalog(spark, name, current_path(spark, place.place(options.run_date)), place.fmt)
         else:
             write_catalog(rows, name)
     except Exception as error:  # the layer itself is written by now
@@ -375,6 +380,7 @@ def run_lineage(
     options: RunOptions,
     lineage: Mapping[str, str] | None = None,
     skip: Sequence[str] = ("DZ",),
+    workers: int = 1,
 ) -> DataFrame:
     """Transfer every table hop by hop; ``layers`` holds each table's own layers.
 
@@ -382,22 +388,54 @@ def run_lineage(
     at its first failure, the others go on; at the end a failure raises. Hops
     from or to a layer that the table does not have are left out. Returns the run
     reports, one row per hop.
+
+    With ``workers`` so many tables run at once, each in a pool of its own, which a
+    session with the FAIR scheduler serves alike. With a ``run_id`` and an audit table in the
+    options, hops that this run has done by the audit table are not done again: a run that
+    was ended half-way goes on behind its last whole hop, and their reports are those of then.
     """
-    reports: list[DataFrame] = []
-    failures: list[str] = []
-    for spec in specs:
-        for source, target in (lineage or LINEAGE).items():
+    done = _done(spark, options)
+    hops = lineage or LINEAGE
+
+    def run(spec: TableSpec) -> tuple[list[tuple], str | None]:
+        if workers > 1:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{spec.family}/{spec.table}")
+        reports: list[tuple] = []
+        for source, target in hops.items():
             if target in skip or not {source, target} <= layers[spec.table].keys():
                 continue
+            before = done.get((spec.family, spec.table, source, target))
+            if before is not None:
+                reports.append(before)
+                continue
             try:
-                done = transfer(spark, spec, source, target, layers[spec.table], options)
+                result = transfer(spark, spec, source, target, layers[spec.table], options)
             except Exception as error:
-                failures.append(f"{spec.family}/{spec.table} {source} to {target}: {error}")
-                reports += [error.report] if hasattr(error, "report") else []
-                break
-            reports.append(done.report)
-    rows = [tuple(row) for report in reports for row in report.collect()]  # one per hop
-    result = spark.createDataFrame(rows, RUN_REPORT_SCHEMA)
+                if hasattr(error, "report"):
+                    reports.append(tuple(error.report.first()))
+                return reports, f"{spec.family}/{spec.table} {source} to {target}: {error}"
+            reports.append(tuple(result.report.first()))
+        return reports, None
+
+    if workers > 1:
+        with ThreadPoolExecutor(workers) as pool:
+            ended = list(pool.map(run, specs))
+    else:
+        ended = [run(spec) for spec in specs]
+    result = spark.createDataFrame([row for rows, _ in ended for row in rows], RUN_REPORT_SCHEMA)
+    failures = [failure for _, failure in ended if failure]
     if failures:
         raise LineageError("; ".join(failures), result)
     return result
+
+
+def _done(spark: SparkSession, options: RunOptions) -> dict[tuple[str, str, str, str], tuple]:
+    """The reports of the run's hops that the audit table knows as done, the latest of each."""
+    if not (options.run_id and options.audit_table and spark.catalog.tableExists(options.audit_table)):
+        return {}
+    audit = spark.table(options.audit_table)
+    if "run_id" not in audit.columns:
+        return {}
+    known = audit.where((F.col("run_id") == options.run_id) & (F.col("status") == 200)).orderBy("ended")
+    names = [f.name for f in DataType.fromDDL(RUN_REPORT_SCHEMA)]
+    return {(r["family"], r["table_name"], r["source"], r["target"]): tuple(r) for r in known.select(*names).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from stratalift.operators import (
     distinct_values,
     merge_asof,
     merge_ranges,
+    merge_sources,
     read_tree,
     row_checksum,
     row_differences,
@@ -18,9 +21,10 @@ from stratalift.operators import (
     upsert_counts,
     write_tree,
 )
+from stratalift.plans.sketches import keep_sketches, unique_over
 from stratalift.plans.states import keep_states, kept_group_agg
 from stratalift.queries.registry import query, table
-from stratalift.sinks import publish_layer
+from stratalift.sinks import publish_layer, write_bucketed, write_clustered
 from stratalift.sources import read_layer
 from stratalift.staging import staging_path
 from stratalift.streaming import land_arrivals, read_arrivals
@@ -234,3 +238,66 @@ def distinct_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = row_checksum(_with_maps(spark, sf_dir))
     return digests.groupBy("user_id", "Row_Checksum").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "unique_over_days",
+    """select s.name as span, c.name as "column", count(distinct case c.name when 'user_id' then cast(user_id as varchar)
+              when 'event_id' then cast(event_id as varchar) else kind end)
+              + max(case when c.name = 'kind' and kind is null then 1 else 0 end) as exact, true as within
+       from (select *, nullif(event_type, 'error') as kind, day(ts) as day from events),
+            (values ('first', 1, 10), ('late', 11, 30), ('all', 1, 30)) s(name, lo, hi),
+            (values ('user_id'), ('event_id'), ('kind')) c(name)
+       where day between lo and hi group by all""",
+)
+def unique_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates from the sketches of three parts of a month against exact counts over the rows."""
+    events = table(spark, sf_dir, "events").withColumn("kind", F.nullif("event_type", F.lit("error")))
+    day, path = F.dayofmonth("ts"), staging_path(spark, "sketches")
+    columns = ["user_id", "event_id", "kind"]
+    for last in (10, 20, 30):
+        part = events.where((day > last - 10) & (day <= last))
+        keep_sketches(part, path, f"2024-01-{last}", columns)
+    found = []
+    for name, lo, hi in (("first", 1, 10), ("late", 11, 30), ("all", 1, 30)):
+        rows = events.where(day.between(lo, hi))
+        exact = rows.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in columns])
+        named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("exact")) for c in columns]
+        counts = exact.select(F.inline(F.array(*named)))
+        near = unique_over(spark, path, f"2024-01-{lo:02}", f"2024-01-{hi}").join(counts, "column")
+        within = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * F.col("error") + 1
+        found.append(near.select(F.lit(name).alias("span"), "column", "exact", within.alias("within")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+BUCKETS = 8
+
+
+@query(
+    "merge_bucketed",
+    """select o_custkey as custkey, o_orderkey, o_totalprice, c_name from
+       (select * from orders qualify row_number() over (partition by o_custkey order by o_orderkey) = 1)
+       join customer on o_custkey = c_custkey""",
+)
+def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first order of every customer, by tables that are kept by the customer's key."""
+    names = [f"bucketed_{uuid.uuid4().hex}" for _ in range(2)]
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
+    for name, rows in zip(names, (orders, customers), strict=True):
+        write_bucketed(rows, name, ["custkey"], BUCKETS)
+    first = dedupe(spark.table(names[0]), ["custkey"], {"o_orderkey": "ASC"})
+    return merge_sources(first, spark.table(names[1]), ["custkey"])
+
+
+@query(
+    "clustered_layout",
+    """select * from orders where o_custkey between 10 and 60
+       union all select * from orders where o_orderdate between timestamp '1996-01-01' and timestamp '1996-02-01'""",
+)
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "clustered")
+    write_clustered(table(spark, sf_dir, "orders"), path, ["o_custkey", "o_orderdate"], 16)
+    layer = read_layer(spark, path)
+    days = F.col("o_orderdate").between(F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1996-02-01").cast("timestamp_ntz"))
+    return layer.where(F.col("o_custkey").between(10, 60)).unionByName(layer.where(days))

@@ -444,3 +444,26 @@ def displayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = display_layers({"orders": sorted_layers}, 5)
     rows = [df.select(F.lit(layer).alias("layer"), "o_orderkey") for (_, layer), df in shown.items()]
     return rows[0].unionByName(rows[1])
+
+
+@query(
+    "lineage_resumed",
+    """select 'LZ' as source, 'RZ' as target, (select count(*) from orders) as rows_gross, 2 as runs
+       union all select 'RZ', 'BL', (select count(*) from orders), 2
+       union all select 'BL', 'SL', (select count(*) from orders), 1""",
+)
+def lineage_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails at its third hop is taken up again; ``runs`` says in how many reports a
+    hop's very result is found."""
+    layers = _layers(staging_path(spark, "lineage"))
+    write_layer(landed_orders(spark, sf_dir), layers["LZ"].path)
+    options = _options(audit_table=f"runs_{uuid.uuid4().hex}", run_id="run 7")
+    hops = {"LZ": "RZ", "RZ": "BL", "BL": "SL"}
+    try:
+        run_lineage(spark, [replace(ORDER_SPEC, sort={"no_such_column": "ASC"})], {"orders": layers}, options, hops)
+    except LineageError as error:
+        first = error.reports
+    second = run_lineage(spark, [ORDER_SPEC], {"orders": layers}, options, hops, workers=2)
+    both = first.where("status = 200").unionByName(second)
+    runs = both.groupBy("source", "target", "rows_gross", "started", "ended").agg(F.count(F.lit(1)).alias("runs"))
+    return runs.select("source", "target", "rows_gross", F.col("runs").cast("int").alias("runs"))

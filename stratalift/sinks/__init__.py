@@ -1,6 +1,13 @@
 """Writing layers, catalog tables, databases and the audit trail."""
 
-from stratalift.sinks.catalog import append_audit, catalog_name, register_catalog, write_catalog
+from stratalift.sinks.catalog import (
+    append_audit,
+    catalog_name,
+    register_catalog,
+    write_bucketed,
+    write_catalog,
+)
+from stratalift.sinks.clustered import write_clustered
 from stratalift.sinks.jdbc import write_jdbc
 from stratalift.sinks.layers import current_path, dated_snapshot, publish_layer, write_layer
 
@@ -11,7 +18,9 @@ __all__ = [
     "dated_snapshot",
     "publish_layer",
     "register_catalog",
+    "write_bucketed",
     "write_catalog",
+    "write_clustered",
     "write_jdbc",
     "write_layer",
 ]

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import re
+import threading
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalift.functions.columns import col
+
+_APPENDS = threading.Lock()
+
 
 def catalog_name(parent: str, family: str, table: str, layer: str) -> str:
     """``parent.family_table_layer``; characters a catalog rejects become ``_``."""
@@ -23,6 +29,21 @@ def write_catalog(
     writer.saveAsTable(table)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, fmt: str = "parquet", path: str | None = None
+) -> None:
+    """Overwrite a catalog table whose rows are kept by the hash of their keys, sorted within.
+
+    Joins, groupings and keyed duplicate removal by these keys then need no shuffle, between
+    tables of as many buckets. A bucket is one file; a key that holds many rows makes a long one.
+    """
+    dealt = df.repartition(buckets, *[col(k) for k in keys])
+    writer = dealt.write.format(fmt).mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
 def register_catalog(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
     """Point a catalog table at files already written, so they are not written twice.
 
@@ -39,8 +60,12 @@ def register_catalog(spark: SparkSession, table: str, path: str, fmt: str = "par
 
 
 def append_audit(report: DataFrame, table: str, path: str | None = None) -> None:
-    """Append run reports to the audit table; ``path`` places a new one."""
+    """Append run reports to the audit table; ``path`` places a new one.
+
+    One append at a time: file tables lose rows to jobs that commit beside each other.
+    """
     writer = report.write.mode("append")
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with _APPENDS:
+        writer.saveAsTable(table)

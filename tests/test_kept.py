@@ -3,6 +3,7 @@ import random
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan, values
 from pyspark.sql import functions as F
@@ -15,13 +16,15 @@ from stratalift.operators import (
     group_agg,
     merge_asof,
     merge_ranges,
+    merge_sources,
     row_checksum,
     row_differences,
     upsert,
     upsert_counts,
 )
+from stratalift.plans.sketches import keep_sketches, unique_over
 from stratalift.plans.states import keep_states, kept_group_agg
-from stratalift.sinks import dated_snapshot, publish_layer, write_layer
+from stratalift.sinks import dated_snapshot, publish_layer, write_bucketed, write_clustered, write_layer
 from stratalift.sources import read_dated, read_layer
 from stratalift.streaming import land_arrivals, read_arrivals
 
@@ -227,3 +230,61 @@ def test_maps_in_any_order_are_equal(spark, either_ansi):
     assert sorted(r["id"] for r in unique.collect()) == [1, 2, 3] and unique.schema == df.schema
     assert dedupe(df, ["m"]).count() == 3 and distinct_values(df, "l").count() == 3
     assert dedupe(df.limit(0)).count() == 0
+
+
+def test_unique_over_days(spark, tmp_path):
+    path = str(tmp_path / "sketches")
+    df = spark.range(3000).select((F.col("id") % 1000).alias("n"), F.when(F.col("id") % 2 == 0, F.repeat(F.lit("x"), 200)).alias("t"), (F.col("id") / 7).alias("d"))
+    for day in range(1, 4):
+        keep_sketches(df.where(F.col("n") % 3 == day - 1), path, f"2025-01-0{day}", ["n", "t", "d"])
+    found = {r["column"]: r for r in unique_over(spark, path, "2025-01-01", "2025-01-31").collect()}
+    assert found["n"]["days"] == 3 and 0 < found["n"]["error"] < 0.06
+    for name, exact in (("n", 1000), ("t", 2), ("d", 3000)):
+        assert abs(found[name]["estimate"] - exact) <= exact * found[name]["error"] + 1
+    one = {r["column"]: r["estimate"] for r in unique_over(spark, path, "2025-01-02", "2025-01-02").collect()}
+    assert abs(one["n"] - 333) <= 333 * found["n"]["error"]
+    keep_sketches(df.limit(0), path, "2025-01-02", ["n", "t", "d"])
+    assert {r["estimate"] for r in unique_over(spark, path, "2025-01-02", "2025-01-02").collect()} == {0}
+    assert unique_over(spark, path, "2024-01-01", "2024-12-31").count() == 0
+    # the rows are not looked at
+    assert spark.read.parquet(path).count() == 9
+
+
+def test_bucketed_tables_need_no_shuffle(spark):
+    a = spark.range(500).select((F.col("id") % 60).alias("k"), "id")
+    b = spark.range(50).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.sources.bucketing.autoBucketedScan.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_bucketed(a, "bucketed_a", ["k"], 4)
+        write_bucketed(b, "bucketed_b", ["k"], 4)
+        merged = merge_sources(dedupe(spark.table("bucketed_a"), ["k"], {"id": "DESC"}), spark.table("bucketed_b"), ["k"])
+        text = plan(merged)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert sorted((r["k"], r["id"]) for r in merged.collect()) == [(k, k + 480 if k < 20 else k + 420) for k in range(50)]
+        write_bucketed(b.limit(0), "bucketed_b", ["k"], 4)
+        assert spark.table("bucketed_b").count() == 0
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+        for name in ("bucketed_a", "bucketed_b"):
+            spark.sql(f"drop table if exists {name}")
+
+
+def test_clustered_files_are_skipped_on_every_column(spark, tmp_path):
+    dice = random.Random(9)
+    rows = [(dice.randrange(10_000), f"n{dice.randrange(10_000):05}", dice.random()) for _ in range(8000)]
+    rows += [(None, None, 0.5), (None, "n00001", None), (7, None, None)] + [(5, "hot", float(k)) for k in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    path = str(tmp_path / "clustered")
+    write_clustered(df, path, ["a", "b"], 32)
+    assert values(read_layer(spark, path)) == values(df)
+    files = [pq.ParquetFile(f"{path}/{n}") for n in os.listdir(path) if n.endswith(".parquet")]
+    groups = [f.metadata.row_group(g) for f in files for g in range(f.metadata.num_row_groups)]
+    spans = {n: [(s.min, s.max) for g in groups if (s := g.column(n).statistics) and s.has_min_max] for n in (0, 1)}
+    for n, value in ((0, 5000), (0, 9000), (1, "n05000"), (1, "n01234")):
+        met = sum(low <= value <= high for low, high in spans[n])
+        assert met <= len(groups) / 2
+    assert max(f.metadata.num_rows for f in files) < 3 * len(rows) / 32
+    write_clustered(df.limit(0), path, ["a", "b"], 4)
+    assert read_layer(spark, path).count() == 0
