@@ -32,8 +32,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratalift.llm.frames import column, text_column
+from stratalift.llm.frames import bound_batches, column, text_column
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -228,7 +229,7 @@ def build_indexes(items: Sequence[tuple[int | None, str | None]]) -> list[Index]
 def _chunks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[Index]]:
     """The indexes of all items, as many of about ``INDEX_BYTES`` as it takes."""
     items = benchmark.select(
-        column(item_id).cast("long").alias("item_id"), column(text).cast("string").alias("text")
+        column(item_id).alias("item_id"), column(text).cast("string").alias("text")
     )
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = max(1, math.ceil(total / INDEX_BYTES))
@@ -250,21 +251,24 @@ def contamination(
     then be less than 0.8; a label inside the question counts against the question).
     An item of fewer words is one shingle, as is a part of fewer. NULL and empty
     texts and items hold and match nothing. Repeated rows give repeated results, and
-    NULL ids stay NULL. Items go round in bounded indexes, each over all documents.
+    ids keep their types, NULL ones stay NULL. Items go round in bounded indexes, each over all documents.
     """
     rows = df.select(
-        column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text")
+        column(doc_id).alias("doc_id"), column(text).cast("string").alias("text")
     )
-    schema = (
-        "doc_id long, item_id long, score double, overlap double, question_overlap double, "
-        "answer_overlap double"
+    scores = T.StructType.fromDDL(
+        "score double, overlap double, question_overlap double, answer_overlap double"
     )
+    item = T.StructField("item_id", benchmark.schema[item_id].dataType)
+    schema = T.StructType([rows.schema["doc_id"], item, *scores])
+    whole = [f.name for f in schema[:2] if isinstance(f.dataType, T.IntegralType)]
+    bound_batches(df.sparkSession)
     out = None
     for indexes in _chunks(benchmark, item_id, item_text):
         shared = df.sparkSession.sparkContext.broadcast(indexes)
 
         def search(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            names = [f.split()[0] for f in schema.split(", ")]
+            names = schema.names
             for frame in frames:
                 found = []
                 for doc, body in zip(frame["doc_id"], frame["text"], strict=True):
@@ -273,7 +277,7 @@ def contamination(
                         for at, shares in index.matches(words).items():
                             found.append((doc, index.items[at].item_id, *shares))
                 yield pd.DataFrame(found, columns=names).astype(
-                    {"doc_id": "Int64", "item_id": "Int64"} | dict.fromkeys(names[2:], float)
+                    dict.fromkeys(whole, "Int64") | dict.fromkeys(names[2:], float)
                 )
 
         part = rows.mapInPandas(search, schema)

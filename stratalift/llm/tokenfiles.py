@@ -17,15 +17,18 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalift.llm import simple8b
-from stratalift.llm.frames import column
+from stratalift.llm.frames import bound_batches, column
 from stratalift.llm.tokens import encoder, tokenizer_content
 
 EVERY = 128
 BLOCK_IDS = 8192
+# Ids are decoded in stretches of about so many.
+STRETCH_IDS = 1 << 18
 BLOCKS = (
-    "part int, block long, before long, n_ids long, doc_ids array<long>, counts array<long>, "
+    "part int, block long, before long, n_ids long, doc_ids array<{}>, counts array<long>, "
     "words binary, escapes binary, offsets binary"
 )
 
@@ -42,9 +45,10 @@ def write_token_files(
     """Write the ids of every whole text, each followed by ``end_id``.
 
     A NULL text is empty and gives the end id alone. NULL document ids come
-    first; documents of the same id follow each other. Other columns are left
-    out. A block is closed by the document that brings it to ``block_ids`` ids.
+    first; documents of the same id follow each other, and ids keep their type. Other columns
+    are left out. A block is closed by the document that brings it to ``block_ids`` ids.
     """
+    bound_batches(df.sparkSession)
     spark = df.sparkSession
     content = spark.sparkContext.broadcast(tokenizer_content(tokenizer))
 
@@ -75,7 +79,7 @@ def write_token_files(
             found = np.insert(found, np.cumsum(each), end_id)
             closed, start, at, held = [], 0, 0, sum(counts)
             for doc, n in zip(frame["doc_id"], (each + 1).tolist(), strict=True):
-                docs.append(None if pd.isna(doc) else int(doc))
+                docs.append(None if pd.isna(doc) else int(doc) if whole else doc)
                 counts.append(n)
                 at, held = at + n, held + n
                 if held >= block_ids:
@@ -88,17 +92,19 @@ def write_token_files(
         if docs:
             yield pd.DataFrame([close()])
 
-    rows = df.select(
-        column(doc_id).cast("long").alias("doc_id"), column(text).cast("string").alias("text")
-    )
+    rows = df.select(column(doc_id).alias("doc_id"), column(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType
+    whole = isinstance(kind, T.IntegralType)
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInPandas(blocks, BLOCKS).write.mode("overwrite").parquet(path)
+    ordered.mapInPandas(blocks, BLOCKS.format(kind.simpleString())).write.mode("overwrite").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the files: ``doc_id``, ``start`` (ids of all documents before it),
     ``n_tokens`` and ``ids`` (binary, little-endian unsigned 32-bit)."""
-    files = spark.read.schema(BLOCKS).parquet(path)
+    files = spark.read.parquet(path)
+    kind = files.schema["doc_ids"].dataType.elementType
+    whole = isinstance(kind, T.IntegralType)
     # one row per part, so one window over all of them is small
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("size"))
@@ -108,9 +114,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for frame in frames:
             doc_ids, starts, ids = [], [], []
             for r in frame.itertuples(index=False):
-                escapes = np.frombuffer(r.escapes, "<u8")
-                found = simple8b.decode(np.frombuffer(r.words, "<u8"), escapes, r.n_ids)
-                held = found.astype("<u4").tobytes()
+                held = b"".join(_stretches(r))
                 ends = np.cumsum(np.asarray(r.counts, np.int64))
                 first = ends - r.counts
                 doc_ids += r.doc_ids.tolist()
@@ -118,7 +122,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 ids += [held[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
             yield pd.DataFrame(
                 {
-                    "doc_id": pd.array([None if pd.isna(d) else int(d) for d in doc_ids], "Int64"),
+                    "doc_id": _ids(doc_ids) if whole else doc_ids,
                     "start": np.concatenate([np.empty(0, np.int64), *starts]),
                     "n_tokens": [len(i) // 4 for i in ids],
                     "ids": ids,
@@ -126,6 +130,27 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             )
 
     based = files.join(F.broadcast(starts), "part").select(
-        "base", "before", "n_ids", "doc_ids", "counts", "words", "escapes"
+        "base", "before", "n_ids", "doc_ids", "counts", "words", "escapes", "offsets"
     )
-    return based.mapInPandas(documents, "doc_id long, start long, n_tokens long, ids binary")
+    schema = f"doc_id {kind.simpleString()}, start long, n_tokens long, ids binary"
+    return based.mapInPandas(documents, schema)
+
+
+def _ids(doc_ids: list) -> pd.Series:
+    return pd.Series([None if pd.isna(d) else int(d) for d in doc_ids], dtype="Int64")
+
+
+def _stretches(block) -> Iterator[bytes]:
+    """A block's ids as bytes. The offsets say which words hold a stretch, so that what decoding
+    takes is bounded also in the block of one very long document."""
+    words, escapes = np.frombuffer(block.words, "<u8"), np.frombuffer(block.escapes, "<u8")
+    before = np.frombuffer(block.offsets, "<u4").astype(np.int64)
+    escaped = np.concatenate([[0], np.cumsum((words >> np.uint64(60)) == simple8b.ESCAPE)])
+    first = 0
+    while first < len(before):
+        last = max(first + 1, int(np.searchsorted(before, before[first] + STRETCH_IDS, "right")) - 1)
+        ends = int(before[last]) if last < len(before) else block.n_ids
+        begin, end = first * EVERY, min(last * EVERY, len(words))
+        own = escapes[escaped[begin] : escaped[end]]
+        yield simple8b.decode(words[begin:end], own, ends - int(before[first])).astype("<u4").tobytes()
+        first = last

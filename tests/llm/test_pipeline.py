@@ -1,3 +1,7 @@
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stratalift.llm import decontamination, queries, toxicity
 
@@ -57,3 +61,34 @@ def test_stages_against_brute_force(spark, sf_dir):
 
 def queries_run(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir).collect()
+
+
+def test_stages_with_rows_of_all_kinds(spark, sf_dir):
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text + " more", None, None, None), (None, text, "en", "s", 1)]
+    rows += [(3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, "few words", "en", "s", 9), (6, "long " * 100_000, "en", "s", 5)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    given = given.withColumns({"Score": F.lit("x"), "__id": F.lit(1), "kept": F.lit(True), "ids": F.lit("y")})
+    stages = dict(corpus_pipeline.STAGES)
+
+    def ids(df):
+        return sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in df.collect())
+
+    left = {name: stages[name](spark, given, sf_dir) for name in stages}
+    assert ids(left["quality rules"]) == [-1, 1, 1, 2] or ids(left["quality rules"]) == []
+    assert ids(left["toxicity"]) == [-1, 1, 1, 2, 3, 4, 5, 6]
+    assert ids(left["near duplicates"]) == [-1, 1, 1, 3, 4, 5, 6]
+    assert ids(left["decontamination"]) == [-1, 1, 1, 2, 3, 4, 5, 6]
+    assert set(ids(left["packing"])) == {-1, 1, 2, 3, 4, 5, 6}
+    for name in list(stages)[:-1]:
+        assert left[name].columns == given.columns
+        assert stages[name](spark, given.limit(0), sf_dir).count() == 0
+    assert stages["packing"](spark, given.limit(0), sf_dir).count() == 0
+
+
+def test_nothing_staged_is_left_but_the_result(spark, sf_dir):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "stratalift"
+    before = set(folder.glob("*"))
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    (left,) = set(folder.glob("*")) - before
+    assert left.name.startswith("packing-")

@@ -20,6 +20,34 @@ def test_ftrl_learns_and_is_sparse():
     assert not ftrl.train([], np.array([]), 4).any()
 
 
+def test_ftrl_against_plain_coordinates():
+    """Follow the proximally regularised leader, a coordinate at a time, by its definition."""
+    random = np.random.default_rng(4)
+    examples = [(p := np.unique(random.integers(0, 12, 5)), random.normal(size=len(p))) for _ in range(80)]
+    targets = random.random(80)
+    alpha, beta, l1, l2, size, rounds = 0.3, 0.7, 0.2, 0.1, 12, 3
+    z, n = [0.0] * (size + 1), [0.0] * (size + 1)
+
+    def weight(i):
+        bound, ridge = (0.0, 0.0) if i == size else (l1, l2)
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * bound) / ((beta + np.sqrt(n[i])) / alpha + ridge)
+
+    order = np.random.default_rng(7)
+    for _ in range(rounds):
+        for at in order.permutation(80).tolist():
+            row = [*zip(examples[at][0].tolist(), examples[at][1].tolist(), strict=True), (size, 1.0)]
+            now = {i: weight(i) for i, _ in row}
+            error = 1 / (1 + np.exp(-sum(now[i] * v for i, v in row))) - targets[at]
+            for i, v in row:
+                g = error * v
+                z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha * now[i]
+                n[i] += g * g
+    found = ftrl.train(examples, targets, size, alpha, beta, l1, l2, rounds)
+    assert np.allclose(found, [weight(i) for i in range(size + 1)])
+
+
 def test_score_is_the_sparse_dot_product():
     weights = np.random.default_rng(1).normal(size=(1 << quality.BITS) + 1)
     text = "The the cat SAT!! on\nthe the mat 12"

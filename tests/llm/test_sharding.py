@@ -1,3 +1,6 @@
+import heapq
+import random
+import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -10,6 +13,21 @@ def test_least_loaded_is_longest_processing_time():
     assert sharding.least_loaded([], 3) == []
 
 
+def test_shards_against_plain_scheduling(spark):
+    """Groups that are all heavy are placed as on paper: largest first, to the least-loaded shard."""
+    dice = random.Random(5)
+    sizes = {f"k{n}": dice.randrange(1, 10**6) for n in range(40)}
+    data = [(k, n // 3 if part else n - 2 * (n // 3)) for k, n in sizes.items() for part in range(3)]
+    out = rows(sharding.shard_rows(spark.createDataFrame(data, "k string, n long"), F.col("k"), F.col("n"), 6))
+    load = Counter()
+    for r in out:
+        load[r["shard"]] += r["n"]
+    heap = [0] * 6
+    for n in sorted(sizes.values(), reverse=True):
+        heapq.heappush(heap, heapq.heappop(heap) + n)
+    assert sorted(load.values()) == sorted(heap)
+
+
 def rows(df):
     out = df.collect()
     slots = defaultdict(list)
@@ -46,6 +64,11 @@ def test_nulls_repeats_and_empty(spark):
 
 def test_query(spark, sf_dir):
     out = rows(queries.op1_sharding(spark, sf_dir))
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in out) == sorted(docs)
+    for r in out:
+        raw = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
     load, where = Counter(), defaultdict(set)
     for r in out:
         load[r["shard"]] += r["size"]
