@@ -14,6 +14,7 @@ makes it whole; the last occurrence is the nearest one, so the period is the sma
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from itertools import chain, count
@@ -30,14 +31,15 @@ LONGEST_GRAM = 4
 SLICE_CHARS = 2_000_000
 
 
-def suffix_links(words: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
+def suffix_links(words: Sequence[int]) -> tuple[array, array, array]:
     """Length and suffix link of every state of the automaton, and the state of every prefix.
 
     Most states have one transition, which stands in two lists; ``more`` has the others'.
     """
-    length, link, word, to = [0], [-1], [-1], [-1]
+    # arrays, as lists of so many different numbers take ten times the memory
+    length, link, word, to = (array("i", [first]) for first in (0, -1, -1, -1))
     more: dict[int, dict[int, int]] = {}
-    prefixes = []
+    prefixes = array("i")
     last = 0
     for c in words:
         state = len(length)
@@ -98,13 +100,11 @@ class LastOccurrences:
     parent in it or, for its root, the state above the segment. Only the root's ``end`` counts.
     """
 
-    def __init__(self, length: list[int], link: list[int]) -> None:
+    def __init__(self, length: array, link: array) -> None:
         self.length = length
         # the root of the automaton stands for no words and is left out
-        self.up = [p if p > 0 else -1 for p in link]
-        self.above = [-1] * len(link)
-        self.below = [-1] * len(link)
-        self.end = [-1] * len(link)
+        self.up = array("i", (p if p > 0 else -1 for p in link))
+        self.above, self.below, self.end = (array("i", [-1]) * len(link) for _ in range(3))
 
     def access(self, state: int, end: int) -> Iterator[tuple[int, int]]:
         """(earlier end, words that agree) of every segment on the way to the root; all of them
@@ -268,7 +268,7 @@ def repeat_runs(
     the words that any run holds after its first period, joined by single spaces.
 
     A NULL or empty text has no runs and the empty text. Texts are independent of each
-    other, so repeated rows have the same result. Memory grows with the longest text, a few
+    other, so repeated rows have the same result. Memory grows with the longest text, some
     hundred bytes for each word that repeats nearby, not with the table. Columns of these
     names are replaced, all others are kept.
     """
