@@ -33,15 +33,11 @@ def digest_tree(df: DataFrame, keys: Sequence[str], strict: bool = True, digits:
     The sums stay exact for 2^66 rows. An empty table has no nodes. ``strict`` tells a NULL from
     its neighbours' place.
     """
-    rows = _keyed(df, keys, strict, digits)
-    level = rows.groupBy("prefix").agg(*_sums("row")).withColumn("depth", F.lit(digits))
-    # from the leaves up each level is sixteen times smaller than the one before
-    levels = [level]
-    for depth in range(digits - 1, -1, -1):
-        above = levels[-1].groupBy(F.substring("prefix", 1, depth).alias("prefix"))
-        level = above.agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in NODE])
-        levels.append(level.withColumn("depth", F.lit(depth)))
-    nodes = reduce(DataFrame.unionByName, levels)
+    leaves = _keyed(df, keys, strict, digits).groupBy("prefix").agg(*_sums("row"))
+    # every leaf goes into the node of each depth above it: six rows for each of a million at most
+    depths = F.explode(F.sequence(F.lit(0), F.lit(digits))).alias("depth")
+    paths = leaves.select(depths, "prefix", *NODE).withColumn("prefix", F.expr("substring(prefix, 1, depth)"))
+    nodes = paths.groupBy("depth", "prefix").agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in NODE])
     return nodes.select("depth", "prefix", F.col("n").cast("bigint").alias("n"), "low", "high")
 
 
