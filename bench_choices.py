@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bench import session
+from stratalift.plans.spec import EXPRESSIONS
 from stratalift.functions import fitting_cast
 from stratalift.operators import dataset_checksum, quality_report
 from stratalift.plans import ColumnSpec, FileLayer, RunOptions, TableSpec, transfer
@@ -23,7 +24,7 @@ from stratalift.sinks import write_layer
 from stratalift.staging import staging_path
 
 COLUMNS = ("l_returnflag", "l_linestatus", "l_orderkey")
-ALPHANUMERIC = "^[a-zA-Z0-9]+$"
+ALPHANUMERIC = EXPRESSIONS["alphanumeric"]
 
 
 def best(work: Callable[[], object]) -> float:
@@ -57,7 +58,7 @@ def main() -> None:
         return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
     checks = {c: ("Null", "Blank", "Unique", "UserDefined:alphanumeric") for c in COLUMNS}
-    regexes = {"alphanumeric": ALPHANUMERIC}
+    regexes = EXPRESSIONS
     flags = F.col("l_returnflag")
     spec = TableSpec(
         "bench", "lines", tuple(ColumnSpec(c, quality=("Null", "Blank")) for c in COLUMNS)

@@ -14,15 +14,18 @@ from stratalift.plans.transfers import (
     transfer,
 )
 from stratalift.plans.transforms import Changes, changes, transform
+from stratalift.plans.sketches import keep_sketches, unique_over
+from stratalift.plans.states import keep_states, kept_group_agg, merge_states, partial_states
+from stratalift.plans.upkeep import refresh_gold, upsert_layer
 
 __all__ = [
-    "LABELS",
-    "LAYERS",
-    "LINEAGE",
     "Changes",
     "ColumnSpec",
     "CustomLayer",
     "FileLayer",
+    "LABELS",
+    "LAYERS",
+    "LINEAGE",
     "LineageError",
     "MergeStep",
     "RunOptions",
@@ -31,11 +34,19 @@ __all__ = [
     "audit_text",
     "changes",
     "display_layers",
+    "keep_sketches",
+    "keep_states",
+    "kept_group_agg",
     "landing_layer",
-    "layers_from_config",
     "layer_checksum_diff",
     "layer_row_counts",
+    "layers_from_config",
+    "merge_states",
+    "partial_states",
+    "refresh_gold",
     "run_lineage",
     "transfer",
     "transform",
+    "unique_over",
+    "upsert_layer",
 ]

@@ -15,12 +15,12 @@ from stratalift.operators import (
     row_count,
     row_reconciliation,
 )
+from stratalift.plans.spec import EXPRESSIONS
 from stratalift.queries.filters import BLANKED_SQL, events_with_gaps
 from stratalift.queries.registry import query, table
 from stratalift.staging import stage_rows
 
 CHECKS = ("Null", "Blank", "Unique", "UserDefined:alphanumeric")
-REGEXES = {"alphanumeric": "^[a-zA-Z0-9]+$"}
 
 
 def profile_sql(rows: str, columns: tuple[str, ...], gross: str) -> str:
@@ -63,7 +63,7 @@ def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = {"event_id": CHECKS, "event_type": CHECKS, "not_there": CHECKS}
-    return quality_report(events_with_gaps(spark, sf_dir), checks, REGEXES)
+    return quality_report(events_with_gaps(spark, sf_dir), checks, EXPRESSIONS)
 
 
 @query(
@@ -79,7 +79,7 @@ def profile_of_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     # staged, as counts and distinct counts each read it
     unique = stage_rows(dedupe(documents, ["text"], {"doc_id": "ASC"}), "unique")
     checks = {c: CHECKS for c in ("text", "lang", "source")}
-    return quality_report(unique, checks, REGEXES, gross=row_count(documents))
+    return quality_report(unique, checks, EXPRESSIONS, gross=row_count(documents))
 
 
 @query(

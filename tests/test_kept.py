@@ -22,8 +22,10 @@ from stratalift.operators import (
     upsert,
     upsert_counts,
 )
+from stratalift.plans import ColumnSpec, FileLayer, MergeStep, RunOptions, TableSpec, transfer
 from stratalift.plans.sketches import keep_sketches, unique_over
 from stratalift.plans.states import keep_states, kept_group_agg
+from stratalift.plans.upkeep import refresh_gold, upsert_layer
 from stratalift.sinks import dated_snapshot, publish_layer, write_bucketed, write_clustered, write_layer
 from stratalift.sources import read_dated, read_layer
 from stratalift.streaming import land_arrivals, read_arrivals
@@ -288,3 +290,39 @@ def test_clustered_files_are_skipped_on_every_column(spark, tmp_path):
     assert max(f.metadata.num_rows for f in files) < 3 * len(rows) / 32
     write_clustered(df.limit(0), path, ["a", "b"], 4)
     assert read_layer(spark, path).count() == 0
+
+
+def test_upsert_layer(spark, tmp_path):
+    place, keys = FileLayer(str(tmp_path / "layer")), ["k"]
+    options = [RunOptions(f"2025-01-0{n}", run_ts=f"2025-01-0{n} 00:00:00") for n in (1, 2, 3)]
+    first = spark.createDataFrame([("a", 1, "x"), ("b", 1, None)], ROWS)
+    second = spark.createDataFrame([("a", 2, "x"), ("c", 1, "y"), (None, 1, "z")], ROWS)
+    assert upsert_layer(spark, place, first, keys, "one", options[0]) == {"inserted": 2, "changed": 0, "equal": 0, "gone": 0}
+    assert upsert_layer(spark, place, second, keys, "two", options[1]) == {"inserted": 2, "changed": 1, "equal": 0, "gone": 1}
+    assert upsert_layer(spark, place, second, keys, "three", options[2], keep_gone=False) == {"inserted": 0, "changed": 0, "equal": 3, "gone": 1}
+    rows = {r["k"]: (r["Row_Inserted-By"], r["Row_Updated-By"], r["n"]) for r in place.read(spark).collect()}
+    assert rows == {"a": ("one", "two", 2), "c": ("two", "two", 1), None: ("two", "two", 1)}
+    broken = second.withColumn("n", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        upsert_layer(spark, place, broken, keys, "four", options[2])
+    assert place.read(spark).count() == 3
+    with pytest.raises(ValueError, match="dated"):
+        upsert_layer(spark, FileLayer(str(tmp_path / "d"), dated=True), first, keys, "one", options[0])
+
+
+def test_refresh_gold_is_the_whole_hop(spark, tmp_path):
+    spec = TableSpec(
+        "web", "visits", dimensions=(ColumnSpec("k"),), metrics=(ColumnSpec("n", "integer"),),
+        group_by=("name",), group_aggs={"n:total": "SUM", "n:mean": "AVG", "n:rows": "COUNT"},
+    )
+    names = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "A")], "k string, name string")
+    days = [spark.createDataFrame(d, "k string, n int") for d in ([("a", 1), ("b", None), ("a", 5)], [("c", 3), ("zz", 9)], [])]
+    merges = (MergeStep(names, ("k",), "left"),)
+    states, gold = str(tmp_path / "states"), FileLayer(str(tmp_path / "gold"))
+    for n, day in enumerate([days[0], days[0], *days[1:]]):
+        options = RunOptions(f"2025-01-0{max(1, n)}", run_ts="2025-01-09 00:00:00", merges=merges)
+        found = refresh_gold(spark, spec, day, states, gold, options)
+    places = {"SL": FileLayer(str(tmp_path / "SL")), "GL": FileLayer(str(tmp_path / "GL"))}
+    write_layer(days[0].unionByName(days[1]), places["SL"].path)
+    whole = transfer(spark, spec, "SL", "GL", places, options)
+    assert values(found) == values(whole.table) and found.columns == whole.table.columns
