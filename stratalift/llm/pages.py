@@ -349,7 +349,11 @@ class PageModel:
 
     def unary(self, tree: Tree, node: int) -> float:
         kind = "element" if tree.name[node] else "text"
-        return sum(self.odds.get(f"{kind} {name}", mark_odds(name)) for name in features(tree, node))
+        total = 0.0
+        for name in features(tree, node):
+            known = self.odds.get(f"{kind} {name}")
+            total += mark_odds(name) if known is None else known
+        return total
 
     def marginals(self, tree: Tree) -> list[float]:
         """The log odds of content of every node, by sum-product."""
