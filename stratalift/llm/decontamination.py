@@ -288,7 +288,10 @@ def contamination(
 def drop_contaminated(
     df: DataFrame, text: str, benchmark: DataFrame, item_id: str, item_text: str
 ) -> DataFrame:
-    """The rows of ``df`` that hold no test item, with their own columns."""
+    """The rows of ``df`` that hold no test item, with their own columns.
+
+    NULL and empty texts and items hold nothing; without items all rows are kept.
+    """
     for indexes in _chunks(benchmark, item_id, item_text):
         shared = df.sparkSession.sparkContext.broadcast(indexes)
 

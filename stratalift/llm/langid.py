@@ -91,7 +91,9 @@ def fit_profiles(
     """Profiles of ``length`` n-grams from at most ``per_language`` documents of each language.
 
     Those with the lowest hashes of the id are taken. Rows without language or
-    id, and those for which ``among`` does not hold, teach nothing.
+    id, and those for which ``among`` does not hold, teach nothing; NULL and empty texts
+    add no n-gram. Repeated rows of an id are drawn each and count each. N-grams of equal number are in
+    the order of their codes. A language without n-grams has no profile.
     """
     known = df.select(
         column(doc_id).alias("__id"),
@@ -149,7 +151,9 @@ def identify(
     """The rows with ``lang_pred`` and ``score`` (0 to 1) of their whole texts.
 
     A NULL text, and one without letters, is ``und`` with score 0, as is every
-    text where there are no profiles. Columns of these names are replaced.
+    text where there are no profiles. Of languages as near as each other the first by name counts, and
+    a text's n-grams of equal number are ranked in a fixed order, so repeated rows have the same
+    result. Texts are read whole, however long. Columns of these names are replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(profiles)
 

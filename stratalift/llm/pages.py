@@ -494,8 +494,9 @@ def fit_pages(df: DataFrame, page_id: str, page: str, bound: int = 2000) -> Page
 def extract_text(df: DataFrame, page: str, model: PageModel) -> DataFrame:
     """The rows with ``text``, the main text of their whole page, and ``n_chars``.
 
-    A NULL or empty page, and one without main text, has the empty text.
-    Columns of these names are replaced.
+    A NULL or empty page, and one without main text, has the empty text. Text whose marginal
+    favours neither label is left out. Pages are read whole, however long, and each on its own, so
+    repeated rows have the same text. Columns of these names are replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 

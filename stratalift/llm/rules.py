@@ -247,7 +247,10 @@ def quality_rules(
 def keep_good(
     df: DataFrame, doc_id: str, text: str, labels: DataFrame, label: str, bound: int = 20_000
 ) -> DataFrame:
-    """The rows of ``df`` that ``quality_rules`` keeps, with their own columns."""
+    """The rows of ``df`` that ``quality_rules`` keeps, with their own columns.
+
+    A NULL or empty text fails the base rules and goes; rows with a NULL id are judged like others.
+    """
     ids = sampled_labels(labels, doc_id, label, bound)
     labelled = df.join(F.broadcast(ids), df[doc_id] == ids["doc_id"], "left_semi")
     found = labelled.select(column(doc_id), statistics_of(column(text)).alias("__s"))

@@ -272,7 +272,10 @@ def score_column(df: DataFrame, text: str, weights: np.ndarray, bits: int = BITS
 
 
 def drop_toxic(df: DataFrame, text: str, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
-    """The rows that score below the threshold, with their own columns."""
+    """The rows that score below the threshold, with their own columns.
+
+    A NULL or empty text scores as the intercept says, which is low unless most labels are toxic.
+    """
     scorer = score_column(df, text, weights)
     own = free_name(df, "__toxic")
     scored = df.withColumn(own, scorer).where(F.col(own) < threshold)
