@@ -152,7 +152,7 @@ def identify(
 
     A NULL text, and one without letters, is ``und`` with score 0, as is every
     text where there are no profiles. Of languages as near as each other the first by name counts, and
-    a text's n-grams of equal number are ranked in a fixed order, so repeated rows have the same
+    a text's n-grams of equal number share the mean of their ranks, so repeated rows have the same
     result. Texts are read whole, however long. Columns of these names are replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(profiles)
