@@ -177,7 +177,7 @@ def _across(members: DataFrame, condition: Column) -> DataFrame:
 
 def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The prefix index of the nodes: ``key`` (a shingle), ``nodes`` that hold it, ``node``,
-    ``n`` and ``rare``.
+    ``n``, ``rare`` and the shingle's ``rank`` in its set.
 
     Shingles are in the order of how many nodes hold them. Two sets that are similar enough
     share one of the first ``n - ceil(share * n) + 1`` of either, for one the first that they
@@ -202,7 +202,7 @@ def _indexed(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     few = percent * F.col("rare") <= (100 - percent) * (F.col("n") - F.col("rare"))
     useful = (F.col("nodes") > 1) & ((F.col("nodes") <= RARE) | few)
     kept = ranked.where((F.col("rank") <= prefix) & useful)
-    return stage_rows(kept.select("key", "nodes", "node", "n", "rare"), "index")
+    return stage_rows(kept.select("key", "nodes", "node", "n", "rare", "rank"), "index")
 
 
 def near_duplicates(df: DataFrame, doc_id: str, text: str, percent: int = 85) -> DataFrame:
@@ -299,6 +299,10 @@ def _link(rows: DataFrame, classes: DataFrame, percent: int) -> Links:
     sized = 100 * F.least(x_n, y_n) >= percent * F.greatest(x_n, y_n)
     in_common = F.least(x_n - F.col("x.rare"), y_n - F.col("y.rare"))
     enough = (100 + percent) * in_common >= percent * (x_n + y_n)
+    # The first shingle that two sets share has no other before it in either, which bounds what they
+    # share. Later ones may fail the same test, as their pair was met at the first.
+    left = F.least(x_n - F.col("x.rank"), y_n - F.col("y.rank")) + 1
+    sized = sized & ((100 + percent) * left >= percent * (x_n + y_n))
     pairs = _across(rest, apart & sized & ((F.col("x.nodes") <= RARE) | enough))
     links.verify(pairs, estimate=False)
     return links
