@@ -106,8 +106,8 @@ def test_query(spark, sf_dir):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
-@pytest.mark.parametrize(("small", "rare"), [(32, 16), (2, 2)])
-def test_chains_and_large_groups(spark, small, rare, monkeypatch):
+@pytest.mark.parametrize(("small", "rare", "percent"), [(32, 16, 85), (2, 2, 85), (2, 2, 80)])
+def test_chains_and_large_groups(spark, small, rare, percent, monkeypatch):
     monkeypatch.setattr(near_duplicates, "SMALL_BUCKET", small)
     monkeypatch.setattr(near_duplicates, "RARE", rare)
     dice = random.Random(4)
@@ -123,7 +123,7 @@ def test_chains_and_large_groups(spark, small, rare, monkeypatch):
         chain[k * 15] = f"c{k}"
         rows.append((300 + k, " ".join(chain)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert judged(df)[0] == brute(rows, 85)
+    assert judged(df, percent)[0] == brute(rows, percent)
 
 
 def test_nulls_short_repeats_and_clashes(spark):
