@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stratalift.functions.columns import col, comparable
 from stratalift.operators.integrity import row_digest
-from stratalift.staging import stage_rows
+from stratalift.staging import scratch, stage_rows, staging_path
 
 # 16^5 leaves: some 10^5 rows in each at 10^11 rows. It also bounds the leaves that may differ,
 # a million numbers, which is what makes it safe to broadcast them.
@@ -94,9 +94,13 @@ def row_differences(
     """
     if left.columns != right.columns:
         raise ValueError("both tables need the same columns in the same order")
-    left_tree = left_tree if left_tree is not None else stage_rows(digest_tree(left, keys, strict, digits), "tree")
-    right_tree = right_tree if right_tree is not None else stage_rows(digest_tree(right, keys, strict, digits), "tree")
-    leaves = different_leaves(left_tree, right_tree, digits)
+    outlives = staging_path(left.sparkSession, "different")
+    with scratch(left.sparkSession):
+        trees = [
+            tree if tree is not None else stage_rows(digest_tree(df, keys, strict, digits), "tree")
+            for df, tree in ((left, left_tree), (right, right_tree))
+        ]
+        leaves = stage_rows(different_leaves(*trees, digits), path=outlives)
     few = F.broadcast(leaves)  # at most 16^digits, so no row of another leaf reaches the shuffle
     sides = [
         _keyed(df, keys, strict, digits).join(few, "prefix", "left_semi").withColumn("side", F.lit(side))
