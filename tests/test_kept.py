@@ -22,6 +22,7 @@ from stratalift.operators import (
     upsert,
     upsert_counts,
 )
+from stratalift.operators import nearest
 from stratalift.plans import ColumnSpec, FileLayer, MergeStep, RunOptions, TableSpec, transfer
 from stratalift.plans.sketches import keep_sketches, unique_over
 from stratalift.plans.states import keep_states, kept_group_agg
@@ -220,6 +221,39 @@ def test_ranges_against_all_pairs(spark, width):
     assert merge_ranges(a, b.limit(0), ["k"], "at", "low", "high", width).count() == 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_ranges_of_one_key_go_to_many_tasks(spark, monkeypatch, how):
+    monkeypatch.setattr(nearest, "PIECE_PAIRS", 200)
+    monkeypatch.setattr(nearest, "PIECE_RANGES", 8)
+    dice = random.Random(5)
+    left = [("a", dice.choice([None, 7, *range(30)])) for _ in range(150)] + [("b", 3), (None, 3), ("c", 900)] * 2
+    right = [("a", low, low + dice.choice([0, 5, 40])) for low in [*range(30), *[9] * 30]] + [("b", 0, 9), (None, 0, 9)]
+    rows = spark.createDataFrame(left, "k string, at int").coalesce(1)
+    spans = spark.createDataFrame(right, "k string, low long, high long").coalesce(1)
+    expected = []
+    for k, at in left:
+        met = [(k, at, low, high) for k2, low, high in right if None not in (k, at) and k == k2 and low <= at < high]
+        expected += met or ([(k, at, None, None)] if how == "left" else [])
+    found = merge_ranges(rows, spans, ["k"], "at", "low", "high", 20, how)
+    assert values(found) == sorted(expected, key=repr)
+    # tables of one task each, and one key, still make pairs in all tasks
+    tasks = found.where("k = 'a'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 0.6 * len(expected)
+
+
+def test_ranges_of_keys_of_other_types(spark, monkeypatch, either_ansi):
+    monkeypatch.setattr(nearest, "PIECE_PAIRS", 20)
+    monkeypatch.setattr(nearest, "PIECE_RANGES", 4)
+    rows = spark.range(60).selectExpr("cast(id % 2 as int) n", "id % 3 f", "cast(id % 5 as string) t", "id at", "map('x', id) m")
+    spans = spark.range(40).selectExpr("id % 2 n", "cast(id % 3 as double) f", "cast(id % 5 as int) t", "id low", "id + 9 high")
+    expected = [(i, j) for i in range(60) for j in range(40) if all(i % d == j % d for d in (2, 3, 5)) and j <= i < j + 9]
+    for on in (["n", "f", "t"], ["t"]):
+        low = spans.select(*on, "low", "high")
+        pairs = expected if len(on) == 3 else [(i, j) for i in range(60) for j in range(40) if i % 5 == j % 5 and j <= i < j + 9]
+        found = merge_ranges(rows, low, on, "at", "low", "high", 10)
+        assert sorted((r["at"], r["low"]) for r in found.collect()) == pairs
+
+
 def test_maps_in_any_order_are_equal(spark, either_ansi):
     schema = "id int, m map<string,struct<a:int,n:map<int,string>>>, l array<map<string,int>>"
     first = (1, {"x": (1, {1: "p", 2: "q"}), "y": None}, [{"a": 1, "b": 2}, None])
