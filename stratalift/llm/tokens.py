@@ -7,6 +7,7 @@ import os
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -86,9 +87,10 @@ class Encoder:
             yield own, each
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
         chunks = lists.flatten().dictionary_encode()
-        coded = list(map(self._chunk, chunks.dictionary.to_pylist()))
+        # through numpy: Arrow's own list makes an object of its own for every value on the way
+        coded = self._chunks(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(coded), "<u4")
         lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         begins = np.cumsum(lengths) - lengths
@@ -99,18 +101,18 @@ class Encoder:
         ids = flat[np.repeat(shift, n) + np.arange(ends[-1], dtype=np.int32)]
         return ids, np.diff(ends[lists.offsets.to_numpy()])
 
-    def _chunk(self, chunk: str) -> bytes:
-        lower = chunk.lower()
-        if lower.isalpha():
-            return self.words[lower]
-        return b"".join(map(self.words.__getitem__, SPLIT.findall(lower)))
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of lower-cased chunks without white space."""
+        words, split, join = self.words, SPLIT.findall, b"".join
+        known = words.__getitem__
+        return [words[c] if c.isalpha() else join(map(known, split(c))) for c in chunks]
 
     def _by_words(self, text: str) -> bool:
         return self.by_word and _is_plain(text) and not any(s in text for s in self.specials)
 
     def _trim(self) -> None:
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
+        if len(self.words) >= CACHED_WORDS // 2:
+            self.words.age()
 
 
 def _slices(texts: Sequence[str | None]) -> Iterator[list[str | None]]:
@@ -134,17 +136,28 @@ def _is_plain(text: str) -> bool:
 
 
 class _Words(dict):
-    """Ids of words as little-endian bytes; a word met for the first time is coded."""
+    """Ids of words as little-endian bytes; a word met for the first time is coded.
+
+    ``age`` forgets the words that were not met since it was called last.
+    """
 
     def __init__(self, model) -> None:
         self.code = model.tokenize
         self.letters = _byte_letters()
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = b"".join(p.id.to_bytes(4, "little") for p in self.code(word.translate(self.letters)))
+        ids = self.older.get(word)
+        if ids is None:
+            pieces = [p.id for p in self.code(word.translate(self.letters))]
+            ids = pack(f"<{len(pieces)}I", *pieces)
         self[word] = ids
         return ids
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
 
 @lru_cache(maxsize=1)
 def encoder(content: str) -> Encoder:

@@ -5,8 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stratalift.llm import packing, queries, simple8b, tokenfiles
-from stratalift.llm.tokens import encoder, tokenizer_content
+from stratalift.llm import packing, queries, simple8b, tokenfiles, tokens
+from stratalift.llm.tokens import Encoder, encoder, tokenizer_content
 
 CONTENT = tokenizer_content(queries.word_tokenizer())
 ODD = [
@@ -38,6 +38,20 @@ def test_encoder_on_documents(spark, sf_dir, library):
     assert encoder(CONTENT).many([])[0].tolist() == []
 
 
+def test_words_that_come_again_are_coded_once(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 40)
+    monkeypatch.setattr(tokens, "SLICE_CHARS", 1)
+    alone, coded = Encoder(CONTENT), []
+    code = alone.words.code
+    alone.words.code = lambda word: coded.append(word) or code(word)
+    texts = [f"Often, ÉTÉ {' '.join(chr(97 + k) * n for k in range(15))}" for n in range(1, 30)]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, counts = alone.many(texts)
+    assert ids.tolist() == [i for w in wanted for i in w] and counts.tolist() == [len(w) for w in wanted]
+    assert coded.count("often") == coded.count(",") == 1 and len(coded) == 29 * 15 + 3
+    assert len(alone.words) + len(alone.words.older) < 40 + 2 * 18
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.characters(max_codepoint=0x17F, exclude_categories=["Cs"])))
 def test_encoder_on_any_text(text):
